@@ -1 +1,319 @@
-"""Serving queries (filled in below)."""
+"""Serving, time-series feature and insight queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from martwright.operators import features, insights, serving
+from martwright.operators.forecasting import forecast_metrics
+from martwright.operators.marts import mart_sales_daily
+from martwright.plans.context import Context
+from martwright.plans.registry import register
+
+MONEY = 2
+MEAN = 6
+
+# Calendar + lag/rolling columns of the daily series in DuckDB SQL.
+_CAL = """CAST(isodow(ds) - 1 AS INTEGER) AS dow, CAST(weekofyear(ds) AS INTEGER) AS week,
+          CAST(month(ds) AS INTEGER) AS month, CAST(year(ds) AS INTEGER) AS year,
+          CAST(day(ds) AS INTEGER) AS day,
+          CAST(CASE WHEN isodow(ds) >= 6 THEN 1 ELSE 0 END AS INTEGER) AS is_weekend"""
+
+
+def _lags_sql(part: str = "") -> str:
+    p = f"PARTITION BY {part} " if part else ""
+    cols = [f"lag(y, {k}) OVER ({p}ORDER BY ds) AS lag_{k}" for k in (1, 7, 14, 28)]
+    for n in (7, 14):
+        frame = f"({p}ORDER BY ds ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+        cols.append(f"CASE WHEN count(y) OVER {frame} = {n} THEN avg(y) OVER {frame} END AS roll_{n}")
+    return ", ".join(cols)
+
+
+_LAG_ROUND = {"y": MONEY, "lag_1": MONEY, "lag_7": MONEY, "lag_14": MONEY, "lag_28": MONEY,
+              "roll_7": MEAN, "roll_14": MEAN}
+_MODEL_FRAME_SQL = f"""SELECT * FROM (SELECT ds, y, orders, items, {_CAL}, {_lags_sql()}
+                                      FROM mart_sales_daily) f
+    WHERE lag_28 IS NOT NULL AND roll_7 IS NOT NULL AND roll_14 IS NOT NULL
+      AND lag_1 IS NOT NULL AND lag_7 IS NOT NULL AND lag_14 IS NOT NULL AND y IS NOT NULL"""
+_POS_SQL = """SELECT *, row_number() OVER (ORDER BY ds DESC) AS pos_end,
+                         count(*) OVER () AS n_rows FROM mart_sales_daily"""
+
+# ------------------------------------------------------------- serving
+
+
+@register("scan_table_daily", "SELECT ds, y, orders, items FROM mart_sales_daily",
+          rounding={"y": MONEY})
+def scan_table_daily(ctx: Context):
+    """Daily mart read in day order."""
+    return serving.daily_sorted(ctx.mart("mart_sales_daily"))
+
+
+@register("top_categories",
+          """SELECT product_category_en, sum(item_gmv) AS gmv FROM mart_order_items
+             WHERE order_status = 'delivered' GROUP BY 1
+             ORDER BY gmv DESC, product_category_en ASC NULLS LAST LIMIT 15""",
+          rounding={"gmv": MONEY})
+def top_categories(ctx: Context):
+    return serving.top_categories(ctx.mart("mart_order_items"))
+
+
+@register("state_sales",
+          """SELECT customer_state, sum(item_gmv) AS gmv, count(DISTINCT order_id) AS orders
+             FROM mart_order_items WHERE order_status = 'delivered' GROUP BY 1""",
+          rounding={"gmv": MONEY})
+def state_sales(ctx: Context):
+    return serving.state_sales(ctx.mart("mart_order_items"))
+
+
+@register("state_sales_top20",
+          """SELECT customer_state, sum(item_gmv) AS gmv, count(DISTINCT order_id) AS orders
+             FROM mart_order_items WHERE order_status = 'delivered' GROUP BY 1
+             ORDER BY gmv DESC, customer_state ASC NULLS LAST LIMIT 20""",
+          rounding={"gmv": MONEY})
+def state_sales_top20(ctx: Context):
+    return serving.state_sales_top(ctx.mart("mart_order_items"))
+
+
+@register("row_counts",
+          """SELECT 'mart_orders' AS t, count(*) AS rows FROM mart_orders
+             UNION ALL SELECT 'mart_order_items', count(*) FROM mart_order_items
+             UNION ALL SELECT 'mart_sales_daily', count(*) FROM mart_sales_daily
+             UNION ALL SELECT 'dim_customers', count(*) FROM dim_customers""")
+def row_counts(ctx: Context):
+    return serving.row_counts({
+        "mart_orders": ctx.mart("mart_orders"),
+        "mart_order_items": ctx.mart("mart_order_items"),
+        "mart_sales_daily": ctx.mart("mart_sales_daily"),
+        "dim_customers": ctx.mart("dim_customers"),
+    })
+
+
+@register("kpi_card_values",
+          """SELECT CAST(total_gmv AS DOUBLE) AS total_gmv, total_orders, total_items,
+                    CAST(avg_daily_gmv AS DOUBLE) AS avg_daily_gmv FROM kpi_summary""",
+          rounding={"total_gmv": MONEY, "avg_daily_gmv": MEAN})
+def kpi_card_values(ctx: Context):
+    return serving.kpi_card_values(ctx.mart("kpi_summary"))
+
+
+@register("mart_sales_daily_by_state",
+          """SELECT customer_state, order_purchase_date AS ds, sum(item_gmv) AS y,
+                    count(DISTINCT order_id) AS orders, count(*) AS items
+             FROM mart_order_items
+             WHERE order_status = 'delivered' AND order_purchase_date IS NOT NULL
+             GROUP BY 1, 2""",
+          rounding={"y": MONEY})
+def mart_sales_daily_by_state(ctx: Context):
+    """Daily mart as a panel: one series per customer state."""
+    return mart_sales_daily(ctx.mart("mart_order_items"), ["customer_state"])
+
+
+# ------------------------------------------------------------ features
+
+
+@register("time_features", f"SELECT ds, y, orders, items, {_CAL} FROM mart_sales_daily",
+          rounding={"y": MONEY})
+def time_features(ctx: Context):
+    return features.time_features(ctx.mart("mart_sales_daily"))
+
+
+@register("lag_features", f"SELECT ds, y, orders, items, {_lags_sql()} FROM mart_sales_daily",
+          rounding=_LAG_ROUND)
+def lag_features(ctx: Context):
+    """Row-based lags 1/7/14/28 and full-window history means (no NULL drop)."""
+    return features.lag_features(ctx.mart("mart_sales_daily"))
+
+
+@register("rolling_mean_history",
+          f"SELECT ds, roll_7, roll_14 FROM (SELECT ds, {_lags_sql()} FROM mart_sales_daily) r",
+          rounding={"roll_7": MEAN, "roll_14": MEAN})
+def rolling_mean_history(ctx: Context):
+    return features.lag_features(ctx.mart("mart_sales_daily")).select("ds", "roll_7", "roll_14")
+
+
+@register("lag_features_complete", _MODEL_FRAME_SQL, rounding=_LAG_ROUND)
+def lag_features_complete(ctx: Context):
+    """Calendar + lag features, rows with any NULL dropped (first 28 rows go)."""
+    return features.model_frame(ctx.mart("mart_sales_daily"))
+
+
+@register("lag_features_by_state",
+          f"""SELECT customer_state, ds, y, orders, items, {_lags_sql('customer_state')}
+              FROM (SELECT customer_state, order_purchase_date AS ds, sum(item_gmv) AS y,
+                           count(DISTINCT order_id) AS orders, count(*) AS items
+                    FROM mart_order_items
+                    WHERE order_status = 'delivered' AND order_purchase_date IS NOT NULL
+                    GROUP BY 1, 2) d""",
+          rounding=_LAG_ROUND)
+def lag_features_by_state(ctx: Context):
+    """Lags per series (windows partitioned by state: parallel over series)."""
+    daily = mart_sales_daily(ctx.mart("mart_order_items"), ["customer_state"])
+    return features.lag_features(daily, series_keys=["customer_state"])
+
+
+@register("drop_null_rows",
+          """SELECT * FROM mart_orders
+             WHERE order_id IS NOT NULL AND customer_id IS NOT NULL
+               AND customer_unique_id IS NOT NULL AND customer_city IS NOT NULL
+               AND customer_state IS NOT NULL AND order_status IS NOT NULL
+               AND order_purchase_ts IS NOT NULL AND order_delivered_customer_ts IS NOT NULL
+               AND order_estimated_delivery_ts IS NOT NULL AND order_purchase_date IS NOT NULL
+               AND delivery_days IS NOT NULL AND delay_days IS NOT NULL AND is_late IS NOT NULL
+               AND payment_value_total IS NOT NULL AND payment_installments_max IS NOT NULL
+               AND payment_types IS NOT NULL AND review_score_avg IS NOT NULL""",
+          rounding={"payment_value_total": MONEY})
+def drop_null_rows(ctx: Context):
+    """Any-NULL row drop over the order mart."""
+    return features.drop_null_rows(ctx.mart("mart_orders"))
+
+
+@register("time_split",
+          f"""SELECT *, CASE WHEN count(*) OVER () > 60
+                              AND row_number() OVER (ORDER BY ds DESC) <= 60
+                             THEN 'test' ELSE 'train' END AS split
+              FROM ({_MODEL_FRAME_SQL}) m""",
+          rounding=_LAG_ROUND)
+def time_split(ctx: Context):
+    """Last 60 rows of the model frame are the holdout (split after the NULL drop)."""
+    return features.time_split(features.model_frame(ctx.mart("mart_sales_daily")), 60)
+
+
+@register("tail_n_rows", f"SELECT ds, y, orders, items FROM ({_POS_SQL}) p WHERE pos_end <= 30",
+          rounding={"y": MONEY})
+def tail_n_rows(ctx: Context):
+    return features.tail_rows(ctx.mart("mart_sales_daily"), 30)
+
+
+@register("tail7_mean", f"SELECT avg(y) AS tail_mean FROM ({_POS_SQL}) p WHERE pos_end <= 7",
+          rounding={"tail_mean": MEAN})
+def tail7_mean(ctx: Context):
+    return features.tail_mean(ctx.mart("mart_sales_daily"), 7)
+
+
+_FUTURE_SQL = """SELECT CAST(m + to_days(CAST(i AS INTEGER)) AS DATE) AS ds
+                 FROM (SELECT max(ds) AS m FROM mart_sales_daily) s, range(1, 61) r(i)"""
+
+
+@register("future_calendar", _FUTURE_SQL)
+def future_calendar(ctx: Context):
+    """The 60 days after the last sales day."""
+    return features.future_calendar(ctx.mart("mart_sales_daily"), 60)
+
+
+@register("forecast_flat7",
+          f"""SELECT f.ds, t.tail_mean AS yhat FROM ({_FUTURE_SQL}) f,
+                     (SELECT avg(y) AS tail_mean FROM ({_POS_SQL}) p WHERE pos_end <= 7) t""",
+          rounding={"yhat": MEAN})
+def forecast_flat7(ctx: Context):
+    """What the dashboard emits: mean of the last 7 days for each of the next 60 days."""
+    return features.forecast_flat(ctx.mart("mart_sales_daily"), 60, 7)
+
+
+@register("forecast_flat7_by_state",
+          """WITH d AS (SELECT customer_state, order_purchase_date AS ds, sum(item_gmv) AS y
+                        FROM mart_order_items
+                        WHERE order_status = 'delivered' AND order_purchase_date IS NOT NULL
+                        GROUP BY 1, 2),
+                  p AS (SELECT *, row_number() OVER (PARTITION BY customer_state ORDER BY ds DESC)
+                                  AS pos_end FROM d),
+                  s AS (SELECT customer_state, max(ds) AS m, avg(y) FILTER (WHERE pos_end <= 7)
+                                  AS yhat FROM p GROUP BY 1)
+             SELECT customer_state, CAST(m + to_days(CAST(i AS INTEGER)) AS DATE) AS ds, yhat
+             FROM s, range(1, 61) r(i)""",
+          rounding={"yhat": MEAN})
+def forecast_flat7_by_state(ctx: Context):
+    daily = mart_sales_daily(ctx.mart("mart_order_items"), ["customer_state"])
+    return features.forecast_flat(daily, 60, 7, series_keys=["customer_state"])
+
+
+@register("append_future_rows",
+          f"""SELECT ds, y FROM mart_sales_daily
+              UNION ALL SELECT ds, CAST(NULL AS DOUBLE) AS y FROM ({_FUTURE_SQL}) f""",
+          rounding={"y": MONEY})
+def append_future_rows(ctx: Context):
+    return features.append_future_rows(ctx.mart("mart_sales_daily"), 60)
+
+
+@register("future_row_select",
+          f"""SELECT * FROM ({_MODEL_FRAME_SQL}) m
+              WHERE ds = (SELECT max(ds) FROM mart_sales_daily)""",
+          rounding=_LAG_ROUND)
+def future_row_select(ctx: Context):
+    """Feature row for one target date (the last sales day)."""
+    daily = ctx.mart("mart_sales_daily")
+    frame = features.model_frame(daily)
+    return frame.where(F.col("ds") == daily.select(F.max("ds")).scalar())
+
+
+@register("forecast_metrics",
+          f"""WITH p AS ({_POS_SQL}),
+                  base AS (SELECT avg(y) AS yhat FROM p WHERE pos_end > 60 AND pos_end <= 67)
+             SELECT avg(abs(y - yhat)) AS mae, sqrt(avg(pow(y - yhat, 2))) AS rmse,
+                    avg(abs((y - yhat) / greatest(1e-9, y))) * 100.0 AS mape
+             FROM p, base WHERE pos_end <= 60""",
+          rounding={"mae": MEAN, "rmse": MEAN, "mape": MEAN})
+def forecast_metrics_q(ctx: Context):
+    """MAE/RMSE/MAPE of the flat baseline (mean of the last 7 training rows) on the 60-row holdout."""
+    daily = ctx.mart("mart_sales_daily")
+    split = features.time_split(daily, 60)
+    train = split.where(F.col("split") == "train")
+    base = features.tail_mean(train, 7, alias="yhat").select("yhat").scalar()
+    test = split.where(F.col("split") == "test").select("y", base.alias("yhat"))
+    return forecast_metrics(test)
+
+
+# ------------------------------------------------------------ insights
+
+
+@register("weekday_mean", "SELECT dayname(ds) AS weekday, avg(y) AS mean_y FROM mart_sales_daily GROUP BY 1",
+          rounding={"mean_y": MEAN})
+def weekday_mean(ctx: Context):
+    return insights.weekday_mean(ctx.mart("mart_sales_daily"))
+
+
+@register("best_weekday",
+          """SELECT dayname(ds) AS weekday, avg(y) AS mean_y FROM mart_sales_daily GROUP BY 1
+             ORDER BY mean_y DESC, weekday ASC LIMIT 1""",
+          rounding={"mean_y": MEAN})
+def best_weekday(ctx: Context):
+    return insights.best_weekday(ctx.mart("mart_sales_daily"))
+
+
+_TOTAL_SQL = """SELECT 1 AS rule,
+                       printf('Total GMV is %.2f (BRL) across the dataset period.', total_gmv) AS insight
+                FROM kpi_summary WHERE total_gmv > 0"""
+_TREND_SQL = f"""SELECT 2 AS rule,
+                        printf('GMV is %s %.1f%% in the last 30 days vs the previous 30 days.',
+                               CASE WHEN (last30 - prev30) / prev30 * 100.0 >= 0 THEN 'up'
+                                    ELSE 'down' END,
+                               abs((last30 - prev30) / prev30 * 100.0)) AS insight
+                 FROM (SELECT count(*) AS n, sum(CASE WHEN pos_end <= 30 THEN y END) AS last30,
+                              sum(CASE WHEN pos_end > 30 AND pos_end <= 60 THEN y END) AS prev30
+                       FROM ({_POS_SQL}) p) s
+                 WHERE n >= 60 AND prev30 > 0"""
+_BEST_SQL = """SELECT 3 AS rule, printf('Highest average GMV day is %s.', weekday) AS insight
+               FROM (SELECT dayname(ds) AS weekday, avg(y) AS mean_y FROM mart_sales_daily
+                     GROUP BY 1 ORDER BY mean_y DESC, weekday ASC LIMIT 1) b
+               WHERE (SELECT count(*) FROM mart_sales_daily) >= 7"""
+
+
+@register("insight_total_gmv", _TOTAL_SQL)
+def insight_total_gmv(ctx: Context):
+    return insights.insight_total_gmv(ctx.mart("kpi_summary"))
+
+
+@register("insight_gmv_trend", _TREND_SQL)
+def insight_gmv_trend(ctx: Context):
+    return insights.insight_gmv_trend(ctx.mart("mart_sales_daily"))
+
+
+@register("insight_best_weekday", _BEST_SQL)
+def insight_best_weekday(ctx: Context):
+    return insights.insight_best_weekday(ctx.mart("mart_sales_daily"))
+
+
+@register("insights_all",
+          f"""SELECT CAST(row_number() OVER (ORDER BY rule) AS INTEGER) AS rank, insight
+              FROM ({_TOTAL_SQL} UNION ALL {_TREND_SQL} UNION ALL {_BEST_SQL}) u""")
+def insights_all(ctx: Context):
+    return insights.insights_all(ctx.mart("kpi_summary"), ctx.mart("mart_sales_daily"))
