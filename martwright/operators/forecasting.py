@@ -186,47 +186,41 @@ def _step_features(state: DataFrame) -> DataFrame:
 
 
 def forecast_recursive(model: PipelineModel, daily: DataFrame, horizon: int,
-                       series_keys: Sequence[str] = (), checkpoint_every: int = 5,
+                       series_keys: Sequence[str] = (), checkpoint_every: int = 10,
                        fallback_n: int = 7) -> DataFrame:
     """Recursive multi-step forecast; each step scores every series in one transform.
 
-    A series with fewer than 28 historical rows has no complete feature row;
-    it falls back to the mean of its last ``fallback_n`` values, as the
-    source dashboard does when the target row is missing.
-
-    The carried state is at most 28 values per series (``tail_rows`` first,
-    then ``collect_list``), so no group grows with the data.
+    The state is one row per series: the last 28 values (history, then
+    predictions) and the predictions so far, both bounded arrays. Each step
+    is a single projection over that state, so the plan grows linearly and a
+    reliable ``checkpoint()`` every few steps cuts it (the state is tiny).
+    A series with fewer than 28 rows has no complete feature row; it falls
+    back to the mean of its last ``fallback_n`` values, as the source
+    dashboard does when the target row is missing.
     """
     keys = list(series_keys)
-    state = _state(daily, keys)
-    outputs = []
+    state = _state(daily, keys).withColumn(
+        "_preds", F.array().cast("array<struct<ds:date,yhat:double>>"))
+    feature_cols = list(GBT_FEATURES)
     for step in range(1, horizon + 1):
         feats = _step_features(state)
         complete = F.size("_hist") >= STATE_LEN
-        scored = model.transform(feats.where(complete)).select(*keys, "ds", "_hist", "yhat")
-        fb = feats.where(~complete).select(
-            *keys, "ds", "_hist",
-            F.aggregate(F.slice("_hist", -fallback_n, fallback_n), F.lit(0.0),
-                        lambda a, x: a + x).alias("_s"),
-            F.least(F.size("_hist"), F.lit(fallback_n)).alias("_c"))
-        fb = fb.select(*keys, "ds", "_hist", (F.col("_s") / F.col("_c")).alias("yhat"))
-        step_out = scored.unionByName(fb)
-        outputs.append(step_out.select(*keys, "ds", "yhat"))
-        state = step_out.select(
+        tail = F.slice("_hist", -fallback_n, fallback_n)
+        fallback = (F.aggregate(tail, F.lit(0.0), lambda a, x: a + x)
+                    / F.greatest(F.size(tail), F.lit(1)))
+        # Incomplete rows get placeholder features; their prediction is discarded.
+        filled = feats.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+                                    for c in feature_cols}).withColumn("_complete", complete) \
+            .withColumn("_fallback", fallback)
+        scored = model.transform(filled)
+        yhat = F.when(F.col("_complete"), F.col("yhat")).otherwise(F.col("_fallback"))
+        state = scored.select(
             *keys, F.col("ds").alias("_last"),
-            F.slice(F.concat("_hist", F.array(F.col("yhat"))), -STATE_LEN, STATE_LEN)
-            .alias("_hist"))
-        if step % checkpoint_every == 0:
+            F.slice(F.concat("_hist", F.array(yhat)), -STATE_LEN, STATE_LEN).alias("_hist"),
+            F.concat("_preds", F.array(F.struct(F.col("ds"), yhat.alias("yhat")))).alias("_preds"))
+        if step % checkpoint_every == 0 and step < horizon:
             state = state.checkpoint(eager=True)
-            outputs = [_union_all(outputs).checkpoint(eager=True)]
-    return _union_all(outputs)
-
-
-def _union_all(frames: list[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    return state.select(*keys, F.inline("_preds"))
 
 
 def forecast_days(daily: DataFrame, horizon: int, series_keys: Sequence[str] = ()) -> DataFrame:

@@ -120,6 +120,50 @@ def mart_order_items(items: DataFrame, side: DataFrame, dim_products: DataFrame,
     )
 
 
+_ORDER_ATTRS = {"order_status", "order_purchase_ts", "order_purchase_date", "customer_id"}
+_CUSTOMER_ATTRS = {"customer_unique_id", "customer_city", "customer_state"}
+
+
+def item_facts(columns: list[str], items: DataFrame, orders: DataFrame,
+               dim_customers=None, dim_products=None, dim_sellers=None,
+               payments_agg=None, reviews_agg=None) -> DataFrame:
+    """Item-grain columns of ``mart_order_items``, joining only what ``columns`` need.
+
+    Catalyst cannot drop an unused left join (dimension keys are not
+    declared unique), so a query reading four item-mart columns would still
+    pay for every dimension join. This builder plans only the needed ones:
+    order (and customer, at order grain) attributes by ``order_id``, then
+    product / seller / payment / review attributes. Same rows and values as
+    the full mart for unique dimension keys. Dimension arguments are
+    zero-argument callables, evaluated only when needed.
+    """
+    need = set(columns)
+    base_cols = ["order_id", "order_item_id", "product_id", "seller_id", "price", "freight_value"]
+    df = items.select(*base_cols)
+    if need & (_ORDER_ATTRS | _CUSTOMER_ATTRS):
+        o = orders.select("order_id", "customer_id", "order_status", "order_purchase_ts")
+        if need & _CUSTOMER_ATTRS:
+            cust = dim_customers().select("customer_id", *sorted(need & _CUSTOMER_ATTRS))
+            o = left_join_dim(o, cust, "customer_id")
+        df = df.join(o, "order_id", "left")
+    if "product_category_en" in need:
+        df = left_join_dim(df, dim_products().select("product_id", "product_category_en"),
+                           "product_id")
+    if need & {"seller_city", "seller_state"}:
+        df = left_join_dim(df, dim_sellers().select("seller_id", "seller_city", "seller_state"),
+                           "seller_id")
+    if "payment_value_total" in need:
+        df = df.join(payments_agg().select("order_id", "payment_value_total"), "order_id", "left")
+    if "review_score_avg" in need:
+        df = df.join(reviews_agg().select("order_id", "review_score_avg"), "order_id", "left")
+    derived = {}
+    if "order_purchase_date" in need:
+        derived["order_purchase_date"] = purchase_date("order_purchase_ts")
+    if "item_gmv" in need:
+        derived["item_gmv"] = F.col("price") + F.col("freight_value")
+    return df.withColumns(derived).select(*columns)
+
+
 def delivered_filter(df: DataFrame) -> DataFrame:
     """Delivered orders with a known purchase date (the sales definition)."""
     return df.where((F.col("order_status") == "delivered")

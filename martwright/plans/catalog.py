@@ -6,4 +6,6 @@ string next to it is the DuckDB oracle over the same tables.
 
 from __future__ import annotations
 
-from martwright.plans import catalog_serving, catalog_warehouse  # noqa: F401
+from martwright.plans import (  # noqa: F401
+    catalog_io, catalog_models, catalog_serving, catalog_warehouse,
+)

@@ -41,6 +41,11 @@ _POS_SQL = """SELECT *, row_number() OVER (ORDER BY ds DESC) AS pos_end,
 # ------------------------------------------------------------- serving
 
 
+def _state_facts(ctx: Context):
+    return ctx.items("customer_state", "order_status", "order_purchase_date", "order_id",
+                     "item_gmv")
+
+
 @register("scan_table_daily", "SELECT ds, y, orders, items FROM mart_sales_daily",
           rounding={"y": MONEY})
 def scan_table_daily(ctx: Context):
@@ -54,7 +59,7 @@ def scan_table_daily(ctx: Context):
              ORDER BY gmv DESC, product_category_en ASC NULLS LAST LIMIT 15""",
           rounding={"gmv": MONEY})
 def top_categories(ctx: Context):
-    return serving.top_categories(ctx.mart("mart_order_items"))
+    return serving.top_categories(ctx.items("product_category_en", "item_gmv", "order_status"))
 
 
 @register("state_sales",
@@ -62,7 +67,7 @@ def top_categories(ctx: Context):
              FROM mart_order_items WHERE order_status = 'delivered' GROUP BY 1""",
           rounding={"gmv": MONEY})
 def state_sales(ctx: Context):
-    return serving.state_sales(ctx.mart("mart_order_items"))
+    return serving.state_sales(ctx.items("customer_state", "item_gmv", "order_id", "order_status"))
 
 
 @register("state_sales_top20",
@@ -71,7 +76,8 @@ def state_sales(ctx: Context):
              ORDER BY gmv DESC, customer_state ASC NULLS LAST LIMIT 20""",
           rounding={"gmv": MONEY})
 def state_sales_top20(ctx: Context):
-    return serving.state_sales_top(ctx.mart("mart_order_items"))
+    return serving.state_sales_top(ctx.items("customer_state", "item_gmv", "order_id",
+                                             "order_status"))
 
 
 @register("row_counts",
@@ -105,7 +111,7 @@ def kpi_card_values(ctx: Context):
           rounding={"y": MONEY})
 def mart_sales_daily_by_state(ctx: Context):
     """Daily mart as a panel: one series per customer state."""
-    return mart_sales_daily(ctx.mart("mart_order_items"), ["customer_state"])
+    return mart_sales_daily(_state_facts(ctx), ["customer_state"])
 
 
 # ------------------------------------------------------------ features
@@ -147,7 +153,7 @@ def lag_features_complete(ctx: Context):
           rounding=_LAG_ROUND)
 def lag_features_by_state(ctx: Context):
     """Lags per series (windows partitioned by state: parallel over series)."""
-    daily = mart_sales_daily(ctx.mart("mart_order_items"), ["customer_state"])
+    daily = mart_sales_daily(_state_facts(ctx), ["customer_state"])
     return features.lag_features(daily, series_keys=["customer_state"])
 
 
@@ -222,7 +228,7 @@ def forecast_flat7(ctx: Context):
              FROM s, range(1, 61) r(i)""",
           rounding={"yhat": MEAN})
 def forecast_flat7_by_state(ctx: Context):
-    daily = mart_sales_daily(ctx.mart("mart_order_items"), ["customer_state"])
+    daily = mart_sales_daily(_state_facts(ctx), ["customer_state"])
     return features.forecast_flat(daily, 60, 7, series_keys=["customer_state"])
 
 

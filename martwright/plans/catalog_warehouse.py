@@ -162,18 +162,11 @@ def kpi_summary(ctx: Context):
              WHERE order_status = 'delivered'""")
 def filter_delivered(ctx: Context):
     """Equality filter on status over the item mart."""
-    return (ctx.mart("mart_order_items")
-            .select("order_id", "order_status", "order_purchase_date", "item_gmv")
+    return (ctx.items("order_id", "order_status", "order_purchase_date", "item_gmv")
             .where(F.col("order_status") == "delivered"))
 
 
 @register("scan_delivered_items", "SELECT * FROM delivered_items")
 def scan_delivered_items(ctx: Context):
     """Training extract: 4 columns, delivered, customer and date not NULL."""
-    items = ctx.mart("mart_order_items")
-    return (items.select("customer_unique_id", "order_id", "order_purchase_date", "item_gmv",
-                         "order_status")
-            .where((F.col("order_status") == "delivered")
-                   & F.col("customer_unique_id").isNotNull()
-                   & F.col("order_purchase_date").isNotNull())
-            .drop("order_status"))
+    return ctx.delivered_items()

@@ -59,3 +59,23 @@ class Context:
             "kpi_summary": lambda: marts.kpi_summary(self.mart("mart_sales_daily")),
         }
         return self._get(f"mart.{name}", builders[name])
+
+    def items(self, *columns: str) -> DataFrame:
+        """Item-mart columns with only the joins they need (see ``marts.item_facts``)."""
+        return self._get("items." + ",".join(columns), lambda: marts.item_facts(
+            list(columns), self.stg("order_items"), self.stg("orders"),
+            dim_customers=lambda: self.mart("dim_customers"),
+            dim_products=lambda: self.mart("dim_products"),
+            dim_sellers=lambda: self.mart("dim_sellers"),
+            payments_agg=lambda: self.mart("order_payments"),
+            reviews_agg=lambda: self.mart("order_reviews")))
+
+    def delivered_items(self) -> DataFrame:
+        """Training extract: (customer_unique_id, order_id, order_purchase_date, item_gmv)."""
+        from pyspark.sql import functions as F
+        it = self.items("customer_unique_id", "order_id", "order_purchase_date", "item_gmv",
+                        "order_status")
+        return (it.where((F.col("order_status") == "delivered")
+                         & F.col("customer_unique_id").isNotNull()
+                         & F.col("order_purchase_date").isNotNull())
+                .drop("order_status"))
