@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from martwright.functions import abs_error, calendar_columns, pct_error, squared_error
 from martwright.operators.features import future_calendar, model_frame, tail_rows, time_split
 from martwright.schemas import GBT_FEATURES
+from martwright.session import checkpoint
 
 # --- fixed values: tree-model settings (see README for how they were chosen) ---
 GBT_TREES = 30
@@ -88,7 +89,11 @@ def gbt_pipeline(trees: int = GBT_TREES, step: float = GBT_STEP, depth: int = GB
     gbt = GBTRegressor(featuresCol="_features", labelCol="y", predictionCol="yhat",
                        maxIter=trees, stepSize=step, maxDepth=depth, lossType="squared",
                        subsamplingRate=GBT_SUBSAMPLE, featureSubsetStrategy=GBT_FEATURE_SUBSET,
-                       seed=seed)
+                       seed=seed,
+                       # The training frame is a cached daily series (rows = days), so
+                       # recomputing it after an executor loss is cheap; periodic
+                       # checkpoints of the boosting state would only add I/O.
+                       checkpointInterval=-1)
     return Pipeline(stages=[assembler, gbt])
 
 
@@ -219,7 +224,7 @@ def forecast_recursive(model: PipelineModel, daily: DataFrame, horizon: int,
             F.slice(F.concat("_hist", F.array(yhat)), -STATE_LEN, STATE_LEN).alias("_hist"),
             F.concat("_preds", F.array(F.struct(F.col("ds"), yhat.alias("yhat")))).alias("_preds"))
         if step % checkpoint_every == 0 and step < horizon:
-            state = state.checkpoint(eager=True)
+            state = checkpoint(state)
     return state.select(*keys, F.inline("_preds"))
 
 

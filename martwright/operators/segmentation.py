@@ -17,6 +17,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martwright.session import checkpoint
+
 RFM_COLUMNS = ["recency", "frequency", "monetary"]
 
 
@@ -80,8 +82,13 @@ def assign_segments(model: PipelineModel, scaled: DataFrame,
 
 def segment_customers(items: DataFrame, k: int = 4, seed: int = 42,
                       as_of: dt.date | str | None = None):
-    """RFM → scale → KMeans → labelled customers. Returns (model, scored DataFrame)."""
-    r = rfm(items, as_of)
+    """RFM → scale → KMeans → labelled customers. Returns (model, scored DataFrame).
+
+    The RFM table is checkpointed (written to the shared checkpoint folder)
+    first: KMeans makes tens of passes and the labelling reads it twice, and
+    none of them should re-run the item joins behind it.
+    """
+    r = checkpoint(rfm(items, as_of))
     scaled = rfm_scale(r)
     model = fit_kmeans(scaled, k=k, seed=seed)
     return model, assign_segments(model, scaled)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.operators import dimensions, marts, order_aggregates, staging
+from martwright.session import ensure_checkpoint_dir
 from martwright.sources import driver_tables
 
 
@@ -17,6 +18,7 @@ class Context:
         self.spark = spark
         self.sf_dir = sf_dir
         self._memo: dict[str, DataFrame] = {}
+        ensure_checkpoint_dir(spark)
 
     def _get(self, key: str, build) -> DataFrame:
         if key not in self._memo:

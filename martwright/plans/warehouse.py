@@ -65,16 +65,28 @@ def build_layers(raw: dict[str, DataFrame]) -> Layers:
     return Layers(stg=stg, mart=build_marts(stg))
 
 
-def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str) -> Layers:
-    """Full refresh of every stg and mart table as Parquet under ``root``.
+# Staging tables that are real work (an aggregation), stored even when the
+# plain cast/rename projections are not.
+AGGREGATED_STG = ("geolocation",)
 
-    ``kpi_summary`` stays a view over the stored daily mart (registered as a
-    temp view), as it is cheap and always consistent with it.
+
+def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
+                 persist_stg: bool = False) -> Layers:
+    """Full refresh of the warehouse as Parquet under ``root``.
+
+    Marts (and the aggregated staging table) are always stored. The other
+    staging tables are cast/rename projections; by default they stay views
+    fused into the mart builds, so each raw input is scanned exactly once.
+    ``persist_stg=True`` stores them too (a second full write and read of
+    every raw table). ``kpi_summary`` stays a view over the stored daily mart.
     """
     from martwright.sinks.tables import write_table
 
     def stg_keep(name: str, df: DataFrame) -> DataFrame:
-        return write_table(spark, df, f"{root}/stg/{name}")
+        if persist_stg or name in AGGREGATED_STG:
+            return write_table(spark, df, f"{root}/stg/{name}")
+        df.createOrReplaceTempView(f"stg_{name}")
+        return df
 
     def mart_keep(name: str, df: DataFrame) -> DataFrame:
         return write_table(spark, df, f"{root}/mart/{name}")

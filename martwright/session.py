@@ -80,3 +80,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/martwright-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpoint(df):
+    """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
