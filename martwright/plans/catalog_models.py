@@ -105,3 +105,58 @@ def load_models(ctx: Context):
     from martwright.operators.features import model_frame, time_split
     frame = time_split(model_frame(daily), 60).where(F.col("split") == "test")
     return reloaded.transform(frame).select("ds", "y", "yhat")
+
+
+@register("segments_by_monetary")
+def segments_by_monetary(ctx: Context):
+    """Segment profile ordered by mean monetary, highest first."""
+    return segmentation.segment_profile(_segments(ctx)).orderBy(F.col("monetary").desc())
+
+
+@register("scan_parquet_rfm")
+def scan_parquet_rfm(ctx: Context):
+    """Scored customers persisted as Parquet, then read back for the customer page."""
+    path = scratch_path(ctx.spark, "rfm-scored")
+    _segments(ctx).write.mode("overwrite").parquet(path)
+    return ctx.spark.read.parquet(path)
+
+
+@register("save_models")
+def save_models(ctx: Context):
+    """Persist the KMeans pipeline and reload it; the reloaded model labels the customers."""
+    items = ctx.delivered_items()
+    model, _ = segmentation.segment_customers(items)
+    path = scratch_path(ctx.spark, "kmeans-model")
+    save_model(model, path)
+    scaled = segmentation.rfm_scale(segmentation.rfm(items))
+    return segmentation.assign_segments(load_model(path), scaled)
+
+
+@register("train_all")
+def train_all_q(ctx: Context):
+    """Training job (both forecasters, RFM + KMeans); one row of holdout metrics per model."""
+    from martwright.plans.training import train_all
+    out = train_all(ctx.spark, ctx.mart("mart_sales_daily"), ctx.delivered_items(),
+                    scratch_path(ctx.spark, "train-all"))
+    rows = [(name, out.metrics[name]["mae"], out.metrics[name]["rmse"], out.metrics[name]["mape"],
+             out.metrics["rows_daily"], out.metrics["rows_order_items"], out.metrics["rows_rfm"])
+            for name in ("seasonal", "gbt")]
+    return ctx.spark.createDataFrame(
+        rows, "model string, mae double, rmse double, mape double, rows_daily bigint, "
+              "rows_order_items bigint, rows_rfm bigint")
+
+
+def _state_daily(ctx: Context):
+    from martwright.operators.marts import mart_sales_daily
+    facts = ctx.items("customer_state", "order_status", "order_purchase_date", "order_id",
+                      "item_gmv")
+    return mart_sales_daily(facts, ["customer_state"])
+
+
+@register("forecast_recursive_by_state")
+def forecast_recursive_by_state(ctx: Context):
+    """Pooled tree model; 60-day recursive forecast for every state series in one loop."""
+    daily = _state_daily(ctx)
+    keys = ["customer_state"]
+    model = forecasting.train_gbt(daily, test_days=60, series_keys=keys).model
+    return forecasting.forecast_recursive(model, daily, horizon=60, series_keys=keys)

@@ -323,3 +323,51 @@ def insight_best_weekday(ctx: Context):
               FROM ({_TOTAL_SQL} UNION ALL {_TREND_SQL} UNION ALL {_BEST_SQL}) u""")
 def insights_all(ctx: Context):
     return insights.insights_all(ctx.mart("kpi_summary"), ctx.mart("mart_sales_daily"))
+
+
+@register("sort_daily", "SELECT ds, y, orders, items FROM mart_sales_daily", rounding={"y": MONEY})
+def sort_daily(ctx: Context):
+    """Daily mart ordered by day ascending."""
+    return ctx.mart("mart_sales_daily").orderBy("ds")
+
+
+@register("memoised_reads",
+          """SELECT customer_state, sum(item_gmv) AS gmv, count(DISTINCT order_id) AS orders
+             FROM mart_order_items WHERE order_status = 'delivered' GROUP BY 1""",
+          rounding={"gmv": MONEY})
+def memoised_reads(ctx: Context):
+    """Dashboard loader served from a cached result (state sales page)."""
+    return serving.state_sales(_state_facts_all(ctx)).cache()
+
+
+def _state_facts_all(ctx: Context):
+    return ctx.items("customer_state", "item_gmv", "order_id", "order_status")
+
+
+@register("forecast_metrics_by_state",
+          """WITH d AS (SELECT customer_state, order_purchase_date AS ds, sum(item_gmv) AS y
+                        FROM mart_order_items
+                        WHERE order_status = 'delivered' AND order_purchase_date IS NOT NULL
+                        GROUP BY 1, 2),
+                  p AS (SELECT *, row_number() OVER (PARTITION BY customer_state ORDER BY ds DESC)
+                                  AS pos_end,
+                               count(*) OVER (PARTITION BY customer_state) AS n FROM d),
+                  s AS (SELECT *, CASE WHEN n > 60 AND pos_end <= 60 THEN 'test' ELSE 'train' END
+                                  AS split FROM p),
+                  tr AS (SELECT *, row_number() OVER (PARTITION BY customer_state ORDER BY ds DESC)
+                                   AS tpos FROM s WHERE split = 'train'),
+                  base AS (SELECT customer_state, avg(y) AS yhat FROM tr WHERE tpos <= 7 GROUP BY 1)
+             SELECT s.customer_state, avg(abs(y - yhat)) AS mae,
+                    sqrt(avg(pow(y - yhat, 2))) AS rmse,
+                    avg(abs((y - yhat) / greatest(1e-9, y))) * 100.0 AS mape
+             FROM s JOIN base ON s.customer_state = base.customer_state
+             WHERE s.split = 'test' GROUP BY 1""",
+          rounding={"mae": MEAN, "rmse": MEAN, "mape": MEAN})
+def forecast_metrics_by_state(ctx: Context):
+    """Per-state holdout metrics of the flat baseline (mean of each series' last 7 train rows)."""
+    keys = ["customer_state"]
+    daily = mart_sales_daily(_state_facts(ctx), keys)
+    split = features.time_split(daily, 60, keys)
+    base = features.tail_mean(split.where(F.col("split") == "train"), 7, keys, alias="yhat")
+    test = split.where(F.col("split") == "test").join(base, keys, "inner")
+    return forecast_metrics(test, series_keys=keys)

@@ -170,3 +170,23 @@ def filter_delivered(ctx: Context):
 def scan_delivered_items(ctx: Context):
     """Training extract: 4 columns, delivered, customer and date not NULL."""
     return ctx.delivered_items()
+
+
+@register("filter_not_null",
+          """SELECT order_id, customer_unique_id, order_purchase_date FROM mart_order_items
+             WHERE customer_unique_id IS NOT NULL AND order_purchase_date IS NOT NULL""")
+def filter_not_null(ctx: Context):
+    """IS NOT NULL predicates on the customer and the purchase date."""
+    return (ctx.items("order_id", "customer_unique_id", "order_purchase_date")
+            .where(F.col("customer_unique_id").isNotNull()
+                   & F.col("order_purchase_date").isNotNull()))
+
+
+@register("membership_filter",
+          """SELECT * FROM stg_reviews
+             WHERE order_id IN (SELECT order_id FROM stg_orders WHERE order_status = 'delivered')""")
+def membership_filter(ctx: Context):
+    """Child rows whose key is in a set: reviews of delivered orders (left semi join)."""
+    from martwright.operators.joins import semi_join
+    keys = ctx.stg("orders").where(F.col("order_status") == "delivered").select("order_id")
+    return semi_join(ctx.stg("reviews"), keys, "order_id")
