@@ -14,18 +14,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# Catalyst's estimate is file-size based (compressed); in memory a side can be a
+# few times larger, so the hint limit is kept well under Spark's broadcast cap.
+DEFAULT_BROADCAST_LIMIT = 32 * 1024 * 1024
 
 
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df`` (None when not available, e.g. Spark Connect)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size) if isinstance(size, int) else int(size.toString())
     except Exception:  # noqa: BLE001 - estimate is advisory only
         return None
 
 
-def maybe_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+def maybe_broadcast(df: DataFrame, limit: int | None = None) -> DataFrame:
+    limit = DEFAULT_BROADCAST_LIMIT if limit is None else limit
     size = estimated_size_bytes(df)
     if size is not None and size <= limit:
         return F.broadcast(df)
@@ -33,12 +37,12 @@ def maybe_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> Data
 
 
 def left_join_dim(fact: DataFrame, dim: DataFrame, on: str | list[str],
-                  limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+                  limit: int | None = None) -> DataFrame:
     """``fact`` ⟕ ``dim`` on equal key columns; dim broadcast only if checked small."""
     return fact.join(maybe_broadcast(dim, limit), on=on, how="left")
 
 
 def semi_join(child: DataFrame, keys: DataFrame, on: str | list[str],
-              limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+              limit: int | None = None) -> DataFrame:
     """Rows of ``child`` whose key occurs in ``keys`` (NULL keys never match)."""
     return child.join(maybe_broadcast(keys, limit), on=on, how="left_semi")

@@ -54,8 +54,10 @@ def test_lean_item_facts_skip_unused_dimension_joins(spark, sf_small):
     assert "events.parquet" not in plan
 
 
-def test_order_joins_reuse_aggregate_partitioning(spark, sf_small):
+def test_order_joins_reuse_aggregate_partitioning(spark, sf_small, monkeypatch):
     """The payment / review aggregates are not re-shuffled for the order_id joins."""
+    from martwright.operators import joins
+    monkeypatch.setattr(joins, "DEFAULT_BROADCAST_LIMIT", -1)  # plan as at scale: no hints
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         ctx = Context(spark, sf_small)
@@ -78,3 +80,14 @@ def test_filters_reach_the_scan(spark, sf_small):
     plan = plan_of(q)
     assert "LessThan(c_nationkey,20)" in plan
     assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int>" in plan
+
+
+def test_size_checked_broadcast(spark, sf_small):
+    from martwright.operators.joins import estimated_size_bytes, maybe_broadcast
+    ctx = Context(spark, sf_small)
+    nation = ctx.table("nation")
+    assert 0 < estimated_size_bytes(nation) < 1 << 20
+    assert "broadcast" in maybe_broadcast(nation)._jdf.queryExecution().logical().toString().lower()
+    big = ctx.table("lineitem")
+    assert "broadcast" not in maybe_broadcast(big, limit=1024)._jdf.queryExecution() \
+        .logical().toString().lower()
