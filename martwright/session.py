@@ -35,20 +35,35 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "martwright", extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the engine settings applied."""
+def build_session(master: str | None = None, shuffle_partitions: int | None = 8,
+                  app_name: str = "martwright", extra: dict | None = None,
+                  event_log_dir: str | None = None) -> SparkSession:
+    """Create (or reuse) a session with the engine settings applied.
+
+    ``shuffle_partitions=None`` sizes the initial shuffle width from the
+    cluster (4 × default parallelism); AQE then coalesces to ~128 MB
+    partitions, so the same setting serves small and 100 TB inputs.
+    ``event_log_dir`` writes Spark's event log there (stage/task timings
+    without the UI).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if event_log_dir:
+        conf["spark.eventLog.enabled"] = "true"
+        conf["spark.eventLog.dir"] = event_log_dir
     conf.setdefault("spark.driver.memory", os.environ.get("MARTWRIGHT_DRIVER_MEMORY", "16g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if shuffle_partitions is None:
+        width = max(200, 4 * spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(width))
     ensure_checkpoint_dir(spark)
     return spark
 
