@@ -55,10 +55,19 @@ def order_side(orders: DataFrame, dim_customers: DataFrame, payments_agg: DataFr
                   "customer_state", "order_status", "order_purchase_ts",
                   "order_delivered_customer_ts", "order_estimated_delivery_ts",
                   F.lit(True).alias("_from_orders")))
-    pay = payments_agg.select("order_id", "payment_value_total", "payment_installments_max",
-                              "payment_types")
-    rev = reviews_agg.select("order_id", "review_score_avg")
-    return oc.join(pay, "order_id", "full").join(rev, "order_id", "full")
+    # NULL order ids never match, but in a full outer join they would all hash to one
+    # partition (and AQE cannot split skew in full outer joins). They join on a
+    # deterministic per-row salt instead, which cannot equal a real id.
+    oc = oc.withColumn("_k", F.coalesce(
+        F.col("order_id"),
+        F.concat(F.lit("\u0000null:"), F.xxhash64(*oc.columns).cast("string"))))
+    pay = payments_agg.select(F.col("order_id").alias("_k"), F.col("order_id").alias("_pay_id"),
+                              "payment_value_total", "payment_installments_max", "payment_types")
+    rev = reviews_agg.select(F.col("order_id").alias("_k"), F.col("order_id").alias("_rev_id"),
+                             "review_score_avg")
+    side = oc.join(pay, "_k", "full").join(rev, "_k", "full")
+    return (side.withColumn("order_id", F.coalesce("order_id", "_pay_id", "_rev_id"))
+            .drop("_k", "_pay_id", "_rev_id"))
 
 
 def _order_derived(df: DataFrame) -> DataFrame:

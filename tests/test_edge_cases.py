@@ -242,3 +242,30 @@ def test_manifest_check_lists_all_missing(spark, tmp_path):
     msg = str(e.value)
     assert "olist_order_items_dataset.csv" in msg and "product_category_name_translation.csv" in msg
     assert "olist_orders_dataset.csv" not in msg
+
+
+def test_order_side_null_order_ids_are_salted_not_matched(spark):
+    orders = spark.createDataFrame(
+        [(None, "c1", "delivered", T(2020, 1, 1), None, None)] * 3
+        + [("o1", "c1", "delivered", T(2020, 1, 2), None, None)],
+        "order_id string, customer_id string, order_status string, "
+        "order_purchase_ts timestamp_ntz, order_delivered_customer_ts timestamp_ntz, "
+        "order_estimated_delivery_ts timestamp_ntz")
+    cust = spark.createDataFrame([("c1", "u1", "x", "S")], "customer_id string, "
+                                 "customer_unique_id string, customer_city string, "
+                                 "customer_state string")
+    pay = spark.createDataFrame([("o1", 5.0, 1, "boleto"), (None, 7.0, 2, "voucher")],
+                                "order_id string, payment_value_total double, "
+                                "payment_installments_max int, payment_types string")
+    rev = spark.createDataFrame([("o2", 4.0)], "order_id string, review_score_avg double")
+    side = marts.order_side(orders, cust, pay, rev)
+    rows = sorted(side.select("order_id", "_from_orders", "payment_value_total",
+                              "review_score_avg").collect(),
+                  key=lambda r: (r.order_id or "", r.payment_value_total or 0))
+    assert len(rows) == 6  # 3 NULL-id orders, o1, the NULL-id payment, review-only o2
+    null_orders = [r for r in rows if r.order_id is None and r._from_orders]
+    assert len(null_orders) == 3 and all(r.payment_value_total is None for r in null_orders)
+    assert [r.payment_value_total for r in rows if r.order_id == "o1"] == [5.0]
+    assert [r.review_score_avg for r in rows if r.order_id == "o2"] == [4.0]
+    mo = marts.mart_orders_from_side(side)
+    assert mo.count() == 4 and mo.where(F.col("order_id").isNull()).count() == 3
