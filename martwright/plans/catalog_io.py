@@ -45,6 +45,7 @@ def sample_semi_orders(ctx: Context):
           f"""SELECT * FROM stg_payments
               WHERE order_id IN (SELECT order_id FROM ({_SAMPLE_SQL}) s)""")
 def sample_semi_payments(ctx: Context):
+    """Payments of the sampled orders (left semi join)."""
     return sample_children({"p": ctx.stg("payments")}, _sampled_orders(ctx), "order_id")["p"]
 
 
@@ -52,6 +53,7 @@ def sample_semi_payments(ctx: Context):
           f"""SELECT * FROM stg_reviews
               WHERE order_id IN (SELECT order_id FROM ({_SAMPLE_SQL}) s)""")
 def sample_semi_reviews(ctx: Context):
+    """Reviews of the sampled orders (left semi join)."""
     return sample_children({"r": ctx.stg("reviews")}, _sampled_orders(ctx), "order_id")["r"]
 
 
@@ -59,6 +61,7 @@ def sample_semi_reviews(ctx: Context):
           f"""SELECT * FROM stg_customers
               WHERE customer_id IN (SELECT customer_id FROM ({_SAMPLE_SQL}) s)""")
 def sample_semi_customers(ctx: Context):
+    """Customers of the sampled orders (left semi join)."""
     return sample_by_keys(ctx.stg("customers"), _sampled_orders(ctx), "customer_id",
                           "customer_id")
 
@@ -79,6 +82,7 @@ def sample_semi_products(ctx: Context):
           f"""SELECT * FROM stg_sellers
               WHERE seller_id IN (SELECT seller_id FROM ({_SAMPLE_ITEMS_SQL}) i)""")
 def sample_semi_sellers(ctx: Context):
+    """Sellers of the sampled items (left semi join)."""
     return sample_by_keys(ctx.stg("sellers"), _sampled_items(ctx), "seller_id", "seller_id")
 
 

@@ -57,6 +57,7 @@ def rfm_kmeans(ctx: Context):
 
 @register("segment_profile")
 def segment_profile(ctx: Context):
+    """Mean R/F/M and size per segment, highest monetary first."""
     return segmentation.segment_profile(_segments(ctx))
 
 

@@ -59,6 +59,7 @@ def scan_table_daily(ctx: Context):
              ORDER BY gmv DESC, product_category_en ASC NULLS LAST LIMIT 15""",
           rounding={"gmv": MONEY})
 def top_categories(ctx: Context):
+    """Top-15 categories by delivered GMV."""
     return serving.top_categories(ctx.items("product_category_en", "item_gmv", "order_status"))
 
 
@@ -67,6 +68,7 @@ def top_categories(ctx: Context):
              FROM mart_order_items WHERE order_status = 'delivered' GROUP BY 1""",
           rounding={"gmv": MONEY})
 def state_sales(ctx: Context):
+    """Delivered GMV and distinct orders per customer state, largest first."""
     return serving.state_sales(ctx.items("customer_state", "item_gmv", "order_id", "order_status"))
 
 
@@ -76,6 +78,7 @@ def state_sales(ctx: Context):
              ORDER BY gmv DESC, customer_state ASC NULLS LAST LIMIT 20""",
           rounding={"gmv": MONEY})
 def state_sales_top20(ctx: Context):
+    """The 20 states with the largest delivered GMV."""
     return serving.state_sales_top(ctx.items("customer_state", "item_gmv", "order_id",
                                              "order_status"))
 
@@ -86,6 +89,7 @@ def state_sales_top20(ctx: Context):
              UNION ALL SELECT 'mart_sales_daily', count(*) FROM mart_sales_daily
              UNION ALL SELECT 'dim_customers', count(*) FROM dim_customers""")
 def row_counts(ctx: Context):
+    """(table, rows) for the four serving tables, as a UNION ALL."""
     return serving.row_counts({
         "mart_orders": ctx.mart("mart_orders"),
         "mart_order_items": ctx.mart("mart_order_items"),
@@ -99,6 +103,7 @@ def row_counts(ctx: Context):
                     CAST(avg_daily_gmv AS DOUBLE) AS avg_daily_gmv FROM kpi_summary""",
           rounding={"total_gmv": MONEY, "avg_daily_gmv": MEAN})
 def kpi_card_values(ctx: Context):
+    """The four KPI card numbers with their display types."""
     return serving.kpi_card_values(ctx.mart("kpi_summary"))
 
 
@@ -120,6 +125,7 @@ def mart_sales_daily_by_state(ctx: Context):
 @register("time_features", f"SELECT ds, y, orders, items, {_CAL} FROM mart_sales_daily",
           rounding={"y": MONEY})
 def time_features(ctx: Context):
+    """Six calendar features of the daily series."""
     return features.time_features(ctx.mart("mart_sales_daily"))
 
 
@@ -134,6 +140,7 @@ def lag_features(ctx: Context):
           f"SELECT ds, roll_7, roll_14 FROM (SELECT ds, {_lags_sql()} FROM mart_sales_daily) r",
           rounding={"roll_7": MEAN, "roll_14": MEAN})
 def rolling_mean_history(ctx: Context):
+    """Full-window means of the previous 7 / 14 rows."""
     return features.lag_features(ctx.mart("mart_sales_daily")).select("ds", "roll_7", "roll_14")
 
 
@@ -187,12 +194,14 @@ def time_split(ctx: Context):
 @register("tail_n_rows", f"SELECT ds, y, orders, items FROM ({_POS_SQL}) p WHERE pos_end <= 30",
           rounding={"y": MONEY})
 def tail_n_rows(ctx: Context):
+    """Last 30 rows of the daily series."""
     return features.tail_rows(ctx.mart("mart_sales_daily"), 30)
 
 
 @register("tail7_mean", f"SELECT avg(y) AS tail_mean FROM ({_POS_SQL}) p WHERE pos_end <= 7",
           rounding={"tail_mean": MEAN})
 def tail7_mean(ctx: Context):
+    """Mean y of the last 7 rows."""
     return features.tail_mean(ctx.mart("mart_sales_daily"), 7)
 
 
@@ -228,6 +237,7 @@ def forecast_flat7(ctx: Context):
              FROM s, range(1, 61) r(i)""",
           rounding={"yhat": MEAN})
 def forecast_flat7_by_state(ctx: Context):
+    """Flat 7-row-mean forecast for every state series."""
     daily = mart_sales_daily(_state_facts(ctx), ["customer_state"])
     return features.forecast_flat(daily, 60, 7, series_keys=["customer_state"])
 
@@ -237,6 +247,7 @@ def forecast_flat7_by_state(ctx: Context):
               UNION ALL SELECT ds, CAST(NULL AS DOUBLE) AS y FROM ({_FUTURE_SQL}) f""",
           rounding={"y": MONEY})
 def append_future_rows(ctx: Context):
+    """History plus 60 future days with NULL y."""
     return features.append_future_rows(ctx.mart("mart_sales_daily"), 60)
 
 
@@ -274,6 +285,7 @@ def forecast_metrics_q(ctx: Context):
 @register("weekday_mean", "SELECT dayname(ds) AS weekday, avg(y) AS mean_y FROM mart_sales_daily GROUP BY 1",
           rounding={"mean_y": MEAN})
 def weekday_mean(ctx: Context):
+    """Mean y per English weekday name."""
     return insights.weekday_mean(ctx.mart("mart_sales_daily"))
 
 
@@ -282,6 +294,7 @@ def weekday_mean(ctx: Context):
              ORDER BY mean_y DESC, weekday ASC LIMIT 1""",
           rounding={"mean_y": MEAN})
 def best_weekday(ctx: Context):
+    """Weekday with the highest mean y."""
     return insights.best_weekday(ctx.mart("mart_sales_daily"))
 
 
@@ -305,16 +318,19 @@ _BEST_SQL = """SELECT 3 AS rule, printf('Highest average GMV day is %s.', weekda
 
 @register("insight_total_gmv", _TOTAL_SQL)
 def insight_total_gmv(ctx: Context):
+    """Total GMV text rule."""
     return insights.insight_total_gmv(ctx.mart("kpi_summary"))
 
 
 @register("insight_gmv_trend", _TREND_SQL)
 def insight_gmv_trend(ctx: Context):
+    """Last-30 vs previous-30 rows trend text rule."""
     return insights.insight_gmv_trend(ctx.mart("mart_sales_daily"))
 
 
 @register("insight_best_weekday", _BEST_SQL)
 def insight_best_weekday(ctx: Context):
+    """Best weekday text rule."""
     return insights.insight_best_weekday(ctx.mart("mart_sales_daily"))
 
 
@@ -322,6 +338,7 @@ def insight_best_weekday(ctx: Context):
           f"""SELECT CAST(row_number() OVER (ORDER BY rule) AS INTEGER) AS rank, insight
               FROM ({_TOTAL_SQL} UNION ALL {_TREND_SQL} UNION ALL {_BEST_SQL}) u""")
 def insights_all(ctx: Context):
+    """Ordered, numbered union of the three insight rules."""
     return insights.insights_all(ctx.mart("kpi_summary"), ctx.mart("mart_sales_daily"))
 
 

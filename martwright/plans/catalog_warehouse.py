@@ -23,31 +23,37 @@ def stg_orders(ctx: Context):
 
 @register("stg_order_items", "SELECT * FROM stg_order_items")
 def stg_order_items(ctx: Context):
+    """Item ids INT, money DOUBLE, shipping limit through try_cast."""
     return ctx.stg("order_items")
 
 
 @register("stg_payments", "SELECT * FROM stg_payments")
 def stg_payments(ctx: Context):
+    """Sequential / instalments INT, value DOUBLE."""
     return ctx.stg("payments")
 
 
 @register("stg_reviews", "SELECT * FROM stg_reviews")
 def stg_reviews(ctx: Context):
+    """Score INT, two try_cast timestamps; comment text projected away."""
     return ctx.stg("reviews")
 
 
 @register("stg_customers", "SELECT * FROM stg_customers")
 def stg_customers(ctx: Context):
+    """Zip prefix STRING → INT (leading zeros dropped)."""
     return ctx.stg("customers")
 
 
 @register("stg_products", "SELECT * FROM stg_products")
 def stg_products(ctx: Context):
+    """Misspelled length headers renamed; integer counts tolerate '58.0'."""
     return ctx.stg("products")
 
 
 @register("stg_sellers", "SELECT * FROM stg_sellers")
 def stg_sellers(ctx: Context):
+    """Zip prefix INT."""
     return ctx.stg("sellers")
 
 
@@ -59,6 +65,7 @@ def stg_geolocation(ctx: Context):
 
 @register("stg_category_translation", "SELECT * FROM stg_category_translation")
 def stg_category_translation(ctx: Context):
+    """Category → English name (two strings)."""
     return ctx.stg("category_translation")
 
 
@@ -68,17 +75,20 @@ def stg_category_translation(ctx: Context):
 @register("dim_customers", "SELECT * FROM dim_customers",
           rounding={"customer_lat": GEO, "customer_lng": GEO})
 def dim_customers(ctx: Context):
+    """Customers ⟕ geolocation on zip prefix (coordinates)."""
     return ctx.mart("dim_customers")
 
 
 @register("dim_sellers", "SELECT * FROM dim_sellers",
           rounding={"seller_lat": GEO, "seller_lng": GEO})
 def dim_sellers(ctx: Context):
+    """Sellers ⟕ geolocation on zip prefix (coordinates)."""
     return ctx.mart("dim_sellers")
 
 
 @register("dim_products", "SELECT * FROM dim_products")
 def dim_products(ctx: Context):
+    """Products ⟕ category names, English name with fallback."""
     return ctx.mart("dim_products")
 
 
@@ -96,11 +106,13 @@ def coalesce_category(ctx: Context):
 @register("order_payments", "SELECT * FROM order_payments",
           rounding={"payment_value_total": MONEY})
 def order_payments(ctx: Context):
+    """Per order: Σ value, max instalments, sorted distinct types."""
     return ctx.mart("order_payments")
 
 
 @register("order_reviews", "SELECT * FROM order_reviews")
 def order_reviews(ctx: Context):
+    """Per order: mean score, first review time."""
     return ctx.mart("order_reviews")
 
 
@@ -109,12 +121,14 @@ def order_reviews(ctx: Context):
 
 @register("mart_orders", "SELECT * FROM mart_orders", rounding={"payment_value_total": MONEY})
 def mart_orders(ctx: Context):
+    """Order mart: orders ⟕ customers ⟕ payments ⟕ reviews + delivery metrics."""
     return ctx.mart("mart_orders")
 
 
 @register("mart_order_items", "SELECT * FROM mart_order_items",
           rounding={"payment_value_total": MONEY})
 def mart_order_items(ctx: Context):
+    """Item mart: items ⟕ order side ⟕ products ⟕ sellers, item GMV."""
     return ctx.mart("mart_order_items")
 
 
@@ -135,6 +149,7 @@ def case_is_late(ctx: Context):
 @register("derive_item_gmv",
           "SELECT order_id, order_item_id, price + freight_value AS item_gmv FROM stg_order_items")
 def derive_item_gmv(ctx: Context):
+    """price + freight_value per item (NULL-propagating)."""
     return ctx.stg("order_items").select(
         "order_id", "order_item_id", (F.col("price") + F.col("freight_value")).alias("item_gmv"))
 
@@ -154,6 +169,7 @@ def mart_sales_daily_from_items(ctx: Context):
 @register("kpi_summary", "SELECT * FROM kpi_summary",
           rounding={"total_gmv": MONEY, "avg_daily_gmv": 6})
 def kpi_summary(ctx: Context):
+    """Global KPI row over the daily mart."""
     return ctx.mart("kpi_summary")
 
 
