@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.functions import day_boundaries_between, is_late, purchase_date
-from martwright.operators.joins import left_join_dim, maybe_broadcast
+from martwright.operators.joins import left_join_dim
 
 ORDER_COLUMNS = [
     "order_id", "customer_id", "customer_unique_id", "customer_city", "customer_state",
@@ -224,5 +224,5 @@ def kpi_summary(daily: DataFrame) -> DataFrame:
 __all__ = [
     "ORDER_COLUMNS", "ITEM_COLUMNS", "order_side", "mart_orders", "mart_orders_from_side",
     "mart_order_items", "delivered_filter", "item_sales_facts", "mart_sales_daily",
-    "kpi_summary", "maybe_broadcast",
+    "kpi_summary", "item_facts",
 ]

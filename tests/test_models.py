@@ -102,3 +102,18 @@ def test_metrics_nonnegative_and_mape_floor(spark):
     assert m.rmse == pytest.approx(((1 + 1 + 4) / 3) ** 0.5)
     # y=0 → |−1|/1e-9; y=−2 → floor 1e-9 (signed); y=4 → 0.5
     assert m.mape == pytest.approx((1e9 + 1e9 + 0.5) / 3 * 100)
+
+
+def test_trainers_with_series_keys(spark, sf_small):
+    from martwright.operators.marts import mart_sales_daily
+    ctx = Context(spark, sf_small)
+    facts = ctx.items("customer_state", "order_status", "order_purchase_date", "order_id",
+                      "item_gmv")
+    keys = ["customer_state"]
+    daily = mart_sales_daily(facts, keys).cache()
+    n_series = daily.select(*keys).distinct().count()
+    seasonal = forecasting.train_seasonal(daily, test_days=10, series_keys=keys)
+    assert seasonal.metrics.count() == n_series
+    gbt = forecasting.train_gbt(daily, test_days=10, series_keys=keys, trees=5)
+    m = gbt.metrics.collect()
+    assert 0 < len(m) <= n_series and all(r.mae >= 0 for r in m)
