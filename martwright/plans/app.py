@@ -80,3 +80,37 @@ def memoised_reads(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def insight_page(marts: dict[str, DataFrame]) -> DataFrame:
     return insights.insights_all(marts["kpi_summary"], marts["mart_sales_daily"])
+
+
+def pages(spark: SparkSession, marts: dict[str, DataFrame], rfm_scored: DataFrame | None = None,
+          horizon: int = 60, model=None) -> dict[str, dict[str, DataFrame]]:
+    """Data of the six dashboard pages, as DataFrames (no UI).
+
+    Forecast: ``flat`` is what the source dashboard actually shows (constant
+    mean of the last 7 days); ``recursive`` is the intended model roll-forward,
+    produced when a fitted tree ``model`` is given.
+    """
+    from martwright.operators import features, forecasting, segmentation
+    from martwright.operators.sampling import sample_exact_n
+    daily = marts["mart_sales_daily"]
+    items = marts["mart_order_items"]
+    out = {
+        "overview": {"kpi": serving.kpi_card_values(marts["kpi_summary"]),
+                     "daily": serving.daily_sorted(daily),
+                     "top_categories": serving.top_categories(items)},
+        "sales": {"state_sales": serving.state_sales_top(items),
+                  "daily": serving.daily_sorted(daily)},
+        "forecast": {"flat": features.forecast_flat(daily, horizon, 7)},
+        "insights": {"insights": insight_page(marts)},
+        "data_health": {"row_counts": serving.row_counts(
+            {k: marts[k] for k in ("mart_orders", "mart_order_items", "mart_sales_daily",
+                                   "dim_customers")})},
+    }
+    if model is not None:
+        out["forecast"]["recursive"] = forecasting.forecast_recursive(model, daily, horizon)
+    if rfm_scored is not None:
+        out["customers"] = {
+            "profile": segmentation.segment_profile(rfm_scored),
+            "scatter_sample": sample_exact_n(rfm_scored, 5000, ["customer_unique_id"]),
+        }
+    return out

@@ -43,3 +43,18 @@ def test_csv_raw_dir_roundtrip_builds_same_daily(spark, sf_small):
     got = sorted((r.ds, round(r.y, 2), r.orders, r.items) for r in a.collect())
     want = sorted((r.ds, r.y, r.orders, r.items) for r in q.collect())
     assert got == want
+
+
+def test_cli_build_and_pages(spark, sf_small):
+    from martwright.__main__ import main
+    from martwright.plans.app import open_marts, pages
+    from martwright.session import scratch_path
+    wh = scratch_path(spark, "cli-wh")
+    assert main(["build", "--driver-tables", sf_small, "--warehouse", wh]) == 0
+    marts = open_marts(spark, wh)
+    p = pages(spark, marts)
+    assert set(p) == {"overview", "sales", "forecast", "insights", "data_health"}
+    assert p["forecast"]["flat"].count() == 60
+    assert p["sales"]["state_sales"].count() <= 20
+    counts = {r.t: r.rows for r in p["data_health"]["row_counts"].collect()}
+    assert counts["mart_order_items"] == 6000 or counts["mart_order_items"] > 0
