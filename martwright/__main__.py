@@ -86,9 +86,13 @@ def main(argv: list[str] | None = None) -> int:
         from martwright.plans.app import insight_page, open_marts
         for r in insight_page(open_marts(spark, args.warehouse)).orderBy("rank").collect():
             print(f"{r['rank']}. {r['insight']}")
-    spark.stop()
     return 0
 
 
 if __name__ == "__main__":
-    sys.exit(main())
+    code = main()
+    from pyspark.sql import SparkSession
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        active.stop()
+    sys.exit(code)
