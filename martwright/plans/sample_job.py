@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martwright.operators.sampling import sample_by_keys, sample_children, sample_exact_n
 from martwright.schemas import REQUIRED_FILES
+from martwright.session import checkpoint
 from martwright.sinks.exports import write_csv
 
 # --- fixed values: default sample sizes and seed ---
@@ -22,10 +23,14 @@ SEED = 42
 
 def sample_tables(raw: dict[str, DataFrame], n_orders: int = SAMPLE_ORDERS,
                   n_geo: int = SAMPLE_GEOLOCATION, seed: int = SEED) -> dict[str, DataFrame]:
-    orders = sample_exact_n(raw["orders"], n_orders, ["order_id"], seed)
+    # The sample (≤ n rows) feeds six consumers; materialise it once instead of
+    # re-running the hash top-n for each. Same for the sampled items, which key
+    # the product and seller samples.
+    orders = checkpoint(sample_exact_n(raw["orders"], n_orders, ["order_id"], seed))
     out = {"orders": orders}
     out.update(sample_children({k: raw[k] for k in ("order_items", "payments", "reviews")},
                                orders, "order_id"))
+    out["order_items"] = checkpoint(out["order_items"])
     out["customers"] = sample_by_keys(raw["customers"], orders, "customer_id", "customer_id")
     out["products"] = sample_by_keys(raw["products"], out["order_items"], "product_id",
                                      "product_id")

@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.operators import forecasting, segmentation
+from martwright.session import checkpoint
 from martwright.sinks.exports import write_metrics_json
 from martwright.sinks.tables import write_table
 
@@ -55,6 +56,9 @@ def train_all(spark: SparkSession, daily: DataFrame, delivered_items: DataFrame,
     passes over it: each pass then re-reads compact Parquet, not the item
     joins (and a lost executor does not trigger recomputation of them).
     """
+    # The daily series (one row per day) feeds both trainers and the counts:
+    # materialise it once so none of them re-runs the item joins behind it.
+    daily = checkpoint(daily)
     empty_guard(daily)
     seasonal = forecasting.train_seasonal(daily, test_days)
     save_model(seasonal.model, f"{out_dir}/seasonal_model")
