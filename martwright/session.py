@@ -30,6 +30,8 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # Reliable checkpoints are removed once their DataFrame is garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -1,0 +1 @@
+"""Outputs: layer tables, CSV / JSON / Parquet exports."""

@@ -1 +1,8 @@
-"""streaming"""
+"""Streaming operators: none.
+
+The reference has no streaming input, event-time windows, watermarks or
+stateful operators; every job is a full-refresh batch over the raw files.
+This package is intentionally empty rather than inventing operators the
+reference does not have. (If raw files arrive continuously, the batch jobs in
+``martwright.plans`` can be re-run; they overwrite their outputs idempotently.)
+"""
