@@ -269,3 +269,27 @@ def test_order_side_null_order_ids_are_salted_not_matched(spark):
     assert [r.review_score_avg for r in rows if r.order_id == "o2"] == [4.0]
     mo = marts.mart_orders_from_side(side)
     assert mo.count() == 4 and mo.where(F.col("order_id").isNull()).count() == 3
+
+
+def test_reviews_csv_with_multiline_comments_and_extra_columns(spark, tmp_path):
+    from martwright.sources.csv_files import scan_csv
+    p = tmp_path / "reviews.csv"
+    p.write_text(
+        "review_id,order_id,review_score,review_comment_title,review_comment_message,"
+        "review_creation_date,review_answer_timestamp\n"
+        'r1,o1,5,,"great, fast\nsecond line ""quoted""",2018-01-18 00:00:00,2018-01-18 21:46:59\n'
+        "r2,o2,1,bad,,2018-03-10 00:00:00,\n")
+    raw = scan_csv(spark, str(p), "reviews")
+    assert raw.columns == ["review_id", "order_id", "review_score", "review_creation_date",
+                           "review_answer_timestamp"]
+    rows = {r.review_id: r for r in staging.stage_reviews(raw).collect()}
+    assert rows["r1"].review_score == 5 and rows["r1"].review_answer_ts == T(2018, 1, 18, 21, 46, 59)
+    assert rows["r2"].review_answer_ts is None and rows["r2"].review_creation_ts == T(2018, 3, 10)
+
+
+def test_csv_missing_required_column_is_reported(spark, tmp_path):
+    from martwright.sources.csv_files import scan_csv
+    p = tmp_path / "sellers.csv"
+    p.write_text("seller_id,seller_city\ns1,x\n")
+    with pytest.raises(ValueError, match="seller_zip_code_prefix"):
+        scan_csv(spark, str(p), "sellers")
