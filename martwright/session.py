@@ -42,9 +42,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = 8,
                   event_log_dir: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the engine settings applied.
 
-    ``shuffle_partitions=None`` sizes the initial shuffle width from the
-    cluster (4 × default parallelism); AQE then coalesces to ~128 MB
-    partitions, so the same setting serves small and 100 TB inputs.
+    ``shuffle_partitions=None`` (the cluster setting) sizes the shuffle width
+    from the cluster: AQE starts from 16 × default parallelism and coalesces
+    to ~128 MB partitions, so the same setting serves small and 100 TB inputs.
     ``event_log_dir`` writes Spark's event log there (stage/task timings
     without the UI).
     """
@@ -64,8 +64,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if shuffle_partitions is None:
-        width = max(200, 4 * spark.sparkContext.defaultParallelism)
-        spark.conf.set("spark.sql.shuffle.partitions", str(width))
+        # AQE can merge shuffle partitions but not split them (skew aside), so
+        # start wide (a 30 TB item shuffle needs ~10^5 partitions to stay near the
+        # 128 MB advisory size) and let AQE coalesce to that size, not to core count.
+        cores = spark.sparkContext.defaultParallelism
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(200, 4 * cores)))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                       str(max(1000, 16 * cores)))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     ensure_checkpoint_dir(spark)
     return spark
 
