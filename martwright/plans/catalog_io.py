@@ -5,6 +5,7 @@ from __future__ import annotations
 from martwright.operators import segmentation, serving
 from martwright.operators.sampling import sample_by_keys, sample_children, sample_exact_n
 from martwright.plans.catalog_models import RFM_SQL
+from martwright.plans.catalog_serving import _BEST_SQL, _TOTAL_SQL, _TREND_SQL
 from martwright.plans.context import Context
 from martwright.plans.registry import register
 from martwright.schemas import DAILY
@@ -216,7 +217,9 @@ def make_sample_q(ctx: Context):
                                for name, p in written.items()})
 
 
-@register("ensure_built")
+@register("ensure_built", f"""SELECT CAST(row_number() OVER (ORDER BY rule) AS INTEGER) AS rank,
+                                      insight
+                               FROM ({_TOTAL_SQL} UNION ALL {_TREND_SQL} UNION ALL {_BEST_SQL}) u""")
 def ensure_built_q(ctx: Context):
     """Build-if-missing (warehouse + best-effort training), then the insight page."""
     from martwright.plans.app import ensure_built, insight_page

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from scripts.oracle_check import compare, duck_rows, spark_rows
 
 
-@pytest.mark.parametrize("key", ["run_pipeline", "export_all", "make_sample"])
+@pytest.mark.parametrize("key", ["run_pipeline", "export_all", "make_sample", "ensure_built"])
 def test_job_matches_oracle(spark, duck, sf_small, key):
     got = spark_rows(spark, entry.queries()[key], sf_small)
     want = duck_rows(duck, entry.oracle_sql()[key])
