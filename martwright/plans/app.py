@@ -29,15 +29,17 @@ def open_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return marts
 
 
-def ensure_built(spark: SparkSession, raw: dict[str, DataFrame], root: str,
+def ensure_built(spark: SparkSession, raw, root: str,
                  train_dir: str | None = None) -> dict[str, DataFrame]:
     """Open the warehouse, building it (and training, step by step) when missing.
 
-    A failing training step is logged and skipped so the marts stay usable.
+    ``raw`` is the dict of raw inputs or a zero-argument callable returning it
+    (only called when a build is needed). A failing training step is logged
+    and skipped so the marts stay usable.
     """
     if warehouse_exists(spark, root):
         return open_marts(spark, root)
-    layers = run_pipeline(spark, raw, root)
+    layers = run_pipeline(spark, raw() if callable(raw) else raw, root)
     if train_dir:
         from martwright.operators import forecasting, segmentation
         from martwright.plans.training import save_model

@@ -58,3 +58,22 @@ def test_cli_build_and_pages(spark, sf_small):
     assert p["sales"]["state_sales"].count() <= 20
     counts = {r.t: r.rows for r in p["data_health"]["row_counts"].collect()}
     assert counts["mart_order_items"] == entry.queries()["stg_order_items"](spark, sf_small).count()
+
+
+def test_pipeline_refresh_is_idempotent_and_ensure_built_reuses(spark, sf_small):
+    from martwright.plans.app import ensure_built, warehouse_exists
+    from martwright.plans.warehouse import run_pipeline
+    from martwright.session import scratch_path
+    from martwright.sources.driver_tables import raw_inputs
+    root = scratch_path(spark, "wh-idem")
+    first = run_pipeline(spark, raw_inputs(spark, sf_small), root)
+    a = {k: v.count() for k, v in first.mart.items()}
+    daily_a = sorted(tuple(r) for r in first.mart["mart_sales_daily"].collect())
+    second = run_pipeline(spark, raw_inputs(spark, sf_small), root)  # full refresh, same root
+    assert {k: v.count() for k, v in second.mart.items()} == a
+    assert sorted(tuple(r) for r in second.mart["mart_sales_daily"].collect()) == daily_a
+    assert warehouse_exists(spark, root)
+    def no_build():
+        raise AssertionError("an existing warehouse must not be rebuilt")
+    marts = ensure_built(spark, no_build, root)
+    assert marts["mart_sales_daily"].count() == a["mart_sales_daily"]
