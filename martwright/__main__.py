@@ -1,6 +1,6 @@
 """Command line: the warehouse build, training, export and sampling jobs.
 
-    python -m martwright build   --raw DIR --warehouse DIR [--persist-stg]
+    python -m martwright build   --raw DIR --warehouse DIR [--persist-stg] [--persist-raw]
     python -m martwright train   --warehouse DIR --artifacts DIR [--test-days 60]
     python -m martwright export  --warehouse DIR --out DIR
     python -m martwright sample  --raw DIR --out DIR [--orders 15000] [--geo 50000]
@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--driver-tables")
     b.add_argument("--warehouse", required=True)
     b.add_argument("--persist-stg", action="store_true")
+    b.add_argument("--persist-raw", action="store_true")
 
     t = sub.add_parser("train")
     t.add_argument("--warehouse", required=True)
@@ -65,7 +66,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "build":
         from martwright.plans.warehouse import run_pipeline
         layers = run_pipeline(spark, _raw(spark, args), args.warehouse,
-                              persist_stg=args.persist_stg)
+                              persist_stg=args.persist_stg, persist_raw=args.persist_raw)
         print(json.dumps({k: v.count() for k, v in layers.mart.items() if k != "kpi_summary"}))
     elif args.cmd == "train":
         from martwright.plans.app import delivered_extract, open_marts

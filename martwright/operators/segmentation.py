@@ -44,10 +44,20 @@ def rfm(items: DataFrame, as_of: dt.date | str | None = None,
                     "frequency", "monetary")
 
 
-def rfm_scale(scored: DataFrame, cols: list[str] = RFM_COLUMNS) -> DataFrame:
-    """Adds ``<c>_z`` = (c − mean) / population std; a zero-variance column scales to 0."""
-    stats = scored.agg(*[F.avg(c).alias(f"{c}_mean") for c in cols],
-                       *[F.stddev_pop(c).alias(f"{c}_std") for c in cols])
+def scaling_stats(scored: DataFrame, cols: list[str] = RFM_COLUMNS) -> DataFrame:
+    """One row: mean and population std of each RFM column (the fitted scaler)."""
+    return scored.agg(*[F.avg(c).alias(f"{c}_mean") for c in cols],
+                      *[F.stddev_pop(c).alias(f"{c}_std") for c in cols])
+
+
+def rfm_scale(scored: DataFrame, cols: list[str] = RFM_COLUMNS,
+              stats: DataFrame | None = None) -> DataFrame:
+    """Adds ``<c>_z`` = (c − mean) / population std; a zero-variance column scales to 0.
+
+    ``stats`` (from ``scaling_stats``, e.g. a stored scaler) scales new customers
+    with the statistics of the training population.
+    """
+    stats = scaling_stats(scored, cols) if stats is None else stats
     out = scored
     for c in cols:
         mean = stats.select(f"{c}_mean").scalar()

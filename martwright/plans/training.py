@@ -66,7 +66,8 @@ def train_all(spark: SparkSession, daily: DataFrame, delivered_items: DataFrame,
     save_model(gbt.model, f"{out_dir}/gbt_model")
 
     rfm = write_table(spark, segmentation.rfm(delivered_items), f"{out_dir}/rfm")
-    scaled = segmentation.rfm_scale(rfm)
+    scaler = write_table(spark, segmentation.scaling_stats(rfm), f"{out_dir}/rfm_scaler")
+    scaled = segmentation.rfm_scale(rfm, stats=scaler)
     km = segmentation.fit_kmeans(scaled, k=k)
     save_model(km, f"{out_dir}/rfm_kmeans")
     scored = write_table(spark, segmentation.assign_segments(km, scaled), f"{out_dir}/rfm_scored")

@@ -71,17 +71,23 @@ AGGREGATED_STG = ("geolocation",)
 
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
-                 persist_stg: bool = False) -> Layers:
+                 persist_stg: bool = False, persist_raw: bool = False) -> Layers:
     """Full refresh of the warehouse as Parquet under ``root``.
 
     Marts (and the aggregated staging table) are always stored. The other
     staging tables are cast/rename projections; by default they stay views
     fused into the mart builds, so each raw input is scanned exactly once.
     ``persist_stg=True`` stores them too (a second full write and read of
-    every raw table). ``kpi_summary`` stays a view over the stored daily mart.
+    every raw table). ``persist_raw=True`` first stores the raw inputs as
+    Parquet under ``root/raw`` (a one-time CSV → columnar conversion, as the
+    source system copies its CSVs into a raw schema) and builds from that copy.
+    ``kpi_summary`` stays a view over the stored daily mart.
     """
     from martwright.sinks.tables import write_table
 
+    if persist_raw:
+        raw = {name: write_table(spark, df, f"{root}/raw/{name}") for name, df in raw.items()}
+
     def stg_keep(name: str, df: DataFrame) -> DataFrame:
         if persist_stg or name in AGGREGATED_STG:
             return write_table(spark, df, f"{root}/stg/{name}")

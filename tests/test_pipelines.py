@@ -77,3 +77,27 @@ def test_pipeline_refresh_is_idempotent_and_ensure_built_reuses(spark, sf_small)
         raise AssertionError("an existing warehouse must not be rebuilt")
     marts = ensure_built(spark, no_build, root)
     assert marts["mart_sales_daily"].count() == a["mart_sales_daily"]
+
+
+def test_persist_raw_and_stg_layers(spark, sf_small):
+    from martwright.plans.warehouse import run_pipeline
+    from martwright.session import scratch_path
+    from martwright.sources.driver_tables import raw_inputs
+    root = scratch_path(spark, "wh-layers")
+    layers = run_pipeline(spark, raw_inputs(spark, sf_small), root, persist_stg=True,
+                          persist_raw=True)
+    assert spark.read.parquet(f"{root}/raw/orders").count() == 1500
+    assert spark.read.parquet(f"{root}/stg/order_items").count() == 6000
+    assert layers.mart["mart_order_items"].count() == 6000
+
+
+def test_stored_scaler_scores_new_customers(spark):
+    from martwright.operators import segmentation
+    train = spark.createDataFrame([("a", 1, 1, 10.0), ("b", 3, 3, 30.0)],
+                                  "customer_unique_id string, recency bigint, frequency bigint, "
+                                  "monetary double")
+    stats = segmentation.scaling_stats(train)
+    new = spark.createDataFrame([("c", 2, 2, 20.0)], "customer_unique_id string, "
+                                "recency bigint, frequency bigint, monetary double")
+    z = segmentation.rfm_scale(new, stats=stats).first()
+    assert (z.recency_z, z.frequency_z, z.monetary_z) == (0.0, 0.0, 0.0)
