@@ -204,25 +204,27 @@ def forecast_recursive(model: PipelineModel, daily: DataFrame, horizon: int,
     dashboard does when the target row is missing.
     """
     keys = list(series_keys)
-    state = _state(daily, keys).withColumn(
-        "_preds", F.array().cast("array<struct<ds:date,yhat:double>>"))
+    # Fallback = mean of the last ``fallback_n`` *historical* values (never updated
+    # with predictions), fixed before the loop.
+    tail = F.slice("_hist", -fallback_n, fallback_n)
+    state = _state(daily, keys).withColumns({
+        "_preds": F.array().cast("array<struct<ds:date,yhat:double>>"),
+        "_fallback": (F.aggregate(tail, F.lit(0.0), lambda a, x: a + x)
+                      / F.greatest(F.size(tail), F.lit(1)))})
     feature_cols = list(GBT_FEATURES)
     for step in range(1, horizon + 1):
         feats = _step_features(state)
         complete = F.size("_hist") >= STATE_LEN
-        tail = F.slice("_hist", -fallback_n, fallback_n)
-        fallback = (F.aggregate(tail, F.lit(0.0), lambda a, x: a + x)
-                    / F.greatest(F.size(tail), F.lit(1)))
         # Incomplete rows get placeholder features; their prediction is discarded.
         filled = feats.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-                                    for c in feature_cols}).withColumn("_complete", complete) \
-            .withColumn("_fallback", fallback)
+                                    for c in feature_cols}).withColumn("_complete", complete)
         scored = model.transform(filled)
         yhat = F.when(F.col("_complete"), F.col("yhat")).otherwise(F.col("_fallback"))
         state = scored.select(
             *keys, F.col("ds").alias("_last"),
             F.slice(F.concat("_hist", F.array(yhat)), -STATE_LEN, STATE_LEN).alias("_hist"),
-            F.concat("_preds", F.array(F.struct(F.col("ds"), yhat.alias("yhat")))).alias("_preds"))
+            F.concat("_preds", F.array(F.struct(F.col("ds"), yhat.alias("yhat")))).alias("_preds"),
+            "_fallback")
         if step % checkpoint_every == 0 and step < horizon:
             state = checkpoint(state)
     return state.select(*keys, F.inline("_preds"))

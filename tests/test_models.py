@@ -79,8 +79,10 @@ def test_recursive_first_step_matches_feature_row(golden, gbt):
 def test_recursive_short_series_falls_back(spark, gbt):
     rows = [(dt.date(2020, 1, 1) + dt.timedelta(days=i), float(i), 1, 1) for i in range(10)]
     short = spark.createDataFrame(rows, "ds date, y double, orders bigint, items bigint")
-    out = forecasting.forecast_recursive(gbt.model, short, horizon=2).orderBy("ds").collect()
-    assert out[0].yhat == pytest.approx(sum(range(3, 10)) / 7)
+    out = forecasting.forecast_recursive(gbt.model, short, horizon=25).orderBy("ds").collect()
+    # 10 history rows + 18 fallback steps < 28: every step uses the historical 7-row mean
+    assert all(r.yhat == pytest.approx(sum(range(3, 10)) / 7) for r in out[:18])
+    assert len(out) == 25
 
 
 def test_kmeans_segments_cover_customers_once(spark, sf_small):
