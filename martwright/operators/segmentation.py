@@ -30,15 +30,17 @@ def rfm(items: DataFrame, as_of: dt.date | str | None = None,
     drop out; an all-NULL spend is 0.0.
     """
     base = items.where(F.col(customer).isNotNull())
-    if as_of is None:
-        as_of_col: Column = F.date_add(
-            base.select(F.max("order_purchase_date")).scalar(), 1)
-    else:
-        as_of_col = F.lit(as_of).cast("date")
     g = base.groupBy(customer).agg(
         F.max("order_purchase_date").alias("_last"),
         F.count_distinct("order_id").alias("frequency"),
         F.coalesce(F.sum("item_gmv"), F.lit(0.0)).alias("monetary"))
+    if as_of is None:
+        # Latest purchase = max of the per-customer last purchases: the subquery
+        # shares the aggregate's shuffles with the main plan (ReusedExchange)
+        # instead of scanning the item joins a second time.
+        as_of_col: Column = F.date_add(g.select(F.max("_last")).scalar(), 1)
+    else:
+        as_of_col = F.lit(as_of).cast("date")
     return g.select(customer,
                     F.datediff(as_of_col, F.col("_last")).cast("bigint").alias("recency"),
                     "frequency", "monetary")
