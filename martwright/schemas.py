@@ -17,7 +17,7 @@ REQUIRED_FILES = {
     "category_translation": "product_category_name_translation.csv",
 }
 
-# Raw columns each input must provide (header names, read as text).
+# --- fixed values: raw columns each input must provide (header names, read as text) ---
 RAW_COLUMNS = {
     "orders": ["order_id", "customer_id", "order_status", "order_purchase_timestamp",
                "order_approved_at", "order_delivered_carrier_date",
@@ -50,6 +50,7 @@ def struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# --- fixed values: staged table contracts (column names and types) ---
 STAGED = {
     "orders": struct(("order_id", S), ("customer_id", S), ("order_status", S),
                      ("order_purchase_ts", TS), ("order_approved_ts", TS),
