@@ -293,3 +293,13 @@ def test_csv_missing_required_column_is_reported(spark, tmp_path):
     p.write_text("seller_id,seller_city\ns1,x\n")
     with pytest.raises(ValueError, match="seller_zip_code_prefix"):
         scan_csv(spark, str(p), "sellers")
+
+
+@pytest.mark.parametrize("name", ["orders", "order_items", "payments", "reviews", "customers",
+                                  "products", "sellers", "geolocation", "category_translation"])
+def test_staged_tables_match_their_contract(spark, sf_small, name):
+    import __spark_entry__ as entry
+    from martwright.schemas import STAGED
+    got = entry.queries()[f"stg_{name}"](spark, sf_small).schema
+    assert [(f.name, f.dataType) for f in got.fields] == \
+        [(f.name, f.dataType) for f in STAGED[name].fields]
