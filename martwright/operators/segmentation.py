@@ -23,21 +23,25 @@ RFM_COLUMNS = ["recency", "frequency", "monetary"]
 
 
 def rfm(items: DataFrame, as_of: dt.date | str | None = None,
-        customer: str = "customer_unique_id") -> DataFrame:
+        customer: str = "customer_unique_id", materialise=None) -> DataFrame:
     """recency (days from last purchase to as-of), frequency (distinct orders), monetary (Σ gmv).
 
     ``as_of`` defaults to the latest purchase date + 1 day; NULL customers
-    drop out; an all-NULL spend is 0.0.
+    drop out; an all-NULL spend is 0.0. The default as-of is a scalar
+    subquery over the per-customer aggregate; ``materialise`` (e.g.
+    ``session.checkpoint``) stores that aggregate first so the subquery and
+    the final projection both read the small per-customer table instead of
+    running the item joins twice.
     """
     base = items.where(F.col(customer).isNotNull())
     g = base.groupBy(customer).agg(
         F.max("order_purchase_date").alias("_last"),
         F.count_distinct("order_id").alias("frequency"),
         F.coalesce(F.sum("item_gmv"), F.lit(0.0)).alias("monetary"))
+    if materialise is not None:
+        g = materialise(g)
     if as_of is None:
-        # Latest purchase = max of the per-customer last purchases: the subquery
-        # shares the aggregate's shuffles with the main plan (ReusedExchange)
-        # instead of scanning the item joins a second time.
+        # Latest purchase = max of the per-customer last purchases.
         as_of_col: Column = F.date_add(g.select(F.max("_last")).scalar(), 1)
     else:
         as_of_col = F.lit(as_of).cast("date")
@@ -96,11 +100,11 @@ def segment_customers(items: DataFrame, k: int = 4, seed: int = 42,
                       as_of: dt.date | str | None = None):
     """RFM → scale → KMeans → labelled customers. Returns (model, scored DataFrame).
 
-    The RFM table is checkpointed (written to the shared checkpoint folder)
-    first: KMeans makes tens of passes and the labelling reads it twice, and
-    none of them should re-run the item joins behind it.
+    The per-customer aggregate is checkpointed (written to the shared
+    checkpoint folder) first: the as-of subquery, KMeans' tens of passes and
+    the labelling all read it, and none of them re-runs the item joins.
     """
-    r = checkpoint(rfm(items, as_of))
+    r = rfm(items, as_of, materialise=checkpoint)
     scaled = rfm_scale(r)
     model = fit_kmeans(scaled, k=k, seed=seed)
     return model, assign_segments(model, scaled)

@@ -65,7 +65,8 @@ def train_all(spark: SparkSession, daily: DataFrame, delivered_items: DataFrame,
     gbt = forecasting.train_gbt(daily, test_days)
     save_model(gbt.model, f"{out_dir}/gbt_model")
 
-    rfm = write_table(spark, segmentation.rfm(delivered_items), f"{out_dir}/rfm")
+    rfm = write_table(spark, segmentation.rfm(delivered_items, materialise=checkpoint),
+                      f"{out_dir}/rfm")
     scaler = write_table(spark, segmentation.scaling_stats(rfm), f"{out_dir}/rfm_scaler")
     scaled = segmentation.rfm_scale(rfm, stats=scaler)
     km = segmentation.fit_kmeans(scaled, k=k)
