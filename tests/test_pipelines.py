@@ -101,3 +101,20 @@ def test_stored_scaler_scores_new_customers(spark):
                                 "recency bigint, frequency bigint, monetary double")
     z = segmentation.rfm_scale(new, stats=stats).first()
     assert (z.recency_z, z.frequency_z, z.monetary_z) == (0.0, 0.0, 0.0)
+
+
+def test_cli_export_and_sample(spark, sf_small):
+    from martwright.__main__ import main
+    from martwright.schemas import REQUIRED_FILES
+    from martwright.session import scratch_path
+    from martwright.sinks.exports import EXPORT_TABLES
+    wh, exp, smp = (scratch_path(spark, n) for n in ("cli-wh2", "cli-exp", "cli-smp"))
+    assert main(["build", "--driver-tables", sf_small, "--warehouse", wh]) == 0
+    assert main(["export", "--warehouse", wh, "--out", exp]) == 0
+    for t in EXPORT_TABLES:
+        assert spark.read.option("header", True).csv(f"{exp}/{t}").count() > 0
+    assert main(["sample", "--driver-tables", sf_small, "--out", smp, "--orders", "300"]) == 0
+    orders = spark.read.option("header", True).csv(f"{smp}/{REQUIRED_FILES['orders']}")
+    items = spark.read.option("header", True).csv(f"{smp}/{REQUIRED_FILES['order_items']}")
+    assert orders.count() == 300
+    assert items.join(orders, "order_id", "left_anti").count() == 0  # referentially consistent
