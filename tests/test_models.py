@@ -119,3 +119,44 @@ def test_trainers_with_series_keys(spark, sf_small):
     gbt = forecasting.train_gbt(daily, test_days=10, series_keys=keys, trees=5)
     m = gbt.metrics.collect()
     assert 0 < len(m) <= n_series and all(r.mae >= 0 for r in m)
+
+
+def test_seasonal_design_matches_numpy_least_squares(spark, sf_small):
+    """With no ridge penalty the seasonal fit equals numpy OLS on an independently built design."""
+    import numpy as np
+    ctx = Context(spark, sf_small)
+    daily = ctx.mart("mart_sales_daily").orderBy("ds").toPandas()
+    res = forecasting.train_seasonal(spark.createDataFrame(daily), test_days=60, reg=0.0)
+    pred = res.predictions.orderBy("ds").toPandas()
+    train, test = daily.iloc[:-60], daily.iloc[-60:]
+    origin = train.ds.min()
+
+    def design(frame):
+        d = np.array([(x - origin).days for x in frame.ds], dtype=float)
+        t = d / 365.25
+        cols = [t]
+        fourier = []
+        for period, order in ((365.25, 2), (7.0, 3)):
+            for k in range(1, order + 1):
+                ang = 2 * np.pi * k * d / period
+                fourier += [np.sin(ang), np.cos(ang)]
+        cols += fourier + [t * f for f in fourier]
+        return np.column_stack(cols + [np.ones_like(t)])
+
+    coef, *_ = np.linalg.lstsq(design(train), train.y.to_numpy(), rcond=None)
+    expect = design(test) @ coef
+    assert np.allclose(pred.yhat.to_numpy(), expect, rtol=1e-4, atol=1e-3 * train.y.abs().mean())
+
+
+def test_kmeans_labels_are_nearest_centres(spark, sf_small):
+    import numpy as np
+    ctx = Context(spark, sf_small)
+    r = segmentation.rfm(ctx.delivered_items())
+    scaled = segmentation.rfm_scale(r)
+    model = segmentation.fit_kmeans(scaled, k=4)
+    centres = np.array(model.stages[-1].clusterCenters())
+    pdf = model.transform(scaled).select("recency_z", "frequency_z", "monetary_z",
+                                         "_cluster").toPandas()
+    x = pdf[["recency_z", "frequency_z", "monetary_z"]].to_numpy()
+    nearest = np.argmin(((x[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2), axis=1)
+    assert (nearest == pdf["_cluster"].to_numpy()).all()
