@@ -74,6 +74,15 @@ def test_recursive_first_step_matches_feature_row(golden, gbt):
            .where(F.col("ds") == dt.date(2018, 8, 30)))
     expect = gbt.model.transform(row).first().yhat
     assert out[0].yhat == pytest.approx(expect, rel=1e-9)
+    # later steps: features over history + the earlier predictions written back as y
+    spark = golden.sparkSession
+    hist = golden.select("ds", "y")
+    for i in (1, 2):
+        fed = hist.unionByName(spark.createDataFrame(
+            [(r.ds, float(r.yhat)) for r in out[:i]] + [(out[i].ds, None)], "ds date, y double"))
+        row = (features.lag_features(features.time_features(fed))
+               .where(F.col("ds") == out[i].ds))
+        assert out[i].yhat == pytest.approx(gbt.model.transform(row).first().yhat, rel=1e-9)
 
 
 def test_recursive_short_series_falls_back(spark, gbt):
