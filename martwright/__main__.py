@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--warehouse", required=True)
     b.add_argument("--persist-stg", action="store_true")
     b.add_argument("--persist-raw", action="store_true")
+    b.add_argument("--month-buckets", type=int, default=None,
+                   help="store order/item marts partitioned by purchase month")
 
     t = sub.add_parser("train")
     t.add_argument("--warehouse", required=True)
@@ -66,7 +68,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "build":
         from martwright.plans.warehouse import run_pipeline
         layers = run_pipeline(spark, _raw(spark, args), args.warehouse,
-                              persist_stg=args.persist_stg, persist_raw=args.persist_raw)
+                              persist_stg=args.persist_stg, persist_raw=args.persist_raw,
+                              month_buckets=args.month_buckets)
         print(json.dumps({k: v.count() for k, v in layers.mart.items() if k != "kpi_summary"}))
     elif args.cmd == "train":
         from martwright.plans.app import delivered_extract, open_marts
