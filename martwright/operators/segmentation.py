@@ -26,15 +26,17 @@ def rfm(items: DataFrame, as_of: dt.date | str | None = None,
         customer: str = "customer_unique_id", materialise=None) -> DataFrame:
     """recency (days from last purchase to as-of), frequency (distinct orders), monetary (Σ gmv).
 
-    ``as_of`` defaults to the latest purchase date + 1 day; NULL customers
-    drop out; an all-NULL spend is 0.0. The default as-of is a scalar
+    ``as_of`` defaults to the latest purchase date of the whole input + 1 day;
+    NULL customers then drop out; an all-NULL spend is 0.0. The default as-of is a scalar
     subquery over the per-customer aggregate; ``materialise`` (e.g.
     ``session.checkpoint``) stores that aggregate first so the subquery and
     the final projection both read the small per-customer table instead of
     running the item joins twice.
     """
-    base = items.where(F.col(customer).isNotNull())
-    g = base.groupBy(customer).agg(
+    # The NULL customer forms its own group here: it still counts for the
+    # default as-of date (the latest purchase of the whole input) and is
+    # dropped from the output below.
+    g = items.groupBy(customer).agg(
         F.max("order_purchase_date").alias("_last"),
         F.count_distinct("order_id").alias("frequency"),
         F.coalesce(F.sum("item_gmv"), F.lit(0.0)).alias("monetary"))
@@ -45,9 +47,9 @@ def rfm(items: DataFrame, as_of: dt.date | str | None = None,
         as_of_col: Column = F.date_add(g.select(F.max("_last")).scalar(), 1)
     else:
         as_of_col = F.lit(as_of).cast("date")
-    return g.select(customer,
-                    F.datediff(as_of_col, F.col("_last")).cast("bigint").alias("recency"),
-                    "frequency", "monetary")
+    return g.where(F.col(customer).isNotNull()).select(
+        customer, F.datediff(as_of_col, F.col("_last")).cast("bigint").alias("recency"),
+        "frequency", "monetary")
 
 
 def scaling_stats(scored: DataFrame, cols: list[str] = RFM_COLUMNS) -> DataFrame:

@@ -206,7 +206,8 @@ def test_rfm_single_customer_and_zero_variance(spark):
         "customer_unique_id string, order_id string, order_purchase_date date, item_gmv double")
     r = segmentation.rfm(items).collect()
     assert len(r) == 1
-    assert (r[0].recency, r[0].frequency, r[0].monetary) == (1, 2, 15.0)
+    # as-of = latest purchase of the whole input (the NULL-customer row, Jan 9) + 1 day
+    assert (r[0].recency, r[0].frequency, r[0].monetary) == (7, 2, 15.0)
     z = segmentation.rfm_scale(segmentation.rfm(items)).first()
     assert (z.recency_z, z.frequency_z, z.monetary_z) == (0.0, 0.0, 0.0)
 

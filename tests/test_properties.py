@@ -39,3 +39,37 @@ def test_lags_and_rolls_match_pandas(spark, rows):
         a, b = got[c].astype(float), exp[c].astype(float)
         assert a.isna().tolist() == b.isna().tolist(), c
         assert ((a - b).abs().fillna(0) < 1e-9).all(), c
+
+
+items_rows = st.lists(
+    st.tuples(st.one_of(st.none(), st.sampled_from(["u1", "u2", "u3"])),   # customer
+              st.sampled_from(["o1", "o2", "o3", "o4", "o5"]),               # order
+              st.integers(min_value=0, max_value=40),                        # day offset
+              st.one_of(st.none(), st.integers(min_value=0, max_value=9999))),  # gmv cents
+    min_size=1, max_size=30)
+
+
+@settings(max_examples=12, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=items_rows)
+def test_rfm_matches_groupby(spark, rows):
+    from martwright.operators import segmentation
+    base = dt.date(2020, 1, 1)
+    data = [(c, o, base + dt.timedelta(days=d), None if g is None else g / 100.0)
+            for c, o, d, g in rows]
+    sdf = spark.createDataFrame(data, "customer_unique_id string, order_id string, "
+                                      "order_purchase_date date, item_gmv double")
+    got = {r.customer_unique_id: (r.recency, r.frequency, round(r.monetary, 2))
+           for r in segmentation.rfm(sdf).collect()}
+    known = [r for r in data if r[0] is not None]
+    if not known:
+        assert got == {}
+        return
+    as_of = max(r[2] for r in data) + dt.timedelta(days=1)  # whole input, NULL customers too
+    want = {}
+    for cust in {r[0] for r in known}:
+        mine = [r for r in known if r[0] == cust]
+        want[cust] = ((as_of - max(r[2] for r in mine)).days,
+                      len({r[1] for r in mine}),
+                      round(sum(r[3] for r in mine if r[3] is not None), 2))
+    assert got == want
