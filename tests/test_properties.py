@@ -73,3 +73,45 @@ def test_rfm_matches_groupby(spark, rows):
                       len({r[1] for r in mine}),
                       round(sum(r[3] for r in mine if r[3] is not None), 2))
     assert got == want
+
+
+daily_rows = st.lists(st.tuples(st.integers(min_value=1, max_value=3),
+                                st.integers(min_value=1, max_value=100000)),
+                      min_size=1, max_size=80)
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=daily_rows)
+def test_series_insights_match_python(spark, rows):
+    from martwright.operators import insights
+    day, data = dt.date(2021, 3, 1), []
+    for gap, cents in rows:
+        day = day + dt.timedelta(days=gap)
+        data.append((day, cents / 100.0))
+    sdf = spark.createDataFrame(data, "ds date, y double")
+    trend = [r.insight for r in insights.insight_gmv_trend(sdf).collect()]
+    best = [r.insight for r in insights.insight_best_weekday(sdf).collect()]
+
+    ys = [y for _, y in sorted(data)]
+    if len(ys) >= 60 and sum(ys[-60:-30]) > 0:
+        last, prev = sum(ys[-30:]), sum(ys[-60:-30])
+        ch = (last - prev) / prev * 100.0
+        # direction exactly; the 1-dp figure numerically (Java and Python break
+        # exact .x5 ties differently, so the text is not compared digit by digit)
+        words = trend[0].split()
+        assert len(trend) == 1 and words[2] == ("up" if ch >= 0 else "down")
+        assert abs(float(words[3].rstrip("%")) - abs(ch)) <= 0.05 + 1e-9
+        assert trend[0].endswith("% in the last 30 days vs the previous 30 days.")
+    else:
+        assert trend == []
+    if len(ys) >= 7:
+        by_day: dict[str, list[float]] = {}
+        for d, y in data:
+            by_day.setdefault(d.strftime("%A"), []).append(y)
+        means = {k: sum(v) / len(v) for k, v in by_day.items()}
+        top = max(means.values())
+        name = min(k for k, v in means.items() if abs(v - top) <= 1e-9 * max(1.0, abs(top)))
+        assert best == [f"Highest average GMV day is {name}."]
+    else:
+        assert best == []
