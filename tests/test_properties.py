@@ -115,3 +115,68 @@ def test_series_insights_match_python(spark, rows):
         assert best == [f"Highest average GMV day is {name}."]
     else:
         assert best == []
+
+
+pay_rows = st.lists(st.tuples(st.sampled_from(["o1", "o2", "o3"]),
+                              st.one_of(st.none(), st.sampled_from(["boleto", "voucher",
+                                                                    "credit_card"])),
+                              st.integers(min_value=1, max_value=12),
+                              st.integers(min_value=0, max_value=50000)),
+                    min_size=1, max_size=25)
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=pay_rows)
+def test_order_payments_match_grouping(spark, rows):
+    from martwright.operators import order_aggregates
+    data = [(o, i + 1, t, n, c / 100.0) for i, (o, t, n, c) in enumerate(rows)]
+    sdf = spark.createDataFrame(data, "order_id string, payment_sequential int, "
+                                      "payment_type string, payment_installments int, "
+                                      "payment_value double")
+    got = {r.order_id: (round(r.payment_value_total, 2), r.payment_installments_max,
+                        r.payment_types)
+           for r in order_aggregates.order_payments(sdf).collect()}
+    want = {}
+    for o in {r[0] for r in data}:
+        mine = [r for r in data if r[0] == o]
+        types = sorted({r[2] for r in mine if r[2] is not None})
+        want[o] = (round(sum(r[4] for r in mine), 2), max(r[3] for r in mine),
+                   ", ".join(types) if types else None)
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(size=st.integers(min_value=1, max_value=400), n=st.integers(min_value=1, max_value=120),
+       seed=st.integers(min_value=0, max_value=99))
+def test_sample_exact_n_is_brute_force_top_n(spark, size, n, seed):
+    import hashlib
+    from martwright.operators import sampling
+    keys = [f"k{i}" for i in range(size)]
+    sdf = spark.createDataFrame([(k,) for k in keys], "k string").repartition(3)
+    got = sorted(r.k for r in sampling.sample_exact_n(sdf, n, ["k"], seed=seed).collect())
+    want = sorted(sorted(keys, key=lambda k: hashlib.md5(f"{seed}:{k}".encode()).hexdigest())[:n])
+    assert got == want
+
+
+stamps = st.datetimes(min_value=dt.datetime(2017, 1, 1), max_value=dt.datetime(2019, 1, 1))
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pairs=st.lists(st.tuples(st.one_of(st.none(), stamps), st.one_of(st.none(), stamps)),
+                      min_size=1, max_size=15))
+def test_is_late_and_day_boundaries_match_python(spark, pairs):
+    from pyspark.sql import functions as F
+    from martwright.functions import day_boundaries_between, is_late
+    sdf = spark.createDataFrame(pairs, "d timestamp_ntz, e timestamp_ntz")
+    got = [(r.late, r.days) for r in sdf.select(
+        is_late("d", "e").alias("late"),
+        day_boundaries_between(F.col("e"), F.col("d")).alias("days")).collect()]
+    want = []
+    for d, e in pairs:
+        late = None if d is None or e is None else int(d > e)
+        days = None if d is None or e is None else (d.date() - e.date()).days
+        want.append((late, days))
+    assert got == want
