@@ -27,39 +27,44 @@ from martwright.llm.queries import WORD_BPE
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """Each row as one column, so that no column's name can clash; with its id and text."""
+    return docs.select(F.struct(*docs.columns).alias("__doc"), "doc_id", "text")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = language_id.fit(docs, F.coalesce(language_id.training_fold(F.col("doc_id")), F.lit(False)))
-    rows = language_id.predict(docs, net, docs.columns)
+    lettered = _whole(docs).where(F.col("text").rlike(r"\p{L}"))
+    rows = language_id.predict(lettered, net, ["__doc"])
     # with nothing to learn from, only texts without a letter can be told
-    sure = F.lit(True) if net is None else (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= 0.5)
-    return rows.where(sure & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))).select(*docs.columns)
+    return (rows if net is None else rows.where("score >= 0.5")).select("__doc.*")
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     machine = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, machine, docs.columns).where("score < 0.5").select(*docs.columns)
+    return toxicity.score(_whole(docs), machine, ["__doc"]).where("score < 0.5").select("__doc.*")
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)),
-                             "__hash": text_hash(F.col("text"))})
+    return _whole(docs).select("__doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-1 << 63)).alias("id"),
+                               text_hash(F.col("text")).alias("hash"))
 
 
 def _keys(rows: DataFrame) -> DataFrame:
-    return rows.select(F.coalesce("doc_id", F.lit(-1 << 63)).alias("__id"),
-                       F.col("text_hash").alias("__hash")).distinct()
+    return rows.select(F.coalesce("doc_id", F.lit(-1 << 63)).alias("id"),
+                       F.col("text_hash").alias("hash")).distinct()
 
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = _keys(near_dup.classes(docs).where("kept"))
-    rows = _with_key(docs).join(kept, ["__id", "__hash"])
-    nth = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy("__hash"))
-    return rows.withColumn("__nth", nth).where("__nth = 1").select(*docs.columns)
+    nth = F.row_number().over(Window.partitionBy("id", "hash").orderBy("hash"))
+    return (_with_key(docs).join(kept, ["id", "hash"]).withColumn("nth", nth)
+            .where("nth = 1").select("__doc.*"))
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     hit = _keys(decontaminate.find(spark, docs, table(spark, sf_dir, "benchmark")).where("contaminated"))
-    return _with_key(docs).join(hit, ["__id", "__hash"], "left_anti").select(*docs.columns)
+    return _with_key(docs).join(hit, ["id", "hash"], "left_anti").select("__doc.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
