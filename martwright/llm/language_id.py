@@ -52,12 +52,21 @@ def log_softmax(z: np.ndarray) -> np.ndarray:
 
 
 def forward(net: Network, windows: np.ndarray) -> np.ndarray:
-    """Log-probabilities of each window (rows of bytes, zero beyond the text)."""
-    x = net.embed[windows]
-    pooled = np.concatenate([np.maximum((_columns(x, w).reshape(-1, w * DIM) @ k)
-                                        .reshape(len(x), -1, FILTERS).max(axis=1), 0)
-                             for w, k in zip(WIDTHS, net.convs, strict=True)], axis=1)
-    return log_softmax(pooled @ net.dense + net.bias)
+    """Log-probabilities of each window (rows of bytes, zero beyond the text).
+
+    Filters run along the bytes of all windows at once, filter by filter in memory; the
+    places that reach into the next window are left out of the maxima.
+    """
+    n, length = windows.shape
+    x = np.take(np.ascontiguousarray(net.embed.T), windows.reshape(-1), axis=1)
+    pooled = []
+    for width, k in zip(WIDTHS, net.convs, strict=True):
+        out = k[:DIM].T @ x
+        for j in range(1, width):
+            out[:, :-j] += (k[j * DIM:(j + 1) * DIM].T @ x)[:, j:]
+        top = out.reshape(FILTERS, n, length)[:, :, :length - width + 1].max(axis=2)
+        pooled.append(np.maximum(top, 0))
+    return log_softmax(np.concatenate(pooled).T @ net.dense + net.bias)
 
 
 def train(windows: np.ndarray, target: np.ndarray, languages: list[str], seed: int = 7,
@@ -150,7 +159,7 @@ def _text_windows(low: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return flat.reshape(-1, WINDOW), doc, np.clip(n[doc] - nth * WINDOW, 1, WINDOW)
 
 
-def predict_texts(net: Network, texts: list[bytes], chunk: int = 256) -> tuple[np.ndarray, np.ndarray]:
+def predict_texts(net: Network, texts: list[bytes], chunk: int = 24) -> tuple[np.ndarray, np.ndarray]:
     """(language number, probability) of lower-cased texts."""
     windows, doc, weight = _text_windows(texts)
     total = np.zeros((len(texts), len(net.languages)))
