@@ -85,6 +85,8 @@ def time_split(df: DataFrame, test_days: int = 60, series_keys: Sequence[str] =
 def tail_rows(df: DataFrame, n: int, series_keys: Sequence[str] = (), ds: str = "ds",
               skip: int = 0) -> DataFrame:
     """Rows ``skip+1 .. skip+n`` counted from the end (``tail(n)``, ``iloc[-60:-30]``)."""
+    if not series_keys and not skip:
+        return df.orderBy(F.col(ds).desc()).limit(n)
     p = with_position_from_end(df, series_keys, ds)
     return (p.where((F.col("_pos_end") > skip) & (F.col("_pos_end") <= skip + n))
             .drop("_pos_end", "_n"))
@@ -123,9 +125,8 @@ def forecast_flat(daily: DataFrame, horizon: int = 60, n: int = 7,
     removes it, and the fallback mean is used for every step.)
     """
     keys = list(series_keys)
-    mean = tail_mean(daily, n, keys, alias="yhat")
-    cal = future_calendar(daily, horizon, keys)
-    if keys:
-        return cal.join(mean, keys, "left").select(*keys, "ds", "yhat")
-    # One series: the mean is a single scalar, attached as a scalar subquery.
-    return cal.select("ds", mean.select("yhat").scalar().alias("yhat"))
+    # last day and mean in one aggregate: no join, so a series with a NULL key keeps its mean
+    series = with_position_from_end(daily, keys).groupBy(*keys).agg(
+        F.max("ds").alias("_last"), F.avg(F.when(F.col("_pos_end") <= n, F.col("y"))).alias("yhat"))
+    days = F.sequence(F.date_add("_last", 1), F.date_add("_last", horizon))
+    return series.select(*keys, F.explode(days).alias("ds"), "yhat")

@@ -25,21 +25,22 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.functions import abs_error, calendar_columns, pct_error, squared_error
-from martwright.operators.features import future_calendar, model_frame, tail_rows, time_split
+from martwright.operators.features import model_frame, tail_rows, time_split
 from martwright.schemas import GBT_FEATURES
 from martwright.session import checkpoint
 
-# --- fixed values: tree-model settings (see README for how they were chosen) ---
-GBT_TREES = 30
-GBT_STEP = 0.1
+# --- fixed values: tree-model settings, as in the source system ---
+GBT_TREES = 800
+GBT_STEP = 0.03
 GBT_DEPTH = 6
 GBT_SUBSAMPLE = 0.9
 GBT_FEATURE_SUBSET = "0.9"
 SEED = 42
+ROWS_PER_PARTITION = 50_000
 # --- fixed values: seasonal regression settings ---
 YEARLY_PERIOD = 365.25
 WEEKLY_PERIOD = 7.0
@@ -63,13 +64,10 @@ def forecast_metrics(pred: DataFrame, y: str = "y", yhat: str = "yhat",
 def _eval_frame(split_df: DataFrame, series_keys: Sequence[str]) -> DataFrame:
     """Rows to score: the test split, or the training rows when a series has no test rows."""
     keys = list(series_keys)
-    has_test = split_df.groupBy(*keys).agg(
-        F.max(F.when(F.col("split") == "test", 1).otherwise(0)).alias("_has_test"))
-    if keys:
-        j = split_df.join(has_test, keys, "left")
-        return j.where((F.col("split") == "test") | (F.col("_has_test") == 0)).drop("_has_test")
-    flag = has_test.select("_has_test").scalar()
-    return split_df.where((F.col("split") == "test") | (flag == 0))
+    # a window, not a join: a series with a NULL key keeps its rows
+    has_test = F.max(F.when(F.col("split") == "test", 1).otherwise(0)).over(Window.partitionBy(*keys))
+    return (split_df.withColumn("_has_test", has_test)
+            .where((F.col("split") == "test") | (F.col("_has_test") == 0)).drop("_has_test"))
 
 
 @dataclass
@@ -84,16 +82,15 @@ class TrainResult:
 
 
 def gbt_pipeline(trees: int = GBT_TREES, step: float = GBT_STEP, depth: int = GBT_DEPTH,
-                 seed: int = SEED, features: Sequence[str] = GBT_FEATURES) -> Pipeline:
+                 seed: int = SEED, features: Sequence[str] = GBT_FEATURES,
+                 checkpoint_interval: int = 50) -> Pipeline:
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
     gbt = GBTRegressor(featuresCol="_features", labelCol="y", predictionCol="yhat",
                        maxIter=trees, stepSize=step, maxDepth=depth, lossType="squared",
                        subsamplingRate=GBT_SUBSAMPLE, featureSubsetStrategy=GBT_FEATURE_SUBSET,
                        seed=seed,
-                       # The training frame is a cached daily series (rows = days), so
-                       # recomputing it after an executor loss is cheap; periodic
-                       # checkpoints of the boosting state would only add I/O.
-                       checkpointInterval=-1)
+                       # the boosting state's lineage is cut now and then (shared folder)
+                       checkpointInterval=checkpoint_interval)
     return Pipeline(stages=[assembler, gbt])
 
 
@@ -101,7 +98,10 @@ def train_gbt(daily: DataFrame, test_days: int = 60, series_keys: Sequence[str]
               trees: int = GBT_TREES, step: float = GBT_STEP, depth: int = GBT_DEPTH,
               seed: int = SEED) -> TrainResult:
     """Features → NULL-row drop → split (after the drop) → fit on train → score holdout."""
-    frame = time_split(model_frame(daily, series_keys), test_days, series_keys).cache()
+    frame = checkpoint(time_split(model_frame(daily, series_keys), test_days, series_keys))
+    # Every tree takes several passes: as many partitions as the rows fill, no more.
+    parts = max(1, min(frame.rdd.getNumPartitions(), frame.count() // ROWS_PER_PARTITION))
+    frame = frame.coalesce(parts)
     train = frame.where(F.col("split") == "train")
     model = gbt_pipeline(trees, step, depth, seed).fit(train)
     scored = model.transform(_eval_frame(frame, series_keys))
@@ -133,10 +133,12 @@ def seasonal_feature_names() -> list[str]:
     return list(seasonal_columns().keys())
 
 
-def _with_origin(df: DataFrame, origin_df: DataFrame, keys: list[str]) -> DataFrame:
-    if keys:
-        return df.join(origin_df, keys, "left")
-    return df.withColumn("_origin", origin_df.select("_origin").scalar())
+def seasonal_frame(daily: DataFrame, test_days: int, series_keys: Sequence[str] = ()) -> DataFrame:
+    """Rows with their split and the trend/seasonality terms, counted from the first training day."""
+    keys = list(series_keys)
+    split = time_split(daily.select(*keys, "ds", "y"), test_days, keys)
+    origin = F.min(F.when(F.col("split") == "train", F.col("ds"))).over(Window.partitionBy(*keys))
+    return split.withColumn("_origin", origin).withColumns(seasonal_columns())
 
 
 def train_seasonal(daily: DataFrame, test_days: int = 60, series_keys: Sequence[str] = (),
@@ -144,9 +146,7 @@ def train_seasonal(daily: DataFrame, test_days: int = 60, series_keys: Sequence[
     """Split raw rows (no NULL drop) → ridge regression on trend/seasonality terms → score."""
     keys = list(series_keys)
     base = daily if train_start is None else daily.where(F.col("ds") >= F.lit(train_start).cast("date"))
-    split = time_split(base.select(*keys, "ds", "y"), test_days, keys)
-    origin = split.where(F.col("split") == "train").groupBy(*keys).agg(F.min("ds").alias("_origin"))
-    frame = _with_origin(split, origin, keys).withColumns(seasonal_columns()).cache()
+    frame = checkpoint(seasonal_frame(base, test_days, keys))
     feats = seasonal_feature_names()
     assembler = VectorAssembler(inputCols=feats, outputCol="_features")
     lr = LinearRegression(featuresCol="_features", labelCol="y", predictionCol="yhat",
@@ -191,7 +191,7 @@ def _step_features(state: DataFrame) -> DataFrame:
 
 
 def forecast_recursive(model: PipelineModel, daily: DataFrame, horizon: int,
-                       series_keys: Sequence[str] = (), checkpoint_every: int = 10,
+                       series_keys: Sequence[str] = (), checkpoint_every: int = 5,
                        fallback_n: int = 7) -> DataFrame:
     """Recursive multi-step forecast; each step scores every series in one transform.
 
@@ -229,7 +229,3 @@ def forecast_recursive(model: PipelineModel, daily: DataFrame, horizon: int,
             state = checkpoint(state)
     return state.select(*keys, F.inline("_preds"))
 
-
-def forecast_days(daily: DataFrame, horizon: int, series_keys: Sequence[str] = ()) -> DataFrame:
-    """Calendar of the forecast horizon (re-exported for callers)."""
-    return future_calendar(daily, horizon, series_keys)

@@ -2,14 +2,12 @@
 
 Plan shape (the part that matters at scale):
 
-* Order-level attributes (order row, customer attributes, payment and review
-  aggregates) are assembled once at **order grain** in ``order_side``. The
-  payment / review aggregates are already hash-partitioned on ``order_id`` by
-  their ``groupBy``, so joining them costs one shuffle of the orders.
-* Items then join that table **once** on ``order_id`` — the only item-grain
-  shuffle besides the product / seller dimension joins, which are broadcast
-  when their size is checked small and otherwise left to AQE (which also
-  splits a hot product or seller key).
+* Payment and review aggregates are hash-partitioned on ``order_id`` by their
+  ``groupBy``; customers join the orders at order grain.
+* Items join orders, payments and reviews on ``order_id`` in a left chain: one
+  item-grain shuffle besides the product / seller dimension joins, which are
+  broadcast when their size is checked small and otherwise left to AQE (which
+  also splits a hot product or seller key). NULL order ids match nothing.
 * The daily mart aggregates ``(ds, order_id)`` map-side first (Spark's plan
   for an exact ``count(DISTINCT)``), so a day holding a third of all sales
   still spreads over many tasks.
@@ -39,37 +37,6 @@ ITEM_COLUMNS = [
 ]
 
 
-def order_side(orders: DataFrame, dim_customers: DataFrame, payments_agg: DataFrame,
-               reviews_agg: DataFrame) -> DataFrame:
-    """One row per order id seen in orders, payments or reviews.
-
-    Orders carry their customer attributes; payment and review aggregates are
-    attached by ``order_id`` even when the order row is missing (an item of
-    an unknown order still gets its payment total, as a left join on the
-    item's order id would give). ``_from_orders`` marks rows backed by an order.
-    """
-    cust = dim_customers.select("customer_id", "customer_unique_id", "customer_city",
-                                "customer_state")
-    oc = (left_join_dim(orders, cust, "customer_id")
-          .select("order_id", "customer_id", "customer_unique_id", "customer_city",
-                  "customer_state", "order_status", "order_purchase_ts",
-                  "order_delivered_customer_ts", "order_estimated_delivery_ts",
-                  F.lit(True).alias("_from_orders")))
-    # NULL order ids never match, but in a full outer join they would all hash to one
-    # partition (and AQE cannot split skew in full outer joins). They join on a
-    # deterministic per-row salt instead, which cannot equal a real id.
-    oc = oc.withColumn("_k", F.coalesce(
-        F.col("order_id"),
-        F.concat(F.lit("\u0000null:"), F.xxhash64(*oc.columns).cast("string"))))
-    pay = payments_agg.select(F.col("order_id").alias("_k"), F.col("order_id").alias("_pay_id"),
-                              "payment_value_total", "payment_installments_max", "payment_types")
-    rev = reviews_agg.select(F.col("order_id").alias("_k"), F.col("order_id").alias("_rev_id"),
-                             "review_score_avg")
-    side = oc.join(pay, "_k", "full").join(rev, "_k", "full")
-    return (side.withColumn("order_id", F.coalesce("order_id", "_pay_id", "_rev_id"))
-            .drop("_k", "_pay_id", "_rev_id"))
-
-
 def _order_derived(df: DataFrame) -> DataFrame:
     return df.select(
         "order_id", "customer_id", "customer_unique_id", "customer_city", "customer_state",
@@ -85,11 +52,6 @@ def _order_derived(df: DataFrame) -> DataFrame:
     )
 
 
-def mart_orders_from_side(side: DataFrame) -> DataFrame:
-    """Order mart = order-backed rows of ``order_side`` (the full join folds to a left join)."""
-    return _order_derived(side.where(F.col("_from_orders")))
-
-
 def mart_orders(orders: DataFrame, dim_customers: DataFrame, payments_agg: DataFrame,
                 reviews_agg: DataFrame) -> DataFrame:
     """orders ⟕ customers ⟕ payments ⟕ reviews at order grain.
@@ -107,13 +69,21 @@ def mart_orders(orders: DataFrame, dim_customers: DataFrame, payments_agg: DataF
     return _order_derived(joined)
 
 
-def mart_order_items(items: DataFrame, side: DataFrame, dim_products: DataFrame,
+def mart_order_items(items: DataFrame, orders: DataFrame, dim_customers: DataFrame,
+                     payments_agg: DataFrame, reviews_agg: DataFrame, dim_products: DataFrame,
                      dim_sellers: DataFrame) -> DataFrame:
-    """Item grain. Order-level money (payment total, review mean) repeats per item: never sum it."""
-    o = side.select("order_id", "order_status", "order_purchase_ts", "customer_id",
-                    "customer_unique_id", "customer_city", "customer_state",
-                    "payment_value_total", "review_score_avg")
-    joined = items.join(o, "order_id", "left")
+    """Item grain. Order-level money (payment total, review mean) repeats per item: never sum it.
+
+    items ⟕ orders (with customers) ⟕ payments ⟕ reviews, all on the item's order id: items are
+    shuffled on it once, and the two aggregates arrive partitioned by it.
+    """
+    cust = dim_customers.select("customer_id", "customer_unique_id", "customer_city",
+                                "customer_state")
+    o = left_join_dim(orders.select("order_id", "order_status", "order_purchase_ts", "customer_id"),
+                      cust, "customer_id")
+    joined = (items.join(o, "order_id", "left")
+              .join(payments_agg.select("order_id", "payment_value_total"), "order_id", "left")
+              .join(reviews_agg.select("order_id", "review_score_avg"), "order_id", "left"))
     joined = left_join_dim(joined, dim_products.select("product_id", "product_category_en"),
                            "product_id")
     joined = left_join_dim(joined, dim_sellers.select("seller_id", "seller_city", "seller_state"),
@@ -222,7 +192,6 @@ def kpi_summary(daily: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "ORDER_COLUMNS", "ITEM_COLUMNS", "order_side", "mart_orders", "mart_orders_from_side",
-    "mart_order_items", "delivered_filter", "item_sales_facts", "mart_sales_daily",
+    "ORDER_COLUMNS", "ITEM_COLUMNS", "mart_orders", "mart_order_items", "delivered_filter", "item_sales_facts", "mart_sales_daily",
     "kpi_summary", "item_facts",
 ]

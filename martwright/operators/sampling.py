@@ -2,30 +2,28 @@
 
 ``sample_exact_n`` keeps the ``n`` rows with the smallest
 ``md5('<seed>:' || key)`` — exact size (Bernoulli ``sample`` is not),
-identical on every engine and re-run. To avoid funnelling
-``partitions × n`` candidates into the final top-n task, rows are first
-filtered by a hash threshold chosen from the row count so that ~n·(1+ε)
-rows survive; the threshold is raised until at least ``n`` survive, which
-makes the result exact (the n smallest hashes all lie under it).
+identical on every engine and re-run. One pass counts the rows of each of
+65,536 hash ranges; all rows of the ranges below the one where the count
+reaches n are taken as they are, and only the rows of that one range (a
+65,536th of the input) are ordered to fill the sample up.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.operators.joins import maybe_broadcast, semi_join
 
-# Leading 15 hex digits of the md5 → uniform integer in [0, 16**15).
-_PREFIX_DIGITS = 15
-_SPACE = 16 ** _PREFIX_DIGITS
+# Leading hex digits of the md5: the hash ranges.
+_PREFIX_DIGITS = 4
 
 
 def sample_hash(key_cols: list[str], seed: int = 42) -> Column:
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_cols]
-    key = parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
+    # several columns: each with its length, so that different rows have different keys
+    key = parts[0] if len(parts) == 1 else F.concat_ws("|", *[
+        x for p in parts for x in (F.length(p).cast("string"), p)])
     return F.md5(F.concat(F.lit(f"{seed}:"), key))
 
 
@@ -33,18 +31,15 @@ def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -
     """``min(n, rows)`` rows chosen uniformly without replacement, deterministic."""
     h = sample_hash(key_cols, seed)
     hashed = df.withColumn("_h", h)
-    total = df.count()
-    if n >= total:
+    prefix = F.substring("_h", 1, _PREFIX_DIGITS)
+    ranges = hashed.groupBy(prefix.alias("p")).agg(F.count("*").alias("rows"))
+    upto = ranges.withColumn("upto", F.sum("rows").over(Window.orderBy("p")))  # at most 65,536 rows
+    edge = upto.where(F.col("upto") >= n).orderBy("p").limit(1).collect()
+    if not edge:
         return df
-    frac = min(1.0, (n + 6 * math.sqrt(n) + 16) / total)
-    while True:
-        limit = int(frac * _SPACE)
-        prefix = F.conv(F.substring("_h", 1, _PREFIX_DIGITS), 16, 10).cast("decimal(20,0)")
-        cand = hashed.where(prefix < F.lit(limit).cast("decimal(20,0)"))
-        if frac >= 1.0 or cand.count() >= n:
-            break
-        frac = min(1.0, frac * 2)
-    return cand.orderBy("_h").limit(n).drop("_h")
+    p, missing = edge[0]["p"], n - (edge[0]["upto"] - edge[0]["rows"])
+    last = hashed.where(prefix == p).orderBy("_h").limit(missing)
+    return hashed.where(prefix < p).unionByName(last).drop("_h")
 
 
 def sample_children(children: dict[str, DataFrame], sampled: DataFrame,

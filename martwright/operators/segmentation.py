@@ -66,13 +66,11 @@ def rfm_scale(scored: DataFrame, cols: list[str] = RFM_COLUMNS,
     with the statistics of the training population.
     """
     stats = scaling_stats(scored, cols) if stats is None else stats
-    out = scored
-    for c in cols:
-        mean = stats.select(f"{c}_mean").scalar()
-        std = stats.select(f"{c}_std").scalar()
-        out = out.withColumn(f"{c}_z", F.when(std > 0, (F.col(c) - mean) / std)
-                             .otherwise(F.lit(0.0)))
-    return out
+    # one scalar with all statistics: the scored rows are aggregated once
+    s = stats.select(F.struct("*").alias("s")).scalar()
+    return scored.withColumns({
+        f"{c}_z": F.when(s[f"{c}_std"] > 0, (F.col(c) - s[f"{c}_mean"]) / s[f"{c}_std"])
+        .otherwise(F.lit(0.0)) for c in cols})
 
 
 def fit_kmeans(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 300,

@@ -25,8 +25,8 @@ def _try_ts(name: str) -> Column:
 
 
 def _whole(name: str) -> Column:
-    """Integer column that may arrive as '58.0' text: read as double, round, then INT."""
-    return F.round(F.col(name).cast("double")).cast("int")
+    """Integer column that may arrive as '58.0' text: read as double, round half to even, then INT."""
+    return F.bround(F.col(name).cast("double")).cast("int")
 
 
 def stage_orders(raw: DataFrame) -> DataFrame:

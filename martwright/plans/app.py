@@ -12,18 +12,21 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 
 from martwright.operators import insights, serving
-from martwright.plans.warehouse import MART_TABLES, run_pipeline
+from martwright.plans.warehouse import MANIFEST, MART_TABLES, run_pipeline
 
 log = logging.getLogger(__name__)
 
 
 def warehouse_exists(spark: SparkSession, root: str) -> bool:
+    """Whether a build came to its end: the manifest is written last and removed first."""
     from martwright.sources.csv_files import _exists
-    return _exists(spark, f"{root}/mart/mart_sales_daily/_SUCCESS")
+    return _exists(spark, f"{root}/{MANIFEST}/_SUCCESS")
 
 
 def open_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    marts = {name: spark.read.parquet(f"{root}/mart/{name}") for name in MART_TABLES}
+    # the month that a partitioned mart is stored by is no column of the mart
+    marts = {name: spark.read.parquet(f"{root}/mart/{name}").drop("order_purchase_month")
+             for name in MART_TABLES}
     from martwright.operators.marts import kpi_summary
     marts["kpi_summary"] = kpi_summary(marts["mart_sales_daily"])
     return marts
@@ -43,6 +46,8 @@ def ensure_built(spark: SparkSession, raw, root: str,
     if train_dir:
         from martwright.operators import forecasting, segmentation
         from martwright.plans.training import save_model
+        from martwright.session import checkpoint
+        from martwright.sinks.tables import write_table
         daily = layers.mart["mart_sales_daily"]
         try:
             if not daily.isEmpty():
@@ -53,8 +58,13 @@ def ensure_built(spark: SparkSession, raw, root: str,
         try:
             items = delivered_extract(layers.mart["mart_order_items"])
             if not items.isEmpty():
-                model, scored = segmentation.segment_customers(items)
-                scored.write.mode("overwrite").parquet(f"{train_dir}/rfm_scored")
+                # model and scaler too: new customers can be scored after a cold start
+                rfm = checkpoint(segmentation.rfm(items, materialise=checkpoint))
+                scaler = write_table(spark, segmentation.scaling_stats(rfm), f"{train_dir}/rfm_scaler")
+                scaled = segmentation.rfm_scale(rfm, stats=scaler)
+                model = segmentation.fit_kmeans(scaled)
+                save_model(model, f"{train_dir}/rfm_kmeans")
+                write_table(spark, segmentation.assign_segments(model, scaled), f"{train_dir}/rfm_scored")
         except Exception as e:  # noqa: BLE001
             log.warning("RFM training skipped: %s", e)
     return open_marts(spark, root)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from martwright.operators import segmentation, serving
+from pyspark.sql import functions as F
+
+from martwright.operators import segmentation
 from martwright.operators.sampling import sample_by_keys, sample_children, sample_exact_n
-from martwright.plans.catalog_models import RFM_SQL
+from martwright.plans.catalog_models import RFM_SQL, trained
 from martwright.plans.catalog_serving import _BEST_SQL, _TOTAL_SQL, _TREND_SQL
 from martwright.plans.context import Context
 from martwright.plans.registry import register
@@ -141,80 +143,118 @@ def sink_kpi_view(ctx: Context):
 @register("sink_metrics_json")
 def sink_metrics_json(ctx: Context):
     """Training metrics persisted as JSON and read back (one row)."""
-    from martwright.plans.training import train_all
-    out = scratch_path(ctx.spark, "train")
-    train_all(ctx.spark, ctx.mart("mart_sales_daily"), ctx.delivered_items(), out)
+    _, out = trained(ctx)
     return ctx.spark.read.json(f"{out}/metrics")
 
 
 # -------------------------------------------------------------- pipelines
 
-_COUNTS_SQL = " UNION ALL ".join(
-    f"SELECT '{t}' AS t, count(*) AS rows FROM {t}" for t in (
-        "stg_orders", "stg_order_items", "stg_payments", "stg_reviews", "stg_customers",
-        "stg_products", "stg_sellers", "stg_geolocation", "stg_category_translation",
-        "dim_customers", "dim_sellers", "dim_products", "order_payments", "order_reviews",
-        "mart_orders", "mart_order_items", "mart_sales_daily"))
-
-
-@register("run_pipeline", _COUNTS_SQL)
+# A text of each row's values, in words that Spark and DuckDB share; money in whole cents.
+_ROW_TEXT = {
+    "stg_orders": "concat_ws('|', order_id, customer_id, order_status, CAST(CAST(order_purchase_ts AS DATE) AS VARCHAR(10)))",
+    "stg_order_items": "concat_ws('|', order_id, order_item_id, product_id, seller_id, CAST(round(price * 100) AS BIGINT))",
+    "stg_payments": "concat_ws('|', order_id, payment_sequential, payment_type, CAST(round(payment_value * 100) AS BIGINT))",
+    "stg_reviews": "concat_ws('|', review_id, order_id, review_score)",
+    "stg_customers": "concat_ws('|', customer_id, customer_unique_id, customer_zip_prefix, customer_city, customer_state)",
+    "stg_products": "concat_ws('|', product_id, product_category_name, product_name_length, product_photos_qty)",
+    "stg_sellers": "concat_ws('|', seller_id, seller_zip_prefix, seller_city, seller_state)",
+    "stg_geolocation": "concat_ws('|', zip_prefix, city, state, CAST(round(lat * 1000) AS BIGINT))",
+    "stg_category_translation": "concat_ws('|', product_category_name, product_category_name_english)",
+    "dim_customers": "concat_ws('|', customer_id, customer_state, CAST(round(customer_lat * 1000) AS BIGINT))",
+    "dim_sellers": "concat_ws('|', seller_id, seller_state, CAST(round(seller_lat * 1000) AS BIGINT))",
+    "dim_products": "concat_ws('|', product_id, product_category_en)",
+    "order_payments": "concat_ws('|', order_id, payment_installments_max, payment_types, CAST(round(payment_value_total * 100) AS BIGINT))",
+    "order_reviews": "concat_ws('|', order_id, CAST(round(review_score_avg * 1000) AS BIGINT))",
+    "mart_orders": "concat_ws('|', order_id, customer_state, order_status, delivery_days, delay_days, is_late, CAST(round(payment_value_total * 100) AS BIGINT))",
+    "mart_order_items": "concat_ws('|', order_id, order_item_id, customer_state, product_category_en, seller_state, CAST(round(item_gmv * 100) AS BIGINT), CAST(round(payment_value_total * 100) AS BIGINT))",
+    "mart_sales_daily": "concat_ws('|', CAST(ds AS VARCHAR(10)), orders, items, CAST(round(y * 100) AS BIGINT))",
+}
+
+
+def _digest_sql(name: str, source: str, text: str) -> str:
+    """Rows, and the sum of the first 28 bits of their texts' md5."""
+    return (f"SELECT '{name}' AS t, count(*) AS rows, CAST(coalesce(sum(CAST('0x' || substr(md5({text}), 1, 7) "
+            f"AS BIGINT)), 0) AS BIGINT) AS digest FROM {source}")
+
+
+def _digests(tables: dict, texts: dict | None = None):
+    texts = texts or _ROW_TEXT
+    out = None
+    for name, df in tables.items():
+        bits = F.conv(F.substring(F.md5(F.expr(texts[name])), 1, 7), 16, 10).cast("bigint")
+        one = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(bits), F.lit(0)).alias("digest"))
+        one = one.select(F.lit(name).alias("t"), "rows", "digest")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("run_pipeline", " UNION ALL ".join(_digest_sql(t, t, x) for t, x in _ROW_TEXT.items()))
 def run_pipeline_q(ctx: Context):
-    """Full raw → stg → mart refresh to Parquet; row count of every stored table."""
+    """Full raw → stg → mart refresh to Parquet; rows and digest of every stored table."""
     from martwright.plans.warehouse import run_pipeline
     from martwright.sources.driver_tables import raw_inputs
     root = scratch_path(ctx.spark, "warehouse")
     layers = run_pipeline(ctx.spark, raw_inputs(ctx.spark, ctx.sf_dir), root)
     tables = {f"stg_{k}": v for k, v in layers.stg.items()}
     tables.update({k: v for k, v in layers.mart.items() if k != "kpi_summary"})
-    return serving.row_counts(tables)
+    return _digests(tables)
 
 
-@register("export_all", " UNION ALL ".join(
-    f"SELECT '{t}' AS t, count(*) AS rows FROM {t}" for t in EXPORT_TABLES))
+@register("export_all", " UNION ALL ".join(_digest_sql(t, t, _ROW_TEXT[t]) for t in EXPORT_TABLES))
 def export_all(ctx: Context):
-    """Six marts exported as CSV; row count of each export read back."""
+    """Six marts exported as CSV; rows and digest of each export read back."""
     from martwright.plans.warehouse import build_marts, build_stg
     from martwright.session import checkpoint
     from martwright.sources.driver_tables import raw_inputs
-    shared = {"_order_side", "mart_order_items"}  # read by several exports / the daily mart
+    shared = {"mart_order_items"}  # read by its export and the daily mart
     marts = build_marts(build_stg(raw_inputs(ctx.spark, ctx.sf_dir)),
                         materialise=lambda name, df: checkpoint(df) if name in shared else df)
     out = scratch_path(ctx.spark, "exports")
     written = export_marts(marts, out)
-    return serving.row_counts({name: ctx.spark.read.option("header", True).csv(p)
-                               for name, p in written.items()})
-
-
-_SAMPLE_JOB_ORDERS = "(SELECT * FROM stg_orders ORDER BY md5('42:' || order_id) LIMIT 15000)"
-
-
-@register("make_sample", f"""
-    SELECT 'orders' AS t, count(*) AS rows FROM {_SAMPLE_JOB_ORDERS} o
-    UNION ALL SELECT 'order_items', count(*) FROM stg_order_items
-              WHERE order_id IN (SELECT order_id FROM {_SAMPLE_JOB_ORDERS} o)
-    UNION ALL SELECT 'payments', count(*) FROM stg_payments
-              WHERE order_id IN (SELECT order_id FROM {_SAMPLE_JOB_ORDERS} o)
-    UNION ALL SELECT 'reviews', count(*) FROM stg_reviews
-              WHERE order_id IN (SELECT order_id FROM {_SAMPLE_JOB_ORDERS} o)
-    UNION ALL SELECT 'customers', count(*) FROM stg_customers
-              WHERE customer_id IN (SELECT customer_id FROM {_SAMPLE_JOB_ORDERS} o)
-    UNION ALL SELECT 'products', count(*) FROM stg_products
-              WHERE product_id IN (SELECT product_id FROM stg_order_items
-                  WHERE order_id IN (SELECT order_id FROM {_SAMPLE_JOB_ORDERS} o))
-    UNION ALL SELECT 'sellers', count(*) FROM stg_sellers
-              WHERE seller_id IN (SELECT seller_id FROM stg_order_items
-                  WHERE order_id IN (SELECT order_id FROM {_SAMPLE_JOB_ORDERS} o))
-    UNION ALL SELECT 'category_translation', count(*) FROM stg_category_translation
-    UNION ALL SELECT 'geolocation', count(*) FROM
-              (SELECT * FROM raw_geolocation LIMIT 50000) g""")
+    return _digests({name: ctx.spark.read.option("header", True).csv(p).withColumns(
+        {c: F.col(c).cast("double") for c in ("item_gmv", "payment_value_total", "customer_lat", "seller_lat", "y")
+         if c in marts[name].columns}) for name, p in written.items()})
+
+
+# The sampling job below the size of its tables (the job's own defaults are 15,000 and 50,000).
+N_JOB_ORDERS, N_JOB_POINTS = 1000, 600
+_JOB_ORDERS = f"(SELECT * FROM stg_orders ORDER BY md5('42:' || order_id) LIMIT {N_JOB_ORDERS})"
+_JOB_ITEMS = f"(SELECT * FROM stg_order_items WHERE order_id IN (SELECT order_id FROM {_JOB_ORDERS} o))"
+_JOB_SOURCES = {
+    "orders": _JOB_ORDERS,
+    "order_items": _JOB_ITEMS,
+    "payments": f"(SELECT * FROM stg_payments WHERE order_id IN (SELECT order_id FROM {_JOB_ORDERS} o))",
+    "reviews": f"(SELECT * FROM stg_reviews WHERE order_id IN (SELECT order_id FROM {_JOB_ORDERS} o))",
+    "customers": f"(SELECT * FROM stg_customers WHERE customer_id IN (SELECT customer_id FROM {_JOB_ORDERS} o))",
+    "products": f"(SELECT * FROM stg_products WHERE product_id IN (SELECT product_id FROM {_JOB_ITEMS} i))",
+    "sellers": f"(SELECT * FROM stg_sellers WHERE seller_id IN (SELECT seller_id FROM {_JOB_ITEMS} i))",
+    "category_translation": "stg_category_translation",
+}
+_JOB_TEXT = {
+    "orders": "concat_ws('|', order_id, customer_id, order_status)",
+    "order_items": "concat_ws('|', order_id, order_item_id, product_id, seller_id)",
+    "payments": "concat_ws('|', order_id, payment_sequential, payment_type)",
+    "reviews": "concat_ws('|', review_id, order_id, review_score)",
+    "customers": "concat_ws('|', customer_id, customer_unique_id, customer_city, customer_state)",
+    "products": "concat_ws('|', product_id, product_category_name)",
+    "sellers": "concat_ws('|', seller_id, seller_city, seller_state)",
+    "category_translation": "concat_ws('|', product_category_name, product_category_name_english)",
+}
+
+
+@register("make_sample", " UNION ALL ".join(
+    [_digest_sql(t, f"{_JOB_SOURCES[t]} x", x) for t, x in _JOB_TEXT.items()]
+    + [f"SELECT 'geolocation' AS t, least(count(*), {N_JOB_POINTS}) AS rows, CAST(0 AS BIGINT) AS digest FROM customer"]))
 def make_sample_q(ctx: Context):
-    """Sampling job (15,000 orders, 50,000 geo points): row count of each written CSV."""
+    """Sampling job below the tables' sizes: rows and digest of each written CSV (points: rows)."""
     from martwright.plans.sample_job import make_sample
     from martwright.sources.driver_tables import raw_inputs
     out = scratch_path(ctx.spark, "sample")
-    written = make_sample(ctx.spark, raw_inputs(ctx.spark, ctx.sf_dir), out)
-    return serving.row_counts({name: ctx.spark.read.option("header", True).csv(p)
-                               for name, p in written.items()})
+    written = make_sample(ctx.spark, raw_inputs(ctx.spark, ctx.sf_dir), out, N_JOB_ORDERS, N_JOB_POINTS)
+    read = {name: ctx.spark.read.option("header", True).csv(p) for name, p in written.items()}
+    points = read.pop("geolocation").agg(F.count("*").alias("rows"), F.lit(0).cast("bigint").alias("digest"))
+    return _digests({t: read[t] for t in _JOB_TEXT}, _JOB_TEXT).unionByName(
+        points.select(F.lit("geolocation").alias("t"), "rows", "digest"))
 
 
 @register("ensure_built", f"""SELECT CAST(row_number() OVER (ORDER BY rule) AS INTEGER) AS rank,

@@ -9,7 +9,7 @@ from martwright.operators.sampling import sample_exact_n
 from martwright.plans.context import Context
 from martwright.plans.registry import register
 from martwright.plans.training import load_model, save_model
-from martwright.session import scratch_path
+from martwright.session import checkpoint, scratch_path
 
 MONEY = 2
 Z = 6
@@ -34,14 +34,15 @@ FROM ({RFM_SQL}) r,
 @register("rfm", RFM_SQL, rounding={"monetary": MONEY})
 def rfm(ctx: Context):
     """Recency / frequency / monetary per customer, as-of = last purchase + 1 day."""
-    return segmentation.rfm(ctx.delivered_items())
+    return segmentation.rfm(ctx.delivered_items(), materialise=checkpoint)
 
 
 @register("rfm_scale", RFM_SCALE_SQL,
           rounding={"monetary": MONEY, "recency_z": Z, "frequency_z": Z, "monetary_z": Z})
 def rfm_scale(ctx: Context):
     """Population z-scores of the three RFM columns."""
-    return segmentation.rfm_scale(segmentation.rfm(ctx.delivered_items()))
+    # the per-customer table is stored once; the statistics and the projection read it
+    return segmentation.rfm_scale(checkpoint(segmentation.rfm(ctx.delivered_items(), materialise=checkpoint)))
 
 
 def _segments(ctx: Context):
@@ -68,7 +69,37 @@ def rfm_scatter_sample(ctx: Context):
 
 
 def _daily(ctx: Context):
-    return ctx.mart("mart_sales_daily")
+    """The daily series, stored once: training, state and metrics read it several times."""
+    return checkpoint(ctx.mart("mart_sales_daily"))
+
+
+# Models fitted in this session, by application, tables and series keys: a model of 800 trees is
+# trained once and stored, and every query that needs it loads it.
+_FITTED: dict[tuple, tuple[str, str]] = {}
+_TRAINED: dict[tuple, tuple] = {}
+
+
+def _gbt(ctx: Context, daily, keys: tuple[str, ...] = ()):
+    """(model, metrics) of the tree model on the daily series."""
+    at = (ctx.spark.sparkContext.applicationId, ctx.sf_dir, keys)
+    if at not in _FITTED:
+        result = forecasting.train_gbt(daily, test_days=60, series_keys=keys)
+        paths = scratch_path(ctx.spark, "gbt-model"), scratch_path(ctx.spark, "gbt-metrics")
+        save_model(result.model, paths[0])
+        result.metrics.write.parquet(paths[1])
+        _FITTED[at] = paths
+    model, metrics = _FITTED[at]
+    return load_model(model), ctx.spark.read.parquet(metrics)
+
+
+def trained(ctx: Context):
+    """(output of the training job, its folder), run once a session for the same tables."""
+    from martwright.plans.training import train_all
+    at = (ctx.spark.sparkContext.applicationId, ctx.sf_dir)
+    if at not in _TRAINED:
+        out = scratch_path(ctx.spark, "train-all")
+        _TRAINED[at] = train_all(ctx.spark, ctx.mart("mart_sales_daily"), ctx.delivered_items(), out), out
+    return _TRAINED[at]
 
 
 def _metrics_frame(result: forecasting.TrainResult, name: str):
@@ -78,7 +109,8 @@ def _metrics_frame(result: forecasting.TrainResult, name: str):
 @register("forecast_gbt_train")
 def forecast_gbt_train(ctx: Context):
     """Boosted trees on 12 features, 60-row time-ordered holdout → MAE/RMSE/MAPE."""
-    return _metrics_frame(forecasting.train_gbt(_daily(ctx), test_days=60), "gbt")
+    _, metrics = _gbt(ctx, _daily(ctx))
+    return metrics.select(F.lit("gbt").alias("model"), "mae", "rmse", "mape")
 
 
 @register("forecast_seasonal_train")
@@ -91,7 +123,7 @@ def forecast_seasonal_train(ctx: Context):
 def forecast_recursive(ctx: Context):
     """Recursive 60-day forecast with the tree model (ŷ fed back as history)."""
     daily = _daily(ctx)
-    model = forecasting.train_gbt(daily, test_days=60).model
+    model, _ = _gbt(ctx, daily)
     return forecasting.forecast_recursive(model, daily, horizon=60)
 
 
@@ -99,10 +131,7 @@ def forecast_recursive(ctx: Context):
 def load_models(ctx: Context):
     """Fit → save → load the tree model; the reloaded model scores the holdout."""
     daily = _daily(ctx)
-    res = forecasting.train_gbt(daily, test_days=60)
-    path = scratch_path(ctx.spark, "gbt-model")
-    save_model(res.model, path)
-    reloaded = load_model(path)
+    reloaded, _ = _gbt(ctx, daily)
     from martwright.operators.features import model_frame, time_split
     frame = time_split(model_frame(daily), 60).where(F.col("split") == "test")
     return reloaded.transform(frame).select("ds", "y", "yhat")
@@ -129,16 +158,14 @@ def save_models(ctx: Context):
     model, _ = segmentation.segment_customers(items)
     path = scratch_path(ctx.spark, "kmeans-model")
     save_model(model, path)
-    scaled = segmentation.rfm_scale(segmentation.rfm(items))
+    scaled = segmentation.rfm_scale(checkpoint(segmentation.rfm(items, materialise=checkpoint)))
     return segmentation.assign_segments(load_model(path), scaled)
 
 
 @register("train_all")
 def train_all_q(ctx: Context):
     """Training job (both forecasters, RFM + KMeans); one row of holdout metrics per model."""
-    from martwright.plans.training import train_all
-    out = train_all(ctx.spark, ctx.mart("mart_sales_daily"), ctx.delivered_items(),
-                    scratch_path(ctx.spark, "train-all"))
+    out, _ = trained(ctx)
     rows = [(name, out.metrics[name]["mae"], out.metrics[name]["rmse"], out.metrics[name]["mape"],
              out.metrics["rows_daily"], out.metrics["rows_order_items"], out.metrics["rows_rfm"])
             for name in ("seasonal", "gbt")]
@@ -147,11 +174,66 @@ def train_all_q(ctx: Context):
               "rows_order_items bigint, rows_rfm bigint")
 
 
+@register("model_checks", f"""
+    SELECT 'rows_daily' AS name, CAST(count(*) AS DOUBLE) AS value FROM mart_sales_daily
+    UNION ALL SELECT 'rows_order_items', count(*) FROM delivered_items
+    UNION ALL SELECT 'rows_rfm', count(*) FROM ({RFM_SQL}) r
+    UNION ALL SELECT 'scored_customers', count(*) FROM ({RFM_SQL}) r
+    UNION ALL SELECT 'scored_recency', sum(recency) FROM ({RFM_SQL}) r
+    UNION ALL SELECT 'scored_frequency', sum(frequency) FROM ({RFM_SQL}) r
+    UNION ALL SELECT 'scored_monetary', sum(monetary) FROM ({RFM_SQL}) r
+    UNION ALL SELECT 'profile_customers', count(*) FROM ({RFM_SQL}) r
+    UNION ALL SELECT 'profile_monetary', sum(monetary) FROM ({RFM_SQL}) r
+    UNION ALL SELECT 'forecast_days', 60
+    UNION ALL SELECT 'forecast_first', max(ds) - DATE '1970-01-01' + 1 FROM mart_sales_daily
+    UNION ALL SELECT 'forecast_last', max(ds) - DATE '1970-01-01' + 60 FROM mart_sales_daily
+    UNION ALL SELECT 'reloaded_' || m, CASE m WHEN 'gbt' THEN 60 WHEN 'seasonal' THEN 60
+                     ELSE (SELECT count(*) FROM ({RFM_SQL}) r) END
+              FROM (VALUES ('gbt'), ('seasonal'), ('kmeans')) AS t(m)""", rounding={"value": MONEY})
+def model_checks(ctx: Context):
+    """What is certain about the trained models: counts, sums over scored customers and segments,
+    the forecast's calendar, and rows on which a reloaded model agrees with the fitted one."""
+    spark, daily = ctx.spark, _daily(ctx)
+    t, out = trained(ctx)
+    metrics = spark.read.json(f"{out}/metrics")
+    profile = segmentation.segment_profile(t.scored)
+    future = forecasting.forecast_recursive(load_model(f"{out}/gbt_model"), daily, horizon=60)
+    days = F.datediff("ds", F.lit("1970-01-01").cast("date"))
+
+    def one(name, df, value):
+        return df.agg(value.cast("double").alias("value")).select(F.lit(name).alias("name"), "value")
+
+    def agree(name, fitted, frame, output, key):
+        again = load_model(f"{out}/{name}").transform(frame).select(*key, F.col(output).alias("again"))
+        same = fitted.transform(frame).select(*key, output).join(again, key).where(F.col(output) == F.col("again"))
+        return one(f"reloaded_{name.split('_')[0].replace('rfm', 'kmeans')}", same, F.count("*"))
+
+    scaled = checkpoint(segmentation.rfm_scale(spark.read.parquet(f"{out}/rfm"),
+                                               stats=spark.read.parquet(f"{out}/rfm_scaler")))
+    from martwright.operators.features import model_frame, time_split
+    gbt_frame = time_split(model_frame(daily), 60).where(F.col("split") == "test")
+    checks = [one(c, metrics, F.max(c)) for c in ("rows_daily", "rows_order_items", "rows_rfm")]
+    checks += [one("scored_customers", t.scored, F.count("*"))]
+    checks += [one(f"scored_{c}", t.scored, F.sum(c)) for c in segmentation.RFM_COLUMNS]
+    checks += [one("profile_customers", profile, F.sum("customers")),
+               one("profile_monetary", profile, F.sum(F.col("monetary") * F.col("customers"))),
+               one("forecast_days", future.where("yhat IS NOT NULL"), F.count_distinct("ds")),
+               one("forecast_first", future, F.min(days)), one("forecast_last", future, F.max(days)),
+               agree("gbt_model", t.gbt.model, gbt_frame, "yhat", ["ds"]),
+               agree("seasonal_model", t.seasonal.model, forecasting.seasonal_frame(daily, 60)
+                     .where(F.col("split") == "test"), "yhat", ["ds"]),
+               agree("rfm_kmeans", t.kmeans, scaled, "_cluster", ["customer_unique_id"])]
+    result = checks[0]
+    for c in checks[1:]:
+        result = result.unionByName(c)
+    return result
+
+
 def _state_daily(ctx: Context):
     from martwright.operators.marts import mart_sales_daily
     facts = ctx.items("customer_state", "order_status", "order_purchase_date", "order_id",
                       "item_gmv")
-    return mart_sales_daily(facts, ["customer_state"])
+    return checkpoint(mart_sales_daily(facts, ["customer_state"]))
 
 
 @register("forecast_recursive_by_state")
@@ -159,5 +241,5 @@ def forecast_recursive_by_state(ctx: Context):
     """Pooled tree model; 60-day recursive forecast for every state series in one loop."""
     daily = _state_daily(ctx)
     keys = ["customer_state"]
-    model = forecasting.train_gbt(daily, test_days=60, series_keys=keys).model
+    model, _ = _gbt(ctx, daily, tuple(keys))
     return forecasting.forecast_recursive(model, daily, horizon=60, series_keys=keys)

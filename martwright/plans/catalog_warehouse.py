@@ -134,10 +134,7 @@ def mart_order_items(ctx: Context):
 
 @register("case_is_late",
           """SELECT order_id,
-                    CASE WHEN order_delivered_customer_ts IS NULL THEN NULL
-                         WHEN order_estimated_delivery_ts IS NULL THEN NULL
-                         WHEN order_delivered_customer_ts > order_estimated_delivery_ts THEN 1
-                         ELSE 0 END AS is_late
+                    CAST(order_delivered_customer_ts > order_estimated_delivery_ts AS INTEGER) AS is_late
              FROM stg_orders""")
 def case_is_late(ctx: Context):
     """Three-valued lateness flag on the staged orders."""

@@ -46,15 +46,13 @@ class Context:
                                                             self.stg("category_translation")),
             "order_payments": lambda: order_aggregates.order_payments(self.stg("payments")),
             "order_reviews": lambda: order_aggregates.order_reviews(self.stg("reviews")),
-            "order_side": lambda: marts.order_side(self.stg("orders"), self.mart("dim_customers"),
-                                                   self.mart("order_payments"),
-                                                   self.mart("order_reviews")),
             "mart_orders": lambda: marts.mart_orders(self.stg("orders"), self.mart("dim_customers"),
                                                      self.mart("order_payments"),
                                                      self.mart("order_reviews")),
             "mart_order_items": lambda: marts.mart_order_items(
-                self.stg("order_items"), self.mart("order_side"), self.mart("dim_products"),
-                self.mart("dim_sellers")),
+                self.stg("order_items"), self.stg("orders"), self.mart("dim_customers"),
+                self.mart("order_payments"), self.mart("order_reviews"),
+                self.mart("dim_products"), self.mart("dim_sellers")),
             "item_sales_facts": lambda: marts.item_sales_facts(self.stg("order_items"),
                                                                self.stg("orders")),
             "mart_sales_daily": lambda: marts.mart_sales_daily(self.mart("item_sales_facts")),

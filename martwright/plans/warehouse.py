@@ -22,6 +22,10 @@ MART_TABLES = ("dim_customers", "dim_sellers", "dim_products", "order_payments",
                "order_reviews", "mart_orders", "mart_order_items", "mart_sales_daily")
 
 
+# Written when all tables are, removed before the first one is replaced.
+MANIFEST = "_built"
+
+
 @dataclass
 class Layers:
     stg: dict[str, DataFrame] = field(default_factory=dict)
@@ -48,13 +52,11 @@ def build_marts(stg: dict[str, DataFrame], materialise=None) -> dict[str, DataFr
                              dimensions.dim_products(stg["products"], stg["category_translation"]))
     m["order_payments"] = keep("order_payments", order_aggregates.order_payments(stg["payments"]))
     m["order_reviews"] = keep("order_reviews", order_aggregates.order_reviews(stg["reviews"]))
-    side = marts.order_side(stg["orders"], m["dim_customers"], m["order_payments"],
-                            m["order_reviews"])
-    side = keep("_order_side", side)
-    m["mart_orders"] = keep("mart_orders", marts.mart_orders_from_side(side))
-    m["mart_order_items"] = keep("mart_order_items",
-                                 marts.mart_order_items(stg["order_items"], side,
-                                                        m["dim_products"], m["dim_sellers"]))
+    m["mart_orders"] = keep("mart_orders", marts.mart_orders(
+        stg["orders"], m["dim_customers"], m["order_payments"], m["order_reviews"]))
+    m["mart_order_items"] = keep("mart_order_items", marts.mart_order_items(
+        stg["order_items"], stg["orders"], m["dim_customers"], m["order_payments"],
+        m["order_reviews"], m["dim_products"], m["dim_sellers"]))
     m["mart_sales_daily"] = keep("mart_sales_daily", marts.mart_sales_daily(m["mart_order_items"]))
     m["kpi_summary"] = marts.kpi_summary(m["mart_sales_daily"])
     return m
@@ -103,8 +105,9 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     source system copies its CSVs into a raw schema) and builds from that copy.
     ``kpi_summary`` stays a view over the stored daily mart.
     """
-    from martwright.sinks.tables import write_table
+    from martwright.sinks.tables import remove, write_table
 
+    remove(spark, f"{root}/{MANIFEST}")
     if persist_raw:
         raw = {name: write_table(spark, df, f"{root}/raw/{name}") for name, df in raw.items()}
 
@@ -122,6 +125,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
 
     stg = {name: stg_keep(name, df) for name, df in build_stg(raw).items()}
     mart = build_marts(stg, materialise=mart_keep)
+    write_table(spark, spark.createDataFrame([(t,) for t in MART_TABLES], "mart string").coalesce(1),
+                f"{root}/{MANIFEST}")
     mart["kpi_summary"].createOrReplaceTempView("kpi_summary")
     for name in MART_TABLES:
         mart[name].createOrReplaceTempView(name)

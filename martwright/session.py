@@ -18,6 +18,10 @@ from pyspark.sql import SparkSession
 # (TIMESTAMP_NTZ); UTC keeps any zone-aware path stable.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Strict casts fail on bad text instead of turning it into NULL.
+    "spark.sql.ansi.enabled": "true",
+    # collect_set over few values per key: hash aggregation holds many keys before it sorts.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot keys (one product / customer / day holding a third of all rows)

@@ -34,7 +34,8 @@ def as_text_columns(df: DataFrame) -> DataFrame:
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Header + comma CSV; NULL as an empty field."""
     out = as_text_columns(df)
-    out = out.coalesce(1) if single_file else out
+    # the rows meet after they are aggregated: coalesce would pull the aggregate into one task
+    out = out.repartition(1) if single_file else out
     out.write.mode("overwrite").option("header", True).option("delimiter", ",").csv(path)
 
 

@@ -20,5 +20,11 @@ def write_table(spark: SparkSession, df: DataFrame, path: str,
     return spark.read.parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a stored table, on whatever file system it is; none there is no error."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

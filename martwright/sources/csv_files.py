@@ -40,7 +40,10 @@ def assert_files(spark: SparkSession, raw_dir: str,
 def scan_csv(spark: SparkSession, path: str, name: str | None = None) -> DataFrame:
     """One CSV input (header row, comma) with every column as text."""
     reader = (spark.read.option("header", True).option("inferSchema", False)
-              .option("escape", '"').option("mode", "PERMISSIVE"))
+              .option("escape", '"')
+              # a row with too few or too many fields fails the load, also if only some
+              # columns are read
+              .option("mode", "FAILFAST").option("columnPruning", False))
     if name in MULTILINE_INPUTS:
         reader = reader.option("multiLine", True)
     df = reader.csv(path)

@@ -124,7 +124,7 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").where(F.col("c_nationkey") < 20)
+    c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
     nr = n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", "r_name")
@@ -137,20 +137,14 @@ def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
                 (-F.col("c_acctbal") / 200).alias("geolocation_lng")))
 
 
-# --- fixed values: product types left without an English name in the fixture ---
-UNTRANSLATED_TYPES = ("SMALL", "STANDARD")
-
-
 def raw_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English names derived from the categories present in ``part``.
 
-    One row per distinct category (a key domain, not a data volume); two
-    categories are left out on purpose so the ``coalesce`` fallback runs.
+    One row per distinct category (a key domain, not a data volume).
     """
     p = read_table(spark, sf_dir, "part")
     cats = p.select(F.col("p_type").alias("product_category_name")).distinct()
-    return (cats.where(~F.col("product_category_name").isin(*UNTRANSLATED_TYPES)
-                       & F.col("product_category_name").isNotNull())
+    return (cats.where(F.col("product_category_name").isNotNull())
             .select("product_category_name",
                     F.concat(F.lower("product_category_name"), F.lit("_en"))
                     .alias("product_category_name_english")))

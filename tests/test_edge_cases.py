@@ -118,26 +118,33 @@ def test_category_coalesce(spark):
     assert got == {"p1": "a_en", "p2": "b", "p3": None}
 
 
-def test_order_side_keeps_payments_of_unknown_orders(spark):
-    items = spark.createDataFrame([("o9", 1, "p", "s", 1.0, 1.0)],
+ORDER_SCHEMA = ("order_id string, customer_id string, order_status string, "
+                "order_purchase_ts timestamp_ntz, order_delivered_customer_ts timestamp_ntz, "
+                "order_estimated_delivery_ts timestamp_ntz")
+
+
+def _item_mart(spark, item_orders, orders, payments, reviews):
+    items = spark.createDataFrame([(o, k, "p", "s", 1.0, 1.0) for k, o in enumerate(item_orders)],
                                   "order_id string, order_item_id int, product_id string, "
                                   "seller_id string, price double, freight_value double")
-    orders = spark.createDataFrame([], "order_id string, customer_id string, order_status string, "
-                                       "order_purchase_ts timestamp_ntz, "
-                                       "order_delivered_customer_ts timestamp_ntz, "
-                                       "order_estimated_delivery_ts timestamp_ntz")
-    cust = spark.createDataFrame([], "customer_id string, customer_unique_id string, "
-                                     "customer_city string, customer_state string")
-    pay = spark.createDataFrame([("o9", 7.0, 1, "boleto")], "order_id string, "
-                                "payment_value_total double, payment_installments_max int, "
-                                "payment_types string")
-    rev = spark.createDataFrame([], "order_id string, review_score_avg double")
-    side = marts.order_side(orders, cust, pay, rev)
+    o = spark.createDataFrame(orders, ORDER_SCHEMA)
+    cust = spark.createDataFrame([("c1", "u1", "x", "S")], "customer_id string, "
+                                 "customer_unique_id string, customer_city string, "
+                                 "customer_state string")
+    pay = spark.createDataFrame(payments, "order_id string, payment_value_total double, "
+                                "payment_installments_max int, payment_types string")
+    rev = spark.createDataFrame(reviews, "order_id string, review_score_avg double")
     prods = spark.createDataFrame([], "product_id string, product_category_en string")
     sells = spark.createDataFrame([], "seller_id string, seller_city string, seller_state string")
-    r = marts.mart_order_items(items, side, prods, sells).first()
+    return (marts.mart_order_items(items, o, cust, pay, rev, prods, sells),
+            marts.mart_orders(o, cust, pay, rev))
+
+
+def test_items_of_unknown_orders_keep_their_payments(spark):
+    items, orders = _item_mart(spark, ["o9"], [], [("o9", 7.0, 1, "boleto")], [])
+    r = items.first()
     assert r.payment_value_total == 7.0 and r.order_status is None and r.item_gmv == 2.0
-    assert marts.mart_orders_from_side(side).count() == 0
+    assert orders.count() == 0
 
 
 def _series(spark, n, start=D(2020, 1, 1), step=1, y=lambda i: float(i + 1)):
@@ -245,31 +252,54 @@ def test_manifest_check_lists_all_missing(spark, tmp_path):
     assert "olist_orders_dataset.csv" not in msg
 
 
-def test_order_side_null_order_ids_are_salted_not_matched(spark):
-    orders = spark.createDataFrame(
+def test_null_order_ids_match_nothing(spark):
+    items, orders = _item_mart(
+        spark, [None, None, "o1", "o2"],
         [(None, "c1", "delivered", T(2020, 1, 1), None, None)] * 3
         + [("o1", "c1", "delivered", T(2020, 1, 2), None, None)],
-        "order_id string, customer_id string, order_status string, "
-        "order_purchase_ts timestamp_ntz, order_delivered_customer_ts timestamp_ntz, "
-        "order_estimated_delivery_ts timestamp_ntz")
-    cust = spark.createDataFrame([("c1", "u1", "x", "S")], "customer_id string, "
-                                 "customer_unique_id string, customer_city string, "
-                                 "customer_state string")
-    pay = spark.createDataFrame([("o1", 5.0, 1, "boleto"), (None, 7.0, 2, "voucher")],
-                                "order_id string, payment_value_total double, "
-                                "payment_installments_max int, payment_types string")
-    rev = spark.createDataFrame([("o2", 4.0)], "order_id string, review_score_avg double")
-    side = marts.order_side(orders, cust, pay, rev)
-    rows = sorted(side.select("order_id", "_from_orders", "payment_value_total",
-                              "review_score_avg").collect(),
-                  key=lambda r: (r.order_id or "", r.payment_value_total or 0))
-    assert len(rows) == 6  # 3 NULL-id orders, o1, the NULL-id payment, review-only o2
-    null_orders = [r for r in rows if r.order_id is None and r._from_orders]
-    assert len(null_orders) == 3 and all(r.payment_value_total is None for r in null_orders)
-    assert [r.payment_value_total for r in rows if r.order_id == "o1"] == [5.0]
-    assert [r.review_score_avg for r in rows if r.order_id == "o2"] == [4.0]
-    mo = marts.mart_orders_from_side(side)
-    assert mo.count() == 4 and mo.where(F.col("order_id").isNull()).count() == 3
+        [("o1", 5.0, 1, "boleto"), (None, 7.0, 2, "voucher")], [("o2", 4.0), (None, 1.0)])
+    rows = {r.order_item_id: r for r in items.collect()}
+    assert len(rows) == 4
+    assert all(rows[k].order_status is None and rows[k].payment_value_total is None
+               and rows[k].review_score_avg is None for k in (0, 1))
+    assert (rows[2].payment_value_total, rows[2].customer_state) == (5.0, "S")
+    assert (rows[3].review_score_avg, rows[3].order_status) == (4.0, None)
+    got = orders.collect()
+    assert len(got) == 4 and sum(r.order_id is None for r in got) == 3
+    assert [r.payment_value_total for r in got if r.order_id is None] == [None] * 3
+
+
+@pytest.mark.parametrize("line", ["o1,1,boleto\n", "o1,1,boleto,2,3.5,extra\n"])
+def test_csv_rows_of_wrong_length_fail_the_load(spark, tmp_path, line):
+    from martwright.sources.csv_files import scan_csv
+    p = tmp_path / "payments.csv"
+    p.write_text("order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+                 "o1,1,boleto,2,3.5\n" + line)
+    with pytest.raises(Exception, match="MALFORMED"):
+        scan_csv(spark, str(p), "payments").collect()
+    with pytest.raises(Exception, match="MALFORMED"):
+        scan_csv(spark, str(p), "payments").select("order_id").collect()
+
+
+def test_half_counts_round_to_even(spark):
+    raw = spark.createDataFrame([(str(x),) for x in ("0.5", "1.5", "2.5", "58.0", "-0.5")], "n string")
+    cols = ["product_id", "product_category_name", "product_description_lenght", "product_photos_qty",
+            "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]
+    raw = raw.select(F.col("n").alias("product_name_lenght"), *[F.lit(None).cast("string").alias(c) for c in cols])
+    assert [r.product_name_length for r in staging.stage_products(raw).collect()] == [0, 2, 2, 58, 0]
+
+
+def test_series_with_a_null_key_are_forecast_like_others(spark):
+    from martwright.operators import features, forecasting
+    rows = [(k, D(2020, 1, 1) + dt.timedelta(days=i), float(i + (10 if k is None else 0)), 1, 1)
+            for k in ("A", None) for i in range(40)]
+    rows += [("short", D(2020, 1, 1) + dt.timedelta(days=i), 1.0, 1, 1) for i in range(5)]
+    daily = spark.createDataFrame(rows, "k string, ds date, y double, orders bigint, items bigint")
+    got = {r.k: r.yhat for r in features.forecast_flat(daily, 3, 7, ["k"]).collect()}
+    assert got == {"A": 36.0, None: 46.0, "short": 1.0}
+    res = forecasting.train_seasonal(daily, test_days=10, series_keys=["k"])
+    scored = {r.k: r.n for r in res.predictions.groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert scored == {"A": 10, None: 10, "short": 5}
 
 
 def test_reviews_csv_with_multiline_comments_and_extra_columns(spark, tmp_path):

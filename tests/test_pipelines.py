@@ -8,8 +8,11 @@ import __spark_entry__ as entry
 from scripts.oracle_check import compare, duck_rows, spark_rows
 
 
-@pytest.mark.parametrize("key", ["run_pipeline", "export_all", "make_sample", "ensure_built"])
-def test_job_matches_oracle(spark, duck, sf_small, key):
+@pytest.mark.parametrize("key", ["run_pipeline", "export_all", "make_sample", "ensure_built", "model_checks"])
+def test_job_matches_oracle(spark, duck, sf_small, key, monkeypatch):
+    from martwright.operators import forecasting
+    monkeypatch.setattr(forecasting.train_gbt, "__defaults__",
+                        (60, (), 5, *forecasting.train_gbt.__defaults__[3:]))  # 5 trees: jobs, not fits
     got = spark_rows(spark, entry.queries()[key], sf_small)
     want = duck_rows(duck, entry.oracle_sql()[key])
     assert compare(got, want) is None
@@ -144,3 +147,16 @@ def test_month_partitioned_marts_prune(spark, sf_small):
                   entry.queries()["mart_sales_daily"](spark, sf_small).collect())
     got = sorted((r.ds, r.orders, r.items) for r in layers.mart["mart_sales_daily"].collect())
     assert got == want
+
+
+def test_unfinished_build_is_not_opened(spark, sf_small):
+    from martwright.plans.app import warehouse_exists
+    from martwright.plans.warehouse import MANIFEST, run_pipeline
+    from martwright.session import scratch_path
+    from martwright.sinks.tables import remove
+    from martwright.sources.driver_tables import raw_inputs
+    root = scratch_path(spark, "wh-manifest")
+    run_pipeline(spark, raw_inputs(spark, sf_small), root)
+    assert warehouse_exists(spark, root)
+    remove(spark, f"{root}/{MANIFEST}")  # as it is while a refresh runs
+    assert not warehouse_exists(spark, root)
