@@ -16,9 +16,9 @@ Joining: texts with equal words are one content from the start. Contents that ag
 band of ``ROWS`` coordinates share a bucket. No bucket is expanded into all its pairs: each
 member is compared with one pivot, verified on the shingles themselves, and linked members
 fall into components. Buckets that still hold several components get a second pivot, the
-member with most links; what then remains apart is compared pair by pair across components,
-except where the distances to the pivot rule a link out by the triangle inequality, which
-holds for this distance. So no candidate link between different components is lost.
+member with the commonest shingles. What is then still apart can only be linked through shingles that the
+pivot does not have: members are joined on the rarest of these, as many as a link needs, and
+such pairs are compared. So no candidate link between different components is lost.
 
 Nulls and edge cases: texts without words are unlike everything, each alone in its class;
 equal texts are one class; rows with a null or repeated id take part like others (a class is
@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.llm.common import long_list, map_arrow, stored, text_hash, text_slices
@@ -199,6 +199,49 @@ def _apart(members: DataFrame, label: DataFrame) -> DataFrame:
     return now.join(several, "b")
 
 
+def _against_pivot(apart: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, q, inside, outside): elements shared with the pivot q, and those that q does not have."""
+    return (apart.select("id", "q").distinct()
+            .join(sets, "id").join(sets.select(F.col("id").alias("q"), F.col("s").alias("sq")), "q")
+            .select("id", "q", F.size(F.array_intersect("s", "sq")).alias("inside"),
+                    F.array_except("s", "sq").alias("outside")))
+
+
+def _pairs_apart(apart: DataFrame, against: DataFrame, similarity: float) -> DataFrame:
+    """Pairs across components that can still be linked, of members that share a pivot q.
+
+    A similarity of s takes |x & y| >= s / (1 + s) * (|x| + |y|). What x and y share inside q is
+    at most the smaller of their shares of q; the rest has to be shared outside of q. So either
+    both have enough inside, which next to none do without being linked to q and so to one
+    another, or they share elements that q does not have, which are rare, and are joined on.
+    """
+    def side(rows, n, *keys):
+        return rows.select(*keys, *[F.col(c).alias(c + n) for c in ("id", "f", "total", "inside")])
+
+    needed = (similarity / (1 + similarity) * (F.col("total1") + F.col("total2"))
+              - F.least("inside1", "inside2") - 1e-9)
+    apart_and_alike = ((F.col("id1") < F.col("id2")) & (F.col("f1") != F.col("f2"))
+                       & (F.least("total1", "total2") >= similarity * F.greatest("total1", "total2")))
+    nodes = apart.select("id", "f", "total").distinct().join(against, "id")
+    within = side(nodes, "1", "q").where(F.col("inside1") >= similarity * F.col("total1") - 1e-9)
+    within = (within.join(side(nodes, "2", "q").where(F.col("inside2") >= similarity * F.col("total2") - 1e-9), "q")
+              .where(apart_and_alike & (needed <= 0)).select("id1", "id2"))
+    beyond = nodes.withColumn("e", F.explode("outside"))
+    often = stored(beyond.groupBy("q", "e").agg(F.count("*").alias("n"), F.min("f").alias("lo"),
+                                                F.max("f").alias("hi"))
+                   .where("lo <> hi").select("q", "e", "n"), "outside")
+    # Elements in order of rarity. The first one that a pair shares has, on either side, as many
+    # from it on as the pair needs; joining only such elements keeps that one of every pair.
+    mine = Window.partitionBy("q", "id")
+    left = F.count("*").over(mine) - F.row_number().over(mine.orderBy("n", "e")) + 1
+    beyond = stored(beyond.join(often, ["q", "e"]).withColumn("left", left)
+                    .select("q", "e", "id", "f", "total", "inside", "left"), "beyond")
+    beyond = (side(beyond, "1", "q", "e", F.col("left").alias("left1"))
+              .join(side(beyond, "2", "q", "e", F.col("left").alias("left2")), ["q", "e"])
+              .where(apart_and_alike & (F.least("left1", "left2") >= needed)).select("id1", "id2"))
+    return within.unionByName(beyond).select(F.col("id1").alias("x"), F.col("id2").alias("y")).distinct()
+
+
 def links(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows with their content id, contents, links between contents (a, b))."""
     rows = stored(signatures(docs), "signatures")
@@ -233,32 +276,25 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, D
     found = checked.where(F.col("sim") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
     apart = stored(_apart(members, components(found)), "apart")
     if not apart.isEmpty():
-        # a second pivot: the member with most links
-        degree = (found.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id")
-                  .agg(F.count("*").alias("links")))
-        ranked = apart.join(degree, "id", "left").fillna({"links": 0})
-        second = (ranked.groupBy("b")
-                  .agg(F.max(F.struct("links", F.xxhash64("id").alias("h"), F.col("id").alias("q"),
-                                      F.col("f").alias("qf"), F.col("total").alias("qt"))).alias("p"))
-                  .select("b", "p.q", "p.qf", "p.qt"))
+        # a second pivot: the member whose elements are the commonest among what is apart, such
+        # as the text that the others were copied from
+        each = stored(apart.select("id").distinct().join(sets, "id").select("id", F.explode("s").alias("e")),
+                      "elements")
+        often = stored(each.groupBy("e").agg(F.count("*").alias("n")).where("n > 1"), "often")
+        central = each.join(often, "e").groupBy("id").agg(F.sum("n").alias("sum"))
+        ranked = (apart.join(central, "id", "left")
+                  .withColumn("central", F.coalesce(F.col("sum") / F.col("total"), F.lit(0.0))))
+        second = stored(ranked.groupBy("b").agg(F.max(F.struct(
+            "central", F.xxhash64("id").alias("h"), F.col("id").alias("q"), F.col("f").alias("qf"),
+            F.col("total").alias("qt"))).alias("p")).select("b", "p.q", "p.qf", "p.qt"), "second")
         pairs = (apart.join(second, "b").where("f <> qf").where(sizes_allow(F.col("total"), F.col("qt")))
                  .select(F.col("id").alias("x"), F.col("q").alias("y")).distinct()
                  .join(checked.select("x", "y"), ["x", "y"], "left_anti"))
         more = stored(verify(pairs, sets).where(F.col("sim") >= similarity), "checked-2")
         found = found.unionByName(more.select(F.col("x").alias("a"), F.col("y").alias("b")))
-        apart = _apart(apart.drop("f"), components(found))
-        # distance to the first pivot, for the triangle inequality
-        far = checked.select(F.col("x").alias("id"), F.col("y").alias("pivot"), (1 - F.col("sim")).alias("d"))
-        apart = stored(apart.join(far, ["id", "pivot"], "left")
-                       .withColumn("d", F.coalesce("d", F.lit(0.0))), "apart-2")
-        one = apart.select("b", F.col("id").alias("x"), F.col("f").alias("fx"),
-                           F.col("total").alias("tx"), F.col("d").alias("dx"))
-        two = apart.select("b", F.col("id").alias("y"), F.col("f").alias("fy"),
-                           F.col("total").alias("ty"), F.col("d").alias("dy"))
-        pairs = (one.join(two, "b").where("x < y AND fx <> fy")
-                 .where(sizes_allow(F.col("tx"), F.col("ty")))
-                 .where(F.abs(F.col("dx") - F.col("dy")) <= 1 - similarity + 1e-9)
-                 .select("x", "y").distinct())
+        apart = stored(_apart(apart.drop("f"), components(found)).join(second.select("b", "q"), "b"), "apart-2")
+        against = stored(_against_pivot(apart, sets), "against")
+        pairs = stored(_pairs_apart(apart, against, similarity), "pairs-3")
         last = stored(verify(pairs, sets).where(F.col("sim") >= similarity), "checked-3")
         found = found.unionByName(last.select(F.col("x").alias("a"), F.col("y").alias("b")))
     return rows, contents, found
