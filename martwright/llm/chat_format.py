@@ -112,5 +112,5 @@ c AS (
 e AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies, any_value(n_turns) AS n_turns, l,
              any_value(text) AS text FROM c GROUP BY l),
 p AS (SELECT DISTINCT l[1:k] AS l FROM (SELECT l, unnest(range(1, n_turns)) AS k FROM e))
-SELECT conv_id, 0 AS part, n_turns, n_copies, text FROM e WHERE l NOT IN (SELECT l FROM p)
+SELECT conv_id, CAST(0 AS BIGINT) AS part, n_turns, n_copies, text FROM e WHERE l NOT IN (SELECT l FROM p)
 """
