@@ -4,7 +4,8 @@ STAGES are applied in turn; each works on the rows that the one before kept and
 
 1. language: drops texts without a letter and texts of which no language has a majority.
 2. toxicity: drops texts with a score of 0.5 or more.
-3. near duplicates: keeps one row of each class, that of the smallest doc_id.
+3. near duplicates: keeps one row of each class, of the smallest doc_id (without ids, or with
+   several texts under that id: the one with the least hash).
 4. decontamination: drops texts of which benchmark windows cover a twentieth or more.
 5. packing: pieces of the rest, packed into sequences (the result).
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.llm import decontaminate, language_id, near_dup, packing, toxicity
@@ -57,9 +58,9 @@ def _keys(rows: DataFrame) -> DataFrame:
 
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = _keys(near_dup.classes(docs).where("kept"))
-    nth = F.row_number().over(Window.partitionBy("id", "hash").orderBy("hash"))
-    return (_with_key(docs).join(kept, ["id", "hash"]).withColumn("nth", nth)
-            .where("nth = 1").select("__doc.*"))
+    # one row of each key, before the shuffle, so that a key of many rows is no large group
+    one = _with_key(docs).groupBy("id", "hash").agg(F.first("__doc").alias("__doc"))
+    return one.join(kept, ["id", "hash"], "left_semi").select("__doc.*")
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,8 +22,8 @@ such pairs are compared. So no candidate link between different components is lo
 
 Nulls and edge cases: texts without words are unlike everything, each alone in its class;
 equal texts are one class; rows with a null or repeated id take part like others (a class is
-named by its smallest non-null id); an empty table gives an empty result; other columns are
-ignored.
+named by its smallest non-null id, and one text of that id is kept); an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 COORDINATES = BANDS * ROWS
+# The least row of a class, by this order, is kept: ids first, then rows without one, then texts.
+_ORDER = "struct(doc_id IS NULL AS no_id, doc_id, text_hash)"
 _U = np.uint64
 _STEP, _LAYER = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
@@ -247,9 +249,9 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, D
     rows = stored(signatures(docs), "signatures")
     contents = stored(
         rows.where("total > 0").groupBy("c1", "c2")
-        .agg(F.min("doc_id").alias("doc_id"), F.first("total").alias("total"),
+        .agg(F.min(F.expr(_ORDER)).alias("least"), F.first("total").alias("total"),
              F.first("bands").alias("bands"))
-        .withColumn("id", F.monotonically_increasing_id()), "contents")
+        .withColumns({"id": F.monotonically_increasing_id(), "doc_id": F.col("least.doc_id")}), "contents")
     every = contents.select("id", "total", F.explode("bands").alias("b"))
     # the pivot is the member whose hashed id is least, so that buckets tend to share pivots
     pivot = F.min(F.struct(F.xxhash64("id").alias("h"), F.col("id").alias("pivot"),
@@ -301,16 +303,22 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, D
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, class_id, kept, text_hash): the class is named by its smallest doc_id, which is kept."""
+    """(doc_id, class_id, kept, text_hash): the class is named by its smallest doc_id.
+
+    Kept is one (doc_id, text) of each class: of its smallest doc_id, or without an id if none
+    of its rows has one, the text with the least hash. Rows equal in both are all marked.
+    """
     rows, contents, found = links(docs, similarity)
-    grouped = (contents.select("id", "c1", "c2", "doc_id").join(components(found), "id", "left")
+    grouped = (contents.select("id", "c1", "c2", "least").join(components(found), "id", "left")
                .withColumn("component", F.coalesce("component", "id")))
-    named = grouped.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    by_content = grouped.join(named, "component").select("c1", "c2", "class_id")
+    named = grouped.groupBy("component").agg(F.min("least").alias("least"))
+    by_content = grouped.drop("least").join(named, "component").select("c1", "c2", "least")
     worded = rows.where("total > 0").select("doc_id", "text_hash", "c1", "c2").join(by_content, ["c1", "c2"])
-    alone = rows.where("total = 0").select("doc_id", F.col("doc_id").alias("class_id"), "text_hash")
-    return (worded.select("doc_id", "class_id", "text_hash").unionByName(alone)
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))))
+    alone = rows.where("total = 0").select("doc_id", F.col("doc_id").alias("class_id"),
+                                           F.lit(True).alias("kept"), "text_hash")
+    kept = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    return (worded.select("doc_id", F.col("least.doc_id").alias("class_id"), kept.alias("kept"), "text_hash")
+            .unionByName(alone))
 
 
 def run(docs: DataFrame) -> DataFrame:

@@ -89,6 +89,26 @@ def test_edge_rows(spark, edge, empty):
     assert all(r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def near_copies():
+    """Three classes: without ids, under one repeated id, and both with a smaller id among them."""
+    rng = np.random.default_rng(9)
+    rows = []
+    for first, ids in ((0, [None] * 8), (1, [70] * 8), (2, [None, None, None, 80, 80, 80, 90, 90])):
+        w = [f"v{first}x{k}" for k in rng.integers(0, 1000, 300)]
+        copies = [" ".join(w), " ".join(w).upper(), "  ".join(w)] + [" ".join([*w, f"end{k}"]) for k in range(5)]
+        rows += list(zip(ids, copies, strict=True))
+    return rows + rows[::3]  # and exact repeats
+
+
+def test_one_text_of_each_class_is_kept(spark):
+    rows = near_copies()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    got = near_dup.classes(docs).collect()
+    assert sorted(((r.doc_id, r.class_id) for r in got), key=repr) == brute_classes(rows)
+    kept = {(r.doc_id, r.text_hash) for r in got if r.kept}
+    assert sorted((i for i, _ in kept), key=repr) == [70, 80, None]
+
+
 @pytest.mark.parametrize("weights", [[1, 1, 1, 1, 1, 1], [3, 1, 0.5, 7.25, 2, 40]])
 def test_signatures_agree_as_often_as_the_similarity_says(weights):
     rng = np.random.default_rng(1)

@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 from martwright.llm import queries as llm
 from scripts.oracle_check import compare, duck_rows, spark_rows
 from tests.llm.test_decontaminate import brute as brute_hits
-from tests.llm.test_near_dup import brute_classes
+from tests.llm.test_near_dup import brute_classes, near_copies
 from tests.llm.test_tokens import check_packed
 
 SF = "/root/testdata/sf0.001"
@@ -52,6 +52,12 @@ def test_stages_do_what_their_operators_find(spark):
         docs = out
 
 
+def test_one_row_of_each_class_of_null_and_repeated_ids_is_left(spark):
+    docs = spark.createDataFrame(near_copies(), "doc_id bigint, text string").repartition(5)
+    left = corpus_pipeline.unique(spark, docs, SF).collect()
+    assert sorted((r.doc_id for r in left), key=repr) == [70, 80, None]
+
+
 def test_edge_rows_pass_every_stage(spark, edge, empty, tmp_path):
     for t in ("labels", "benchmark"):
         shutil.copy(f"{SF}/{t}.parquet", tmp_path)
