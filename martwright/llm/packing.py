@@ -3,8 +3,8 @@
 Documents become pieces of at most ``capacity`` tokens; a piece of exactly that length is
 a sequence of its own. The other pieces are dealt at random over shards of bounded size.
 In each shard they are first placed by best fit in order of falling length; then a local
-search works on the underfull bins: it moves a piece, or exchanges one for one or two for
-one, whenever that raises the sum of squared fills, which drains the emptiest bins until
+search works on all underfull bins: it moves a piece, or exchanges one for one or two for
+one, as long as that raises the sum of squared fills, which drains the emptiest bins until
 some hold nothing. Bins that stay underfull send their pieces on to a next round over
 fewer shards, so that what is left over in many shards meets again.
 
@@ -29,7 +29,6 @@ from martwright.llm.token_ids import tokenizer
 CAPACITY = 4096
 SHARD_PIECES = 8192
 ROUNDS = 2
-PASSES = 3
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -87,75 +86,114 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _best_move(give: list[int], take: list[int], lengths: list[int], gap: int, lead: int):
-    """The exchange that most raises the squared fills, or None: (gain, out of give, out of take).
+class _Offers:
+    """What each open bin could give back: nothing, a piece, or two, one way for each sum.
 
-    ``lead`` is the fill of take less that of give; moving d tokens from give to take raises
-    the sum of squares by 2 d (lead + d), as long as take can hold them.
+    Flat arrays over all bins; a bin that changes has its old entries voided and new ones added.
     """
-    best = None
-    mine = sorted({lengths[i]: i for i in give}.items())
-    theirs = sorted({lengths[i]: i for i in take}.items())
-    options = [(0, ())] + [(n, (i,)) for n, i in theirs]
-    if len(take) <= 40:
-        for a, i in enumerate(take):
-            options += [(lengths[i] + lengths[j], (i, j)) for j in take[a + 1:]]
-    options.sort(key=lambda o: o[0])
-    sums = [o[0] for o in options]
-    for n, i in mine:
-        # the least that must come back for n to fit
-        k = bisect.bisect_left(sums, n - gap)
-        if k == len(options) or sums[k] >= n:
-            continue
-        d = n - sums[k]
-        gain = 2 * d * (lead + d)
-        if gain > 0 and (best is None or gain > best[0]):
-            best = (gain, i, options[k][1])
-    return best
+
+    def __init__(self, bins: list[list[int]], lengths: list[int], capacity: int):
+        self.bins, self.lengths, self.void = bins, lengths, 2 * capacity
+        self.of = [self._ways(b) for b in bins]
+        self._lay()
+
+    def _ways(self, members: list[int]) -> tuple[np.ndarray, ...]:
+        if not members:
+            return (np.zeros(0, np.int64),) * 3
+        items = np.array(members)
+        n = np.array([self.lengths[i] for i in members])
+        a, b = np.triu_indices(len(items), 1)
+        sums = np.concatenate([[0], n, n[a] + n[b]])
+        one = np.concatenate([[-1], items, items[a]])
+        two = np.concatenate([[-1], np.full(len(items), -1), items[b]])
+        sums, first = np.unique(sums, return_index=True)
+        return sums, one[first], two[first]
+
+    def _lay(self) -> None:
+        sizes = np.array([len(w[0]) for w in self.of])
+        room = 2 * int(sizes.sum()) + 1024
+        self.sums, self.bin, self.one, self.two = (np.zeros(room, np.int64) for _ in range(4))
+        ends = np.cumsum(sizes)
+        self.first, self.used = (ends - sizes).tolist(), int(ends[-1])
+        for out, k in ((self.sums, 0), (self.one, 1), (self.two, 2)):
+            out[:self.used] = np.concatenate([w[k] for w in self.of])
+        self.bin[:self.used] = np.repeat(np.arange(len(sizes)), sizes)
+
+    def renew(self, b: int) -> None:
+        at, n = self.first[b], len(self.of[b][0])
+        self.sums[at:at + n] = self.void
+        self.of[b] = self._ways(self.bins[b])
+        at, n = self.used, len(self.of[b][0])
+        if at + n > len(self.sums):
+            self._lay()
+            return
+        for out, values in zip((self.sums, self.one, self.two), self.of[b], strict=True):
+            out[at:at + n] = values
+        self.bin[at:at + n] = b
+        self.first[b], self.used = at, at + n
+
+    def best(self, giver: int, fill: np.ndarray, capacity: int):
+        """The exchange that most raises the squared fills, or None: (out, taker, back).
+
+        Moving d tokens to a bin that is fuller by ``lead`` raises them by 2 d (lead + d), as
+        long as the taker can hold them.
+        """
+        sums, bin_ = self.sums[:self.used], self.bin[:self.used]
+        held = fill[bin_]
+        gap, lead = capacity - held, held - fill[giver]
+        gap[bin_ == giver] = 0
+        best, found = 0, None
+        for n, i in {self.lengths[i]: i for i in self.bins[giver]}.items():
+            d = n - sums
+            gain = np.where((d > 0) & (d <= gap), d * (lead + d), 0)
+            k = int(gain.argmax())
+            if gain[k] > best:
+                best = gain[k]
+                found = i, int(bin_[k]), [int(x) for x in (self.one[k], self.two[k]) if x >= 0]
+        return found
 
 
 def local_search(bins: list[list[int]], lengths: list[int], capacity: int,
-                 passes: int = PASSES) -> list[list[int]]:
-    """Drain the emptiest underfull bins into the others by moves and exchanges."""
-    fill = [sum(lengths[i] for i in b) for b in bins]
-    for _ in range(passes):
-        open_ = sorted((b for b in range(len(bins)) if 0 < fill[b] < capacity), key=lambda b: fill[b])
+                 passes: int | None = None) -> list[list[int]]:
+    """Drain the emptiest underfull bins into the others by moves and exchanges, until none
+    is left that raises the squared fills (or for so many ``passes``)."""
+    bins = [list(b) for b in bins]
+    if len(bins) < 2:
+        return [b for b in bins if b]
+    fill = np.array([sum(lengths[i] for i in b) for b in bins])
+    offers = _Offers(bins, lengths, capacity)
+    changed = True
+    while changed and passes != 0:
         changed = False
-        for x, giver in enumerate(open_):
-            for taker in reversed(open_[x + 1:]):
-                while bins[giver] and fill[taker] < capacity:
-                    move = _best_move(bins[giver], bins[taker], lengths, capacity - fill[taker],
-                                      fill[taker] - fill[giver])
-                    if move is None:
-                        break
-                    _, out, back = move
-                    bins[giver].remove(out)
-                    for i in back:
-                        bins[taker].remove(i)
-                    bins[giver].extend(back)
-                    bins[taker].append(out)
-                    d = lengths[out] - sum(lengths[i] for i in back)
-                    fill[giver] -= d
-                    fill[taker] += d
-                    changed = True
-                if not bins[giver]:
+        passes = None if passes is None else passes - 1
+        for giver in np.argsort(fill, kind="stable").tolist():
+            while 0 < fill[giver] < capacity:
+                move = offers.best(giver, fill, capacity)
+                if move is None:
                     break
-        if not changed:
-            break
+                out, taker, back = move
+                bins[giver].remove(out)
+                for i in back:
+                    bins[taker].remove(i)
+                bins[giver].extend(back)
+                bins[taker].append(out)
+                d = lengths[out] - sum(lengths[i] for i in back)
+                fill[giver] -= d
+                fill[taker] += d
+                offers.renew(giver)
+                offers.renew(taker)
+                changed = True
     return [b for b in bins if b]
 
 
-def pack_shard(lengths: list[int], capacity: int = CAPACITY, passes: int = PASSES,
-               open_most: int = 64) -> list[list[int]]:
-    """Best fit, then the local search over the emptiest bins (at most ``open_most`` of them;
-    the fuller ones have next to no room left, and stay as they are)."""
+def pack_shard(lengths: list[int], capacity: int = CAPACITY,
+               passes: int | None = None) -> list[list[int]]:
+    """Best fit, then the local search over all underfull bins."""
     bins = best_fit(lengths, capacity)
     fills = [sum(lengths[i] for i in b) for b in bins]
-    order = sorted(range(len(bins)), key=lambda b: fills[b])
-    some = [b for b in order if fills[b] < capacity][:open_most]
-    rest = set(range(len(bins))) - set(some)
-    return [bins[b] for b in sorted(rest)] + local_search([bins[b] for b in some], lengths,
-                                                          capacity, passes)
+    some = sorted((b for b in range(len(bins)) if fills[b] < capacity), key=lambda b: fills[b])
+    full = [bins[b] for b in range(len(bins)) if fills[b] == capacity]
+    return full + local_search([bins[b] for b in some], lengths, capacity, passes)
 
 
 def _pack_round(items: DataFrame, shards: int, round_: int, capacity: int) -> DataFrame:

@@ -73,6 +73,29 @@ def test_search_empties_a_bin_that_best_fit_leaves():
     assert len(bins) == 2
 
 
+def test_search_works_on_all_underfull_bins():
+    lengths = np.random.default_rng(0).integers(1200, 1700, 2048).tolist()
+    bins = packing.pack_shard(lengths, 4096)
+    assert sorted(i for b in bins for i in b) == list(range(len(lengths)))
+    assert all(sum(lengths[i] for i in b) <= 4096 for b in bins)
+    # hundreds of bins stay underfull, and best fit alone leaves them so
+    assert len(bins) < 0.98 * len(packing.best_fit(lengths, 4096))
+
+
+def test_no_exchange_is_left():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        lengths = rng.integers(100, 500, 60).tolist()
+        bins = [[lengths[i] for i in b] for b in packing.pack_shard(lengths, 1000)]
+        for give in bins:
+            for take in bins:
+                if give is take or sum(give) == 1000:
+                    continue
+                backs = [0, *take, *(a + b for i, a in enumerate(take) for b in take[i + 1:])]
+                for d in (n - back for n in give for back in backs):
+                    assert d <= 0 or sum(take) + d > 1000 or sum(take) - sum(give) + d <= 0
+
+
 def check_packed(rows, capacity, texts):
     by = {}
     for r in rows:
