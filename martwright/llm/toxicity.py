@@ -7,7 +7,7 @@ express. Pairs are summed in linear time by the usual square-of-sum identity.
 
 The machine is trained in numpy on a bounded sample of labelled rows: about ``FIT_ROWS``
 of either label, chosen by a hash of their id and weighted halfway between the classes'
-true shares and equal ones. Terms of very few rows of the sample carry no weight.
+true shares and equal ones. Terms of fewer than ``LEAST`` rows of the sample carry no weight.
 
 Nulls and edge cases: a null or empty text has no terms and gets the bias alone; null labels
 are not learned from, and a document with contradicting labels counts once for each; without
@@ -30,7 +30,7 @@ from martwright.llm.words import words
 BITS = 18
 FACTORS = 4
 FIT_ROWS = 6000
-LEAST, LEAST_SHARE = 3, 1 / 600
+LEAST = 3
 EPOCHS, BATCH, RATE, DECAY = 12, 128, 0.8, 2e-5
 LEAST_STEPS = 600  # a small sample is gone through more often
 # Pairs weigh less in long texts, where they are many.
@@ -75,7 +75,7 @@ def train(flat: np.ndarray, offsets: np.ndarray, label: np.ndarray, weight: np.n
     rng = np.random.default_rng(seed)
     size = 1 << BITS
     n = np.diff(offsets)
-    often = np.bincount(flat, minlength=size) >= max(LEAST, len(n) * LEAST_SHARE)
+    often = np.bincount(flat, minlength=size) >= LEAST
     epochs = max(epochs, -(-LEAST_STEPS * BATCH // max(len(n), 1)))
     doc = np.repeat(np.arange(len(n)), n)[often[flat]]
     flat = flat[often[flat]]

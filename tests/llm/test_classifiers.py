@@ -87,6 +87,24 @@ def test_pairs_of_terms_are_learned():
     assert right > 0.95
 
 
+def test_rare_insult_is_learned_from_a_large_sample():
+    rng = np.random.default_rng(3)
+    rare, common = range(0, 12_000, 1200), range(1, 12_000, 4)
+    texts = [" ".join(f"n{k}" for k in rng.integers(0, 400, 12)) for _ in range(12_000)]
+    y = np.zeros(len(texts))
+    for word, rows in (("rareinsult", rare), ("insult", common)):
+        for i in rows:
+            texts[i], y[i] = f"{texts[i]} {word}", 1.0
+    new = ["n1 n2 n3 rareinsult", "n1 n2 n3"]
+    cuts = []
+    for t in (texts, new):
+        (_, _, data, offsets), = text_slices(pa.record_batch({"text": pa.array(t, pa.string())}))
+        cuts.append(toxicity.terms(data, offsets))
+    m = toxicity.train(*cuts[0], y, np.ones(len(y)))
+    insulting, plain = toxicity.sigmoid(toxicity.logits(m, *cuts[1]))
+    assert insulting >= 0.5 > plain
+
+
 def test_logits_are_the_plain_sum_over_pairs():
     rng = np.random.default_rng(2)
     size = 1 << toxicity.BITS
