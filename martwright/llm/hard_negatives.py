@@ -41,7 +41,7 @@ ANCHOR_EVERY, MOVED_EVERY, LABELS = 50, 7, 10
 POSITIVES, NEGATIVES = 5, 3
 SHARD = 4096  # candidates of a cover tree
 PIVOTS = 256  # cells at most; larger ones are split by hash
-LEAF = 24
+LEAF = 256
 SHRINK = 1.3  # each level's covering radius, as a part of the one above
 BATCH = 256  # anchors that are bounded at once
 LOWEST, HIGHEST = -(1 << 62), 1 << 62
@@ -51,7 +51,7 @@ LOWEST, HIGHEST = -(1 << 62), 1 << 62
 
 
 class CoverTree:
-    """Nodes in arrays: centre, covering radius, children, or the points of a leaf."""
+    """Nodes in arrays: centre, covering radius, children; a leaf has a range of ``at``, the points' order."""
 
     def __init__(self, points: np.ndarray, norm: float):
         """``points`` are integer vectors as doubles; no one is longer than ``norm``."""
@@ -60,7 +60,8 @@ class CoverTree:
         self.last = np.sqrt(np.maximum(norm * norm - square, 0.0))
         self.centre: list[int] = []
         self.radius: list[float] = []
-        self.below: list[list[int] | np.ndarray] = []
+        self.below: list[list[int] | slice] = []
+        self.at = np.zeros(0, np.int64)
         self.leaf: list[bool] = []
         if len(points):
             self._build()
@@ -80,14 +81,16 @@ class CoverTree:
         return len(self.centre) - 1
 
     def _build(self) -> None:
-        every = np.arange(len(self.points))
+        every, held, n = np.arange(len(self.points)), [], 0
         far = self._far(0, every)
         level = [(self._node(0, float(far.max())), every, far)]
         while level:
             deeper = []
             for node, at, far in level:
                 if len(at) <= LEAF or self.radius[node] == 0.0:
-                    self.below[node], self.leaf[node] = at, True
+                    self.below[node], self.leaf[node] = slice(n, n + len(at)), True
+                    held.append(at)
+                    n += len(at)
                     continue
                 # centres of the next level cover the node's points within the smaller radius
                 within = self.radius[node] / SHRINK
@@ -105,6 +108,7 @@ class CoverTree:
                         self.below[node].append(child)
                         deeper.append((child, at[mine], near[mine]))
             level = deeper
+        self.at = np.concatenate(held)
 
     def bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(lower, upper) bounds of the products of each query with each node's points."""
@@ -116,52 +120,59 @@ class CoverTree:
 
 
 class Found:
-    """The first ``k`` (score, id) of a window of scores."""
+    """The first ``k`` (score, place in the order of ids) of a window of scores."""
 
-    __slots__ = ("low", "high", "k", "best")
+    __slots__ = ("low", "high", "k", "best", "least")
 
     def __init__(self, low: int, high: int, k: int):
-        self.low, self.high, self.k, self.best = low, high, k, []
-
-    def least(self) -> int:
-        """Scores under this don't count any more."""
-        return self.low if len(self.best) < self.k else max(self.low, -self.best[-1][0])
-
-    def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        good = np.flatnonzero((scores >= self.least()) & (scores <= self.high))
-        if len(good):
-            self.best += [(-int(scores[i]), int(ids[rows[i]]), int(rows[i])) for i in good]
+        # scores under ``least`` don't count any more
+        self.low, self.high, self.k, self.best, self.least = low, high, k, [], low
+
+    def offer(self, down: np.ndarray, order: np.ndarray, rows: np.ndarray) -> None:
+        """Negated scores, ascending; of equal ones the smaller order first."""
+        a = int(down.searchsorted(-self.high))
+        b = min(a + self.k, int(down.searchsorted(-self.least, "right")))
+        if a < b:
+            self.best += zip(down[a:b].tolist(), order[a:b].tolist(), rows[a:b].tolist(), strict=True)
             self.best.sort()
             del self.best[self.k:]
+            if len(self.best) == self.k:
+                self.least = max(self.low, -int(self.best[-1][0]))
 
 
 def search(tree: CoverTree, exact: np.ndarray, query: np.ndarray, lower: np.ndarray, upper: np.ndarray,
-           usable, order: np.ndarray, windows: list[Found]) -> None:
+           usable: np.ndarray, order: np.ndarray, windows: list[Found]) -> None:
     """Best-first descent for one anchor and all its windows.
 
-    ``exact`` has the points for exact products, ``usable(rows)`` marks those that may be found,
-    ``order`` ranks ids for ties.
+    ``exact`` has the points for exact products, ``usable`` marks those that may be found,
+    ``order`` ranks ids for ties; all of them are in the order of ``tree.at``.
     """
-    if not len(tree.radii):
+    if not len(tree.radii) or not windows:
         return
+    lower, upper = lower.tolist(), upper.tolist()
     heap = [(-upper[0], 0)]
+    high, least = max(w.high for w in windows), min(w.least for w in windows)
     while heap:
         top, node = heapq.heappop(heap)
-        needed = [w for w in windows if -top >= w.least() and lower[node] <= w.high]
-        if not needed:
-            if all(-top < w.least() for w in windows):
-                return
+        if -top < least:
+            return
+        if lower[node] > high or not any(w.least <= -top and lower[node] <= w.high for w in windows):
             continue
         if not tree.leaf[node]:
             for child in tree.below[node]:
                 heapq.heappush(heap, (-upper[child], child))
             continue
-        rows = tree.below[node]
-        rows = rows[usable(rows)]
-        if len(rows):
-            scores = exact[rows] @ query
-            for w in needed:
-                w.offer(rows, scores, order)
+        some = tree.below[node]
+        scores = exact[some] @ query
+        good = (scores >= least) & usable[some]
+        good = np.flatnonzero(good & (scores <= high)) if good.any() else ()
+        if len(good):
+            rows, down = good + some.start, -scores[good]
+            by = np.lexsort((order[rows], down))
+            rows, down = rows[by], down[by]
+            for w in windows:
+                w.offer(down, order[rows], rows)
+            least = min(w.least for w in windows)
 
 
 # ------------------------------------------------------------- candidates
@@ -327,10 +338,7 @@ def _searched(shards: DataFrame, anchors: DataFrame, cells: Cells, same_label: b
         for j, (row, query, label, lows, highs) in enumerate(asked):
             windows = [Found(a, b, k) for a, b in zip(lows, highs, strict=True)]
 
-            def usable(at, row=row, label=label):
-                same = labels[at] == label
-                return (same & (rows[at] != row)) if same_label else ~same
-
+            usable = (labels == label) & (rows != row) if same_label else labels != label
             q = query if exact.dtype == np.float64 else query.astype(np.int64)
             search(tree, exact, q, lower[j], upper[j], usable, order, windows)
             out += [(row, i, at, -score) for i, w in enumerate(windows) for score, _, at in w.best]
@@ -355,11 +363,12 @@ def _searched(shards: DataFrame, anchors: DataFrame, cells: Cells, same_label: b
                 ids = whole.column("vec_id")
                 null = np.array(ids.is_null())
                 values = ids.fill_null(0).to_numpy()
+                tree, held = CoverTree(points, norm), []
+                rows, labels, null, values = (x[tree.at] for x in (rows, labels, null, values))
                 order = np.empty(len(rows), np.int64)
                 order[np.lexsort((rows, values, null))] = np.arange(len(rows))
-                tree, held = CoverTree(points, norm), []
                 # doubles hold products exactly up to 2 ** 53
-                exact = points if norm * norm < 2.0 ** 52 else points.astype(np.int64)
+                exact = points[tree.at] if norm * norm < 2.0 ** 52 else points[tree.at].astype(np.int64)
             for a in range(0, len(batch), BATCH):
                 some = batch.slice(a, BATCH)
                 asked = list(zip(some.column("row").to_pylist(), x[a:a + BATCH], some.column("label").to_pylist(),

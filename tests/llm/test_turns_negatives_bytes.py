@@ -213,7 +213,7 @@ def test_cover_tree_bounds_hold():
     lower, upper = tree.bounds(q)
 
     def members(n):
-        return list(tree.below[n]) if tree.leaf[n] else [i for c in tree.below[n] for i in members(c)]
+        return tree.at[tree.below[n]].tolist() if tree.leaf[n] else [i for c in tree.below[n] for i in members(c)]
 
     assert sorted(members(0)) == list(range(800))
     for n in range(len(tree.radii)):
