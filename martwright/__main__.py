@@ -78,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
         out = train_all(spark, marts["mart_sales_daily"],
                         delivered_extract(marts["mart_order_items"]), args.artifacts,
                         test_days=args.test_days)
-        print(json.dumps(out.metrics))
+        print(out["metrics"].toJSON().first())
     elif args.cmd == "export":
         from martwright.plans.app import open_marts
         from martwright.sinks.exports import export_marts

@@ -46,15 +46,18 @@ def lag_features(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS,
     return df.withColumns(cols)
 
 
-def drop_null_rows(df: DataFrame) -> DataFrame:
-    """Drop a row if any column is NULL."""
-    return df.dropna(how="any")
+def drop_null_rows(df: DataFrame, but: Sequence[str] = ()) -> DataFrame:
+    """Drop a row if any column (but those named) is NULL."""
+    return df.dropna(how="any", subset=[c for c in df.columns if c not in but])
 
 
 def lag_features_complete(df: DataFrame, lags: Sequence[int] = DEFAULT_LAGS,
                           series_keys: Sequence[str] = ()) -> DataFrame:
-    """Lags + rolling means, then rows with any NULL removed (the first 28 rows go)."""
-    return drop_null_rows(lag_features(df, lags=lags, series_keys=series_keys))
+    """Lags + rolling means, then rows with any NULL removed (the first 28 rows go).
+
+    A NULL series key names a series; it is no missing value.
+    """
+    return drop_null_rows(lag_features(df, lags=lags, series_keys=series_keys), series_keys)
 
 
 def model_frame(daily: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:

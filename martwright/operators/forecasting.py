@@ -1,54 +1,33 @@
-"""Daily sales forecasters, holdout metrics and the forecast loops.
-
-* ``forecast_metrics``: MAE, RMSE, MAPE (denominator floored at 1e-9 on the
-  signed actual) per series, as one aggregation.
-* ``train_gbt``: gradient-boosted trees on 12 calendar/lag features with a
-  time-ordered holdout of the last ``test_days`` rows (Spark ML).
-* ``train_seasonal``: trend × (1 + yearly + weekly seasonality) re-expressed
-  as a ridge ``LinearRegression`` on ``t``, Fourier terms ``F_k(t)`` and
-  ``t·F_k(t)`` (the multiplicative-trend form; Taylor & Letham 2018).
-* ``forecast_recursive``: predict day t, write ŷ back as y, step forward —
-  sequential in the horizon, parallel over series. Only the last 28 values
-  per series are carried as state (an array column), so each step touches
-  one row per series; lineage is cut with ``checkpoint()`` every few steps.
-
-Model fitting runs on the daily series (one row per day per series), whose
-size is bounded by calendar days × series, not by order volume.
+"""Daily sales forecasters, holdout metrics and the forecast loop.
+
+* ``forecast_metrics``: MAE, RMSE, MAPE (denominator floored at 1e-9 on the signed actual) per
+  series, as one aggregation.
+* ``train_gbt``: gradient-boosted trees on 12 calendar/lag features with a time-ordered holdout of
+  the last ``test_days`` rows, one ensemble per series (``operators.boosting``).
+* ``train_seasonal``: piecewise-linear trend and seasonality, one closed-form fit per series
+  (``operators.seasonal``).
+* ``forecast_recursive``: predict day t, write the prediction back as history, step forward;
+  sequential in the horizon within a series' task, parallel over series, one job.
+
+A model is a table with one row per series. A series has a row a day, so its size is bounded by
+calendar days, not by order volume; all steps are partitioned by series.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martwright.functions import abs_error, calendar_columns, pct_error, squared_error
+from martwright.operators import boosting, seasonal
 from martwright.operators.features import model_frame, tail_rows, time_split
 from martwright.schemas import GBT_FEATURES
 from martwright.session import checkpoint
 
-# --- fixed values: tree-model settings, as in the source system ---
-GBT_TREES = 800
-GBT_STEP = 0.03
-GBT_DEPTH = 6
-GBT_SUBSAMPLE = 0.9
-GBT_FEATURE_SUBSET = "0.9"
-SEED = 42
-ROWS_PER_PARTITION = 50_000
-# --- fixed values: seasonal regression settings ---
-YEARLY_PERIOD = 365.25
-WEEKLY_PERIOD = 7.0
-YEARLY_ORDER = 2
-WEEKLY_ORDER = 3
-SEASONAL_REG = 1000.0
-LAGS = (1, 7, 14, 28)
-STATE_LEN = max(LAGS)
+STATE_LEN = 28  # values of the past that the features need
 
 
 def forecast_metrics(pred: DataFrame, y: str = "y", yhat: str = "yhat",
@@ -61,7 +40,7 @@ def forecast_metrics(pred: DataFrame, y: str = "y", yhat: str = "yhat",
         (F.avg(pct_error(y, yhat)) * 100.0).alias("mape"))
 
 
-def _eval_frame(split_df: DataFrame, series_keys: Sequence[str]) -> DataFrame:
+def eval_frame(split_df: DataFrame, series_keys: Sequence[str] = ()) -> DataFrame:
     """Rows to score: the test split, or the training rows when a series has no test rows."""
     keys = list(series_keys)
     # a window, not a join: a series with a NULL key keeps its rows
@@ -72,160 +51,60 @@ def _eval_frame(split_df: DataFrame, series_keys: Sequence[str]) -> DataFrame:
 
 @dataclass
 class TrainResult:
-    model: PipelineModel
+    model: DataFrame
     metrics: DataFrame
     predictions: DataFrame
     features: list[str]
 
 
-# ------------------------------------------------------------- tree model
-
-
-def gbt_pipeline(trees: int = GBT_TREES, step: float = GBT_STEP, depth: int = GBT_DEPTH,
-                 seed: int = SEED, features: Sequence[str] = GBT_FEATURES,
-                 checkpoint_interval: int = 50) -> Pipeline:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
-    gbt = GBTRegressor(featuresCol="_features", labelCol="y", predictionCol="yhat",
-                       maxIter=trees, stepSize=step, maxDepth=depth, lossType="squared",
-                       subsamplingRate=GBT_SUBSAMPLE, featureSubsetStrategy=GBT_FEATURE_SUBSET,
-                       seed=seed,
-                       # the boosting state's lineage is cut now and then (shared folder)
-                       checkpointInterval=checkpoint_interval)
-    return Pipeline(stages=[assembler, gbt])
-
-
 def train_gbt(daily: DataFrame, test_days: int = 60, series_keys: Sequence[str] = (),
-              trees: int = GBT_TREES, step: float = GBT_STEP, depth: int = GBT_DEPTH,
-              seed: int = SEED) -> TrainResult:
+              settings: boosting.Settings = boosting.Settings()) -> TrainResult:
     """Features → NULL-row drop → split (after the drop) → fit on train → score holdout."""
-    frame = checkpoint(time_split(model_frame(daily, series_keys), test_days, series_keys))
-    # Every tree takes several passes: as many partitions as the rows fill, no more.
-    parts = max(1, min(frame.rdd.getNumPartitions(), frame.count() // ROWS_PER_PARTITION))
-    frame = frame.coalesce(parts)
-    train = frame.where(F.col("split") == "train")
-    model = gbt_pipeline(trees, step, depth, seed).fit(train)
-    scored = model.transform(_eval_frame(frame, series_keys))
-    keys = list(series_keys)
-    pred = scored.select(*keys, "ds", "y", "yhat")
-    return TrainResult(model, forecast_metrics(pred, series_keys=keys), pred, list(GBT_FEATURES))
-
-
-# -------------------------------------------------------- seasonal model
-
-
-def seasonal_columns(ds: str = "ds", origin: str = "_origin") -> dict[str, F.Column]:
-    """t (years since origin), Fourier terms of the yearly/weekly cycles, and t·F_k."""
-    days = F.datediff(F.col(ds), F.col(origin)).cast("double")
-    cols: dict[str, F.Column] = {"t": days / YEARLY_PERIOD}
-    for name, period, order in (("yr", YEARLY_PERIOD, YEARLY_ORDER),
-                                ("wk", WEEKLY_PERIOD, WEEKLY_ORDER)):
-        for k in range(1, order + 1):
-            ang = days * (2.0 * math.pi * k / period)
-            cols[f"{name}_sin{k}"] = F.sin(ang)
-            cols[f"{name}_cos{k}"] = F.cos(ang)
-    fourier = [c for c in cols if c != "t"]
-    for c in fourier:
-        cols[f"t_{c}"] = cols["t"] * cols[c]
-    return cols
-
-
-def seasonal_feature_names() -> list[str]:
-    return list(seasonal_columns().keys())
-
-
-def seasonal_frame(daily: DataFrame, test_days: int, series_keys: Sequence[str] = ()) -> DataFrame:
-    """Rows with their split and the trend/seasonality terms, counted from the first training day."""
     keys = list(series_keys)
-    split = time_split(daily.select(*keys, "ds", "y"), test_days, keys)
-    origin = F.min(F.when(F.col("split") == "train", F.col("ds"))).over(Window.partitionBy(*keys))
-    return split.withColumn("_origin", origin).withColumns(seasonal_columns())
+    frame = checkpoint(time_split(model_frame(daily, keys), test_days, keys))
+    model = checkpoint(boosting.fit_series(frame.where(F.col("split") == "train"), GBT_FEATURES, keys,
+                                           settings=settings))
+    scored = checkpoint(boosting.score(model, eval_frame(frame, keys), GBT_FEATURES, keys)
+                        .select(*keys, "ds", "y", "yhat"))
+    return TrainResult(model, forecast_metrics(scored, series_keys=keys), scored, list(GBT_FEATURES))
 
 
 def train_seasonal(daily: DataFrame, test_days: int = 60, series_keys: Sequence[str] = (),
-                   reg: float = SEASONAL_REG, train_start: str | None = None) -> TrainResult:
-    """Split raw rows (no NULL drop) → ridge regression on trend/seasonality terms → score."""
+                   penalty: float = seasonal.PENALTY, points: int = seasonal.CHANGE_POINTS) -> TrainResult:
+    """Split raw rows (no NULL drop) → trend and seasonality fit per series → score."""
     keys = list(series_keys)
-    base = daily if train_start is None else daily.where(F.col("ds") >= F.lit(train_start).cast("date"))
-    frame = checkpoint(seasonal_frame(base, test_days, keys))
-    feats = seasonal_feature_names()
-    assembler = VectorAssembler(inputCols=feats, outputCol="_features")
-    lr = LinearRegression(featuresCol="_features", labelCol="y", predictionCol="yhat",
-                          regParam=reg, elasticNetParam=0.0, maxIter=200)
-    model = Pipeline(stages=[assembler, lr]).fit(frame.where(F.col("split") == "train"))
-    scored = model.transform(_eval_frame(frame, keys))
-    pred = scored.select(*keys, "ds", "y", "yhat")
-    return TrainResult(model, forecast_metrics(pred, series_keys=keys), pred, feats)
+    frame = checkpoint(seasonal.frame(daily, test_days, keys))
+    model = checkpoint(seasonal.fit(frame, keys, penalty, points))
+    pred = seasonal.score(model, eval_frame(frame, keys).select(*keys, "ds", "y"), keys)
+    return TrainResult(model, forecast_metrics(pred, series_keys=keys), pred, ["origin", "span", "coef"])
 
 
-# ------------------------------------------------------ recursive loop
-
-
-def _state(daily: DataFrame, keys: list[str]) -> DataFrame:
-    """Last ``STATE_LEN`` y values per series, oldest first, plus the last day."""
-    recent = tail_rows(daily.select(*keys, "ds", "y"), STATE_LEN, keys)
-    hist = recent.groupBy(*keys).agg(
+def forecast_state(daily: DataFrame, horizon: int, series_keys: Sequence[str] = (),
+                   fallback_n: int = 7) -> DataFrame:
+    """One row per series: last values, fallback mean and the horizon's days with their calendar."""
+    keys = list(series_keys)
+    recent = tail_rows(daily.select(*keys, "ds", F.col("y").cast("double").alias("y")), STATE_LEN, keys)
+    series = recent.groupBy(*keys).agg(
         F.max("ds").alias("_last"),
-        F.sort_array(F.collect_list(F.struct("ds", F.col("y").cast("double").alias("y"))))
-        .alias("_all"))
-    return hist.select(*keys, "_last", F.transform("_all", lambda s: s["y"]).alias("_hist"))
-
-
-def _step_features(state: DataFrame) -> DataFrame:
-    """Feature row of the next day from the carried history array."""
-    h = F.col("_hist")
-    n = F.size(h)
-
-    def back(k: int):
-        return F.when(n >= k, F.element_at(h, -k))
-
-    def roll(k: int):
-        window = F.slice(h, -k, k)
-        total = F.aggregate(window, F.lit(0.0), lambda acc, x: acc + x)
-        return F.when(n >= k, total / k)
-
-    nxt = state.withColumn("ds", F.date_add("_last", 1))
-    cols = calendar_columns("ds")
-    cols.update({f"lag_{k}": back(k) for k in LAGS})
-    cols.update({"roll_7": roll(7), "roll_14": roll(14)})
-    return nxt.withColumns(cols)
-
-
-def forecast_recursive(model: PipelineModel, daily: DataFrame, horizon: int,
-                       series_keys: Sequence[str] = (), checkpoint_every: int = 5,
+        F.transform(F.array_sort(F.collect_list(F.struct("ds", "y"))), lambda s: s["y"]).alias("hist"))
+    tail = F.slice("hist", -F.least(F.lit(fallback_n), F.size("hist")), F.lit(fallback_n))
+    days = (series.select(*keys, "hist", F.explode(F.sequence(F.date_add("_last", 1), F.date_add("_last", horizon)))
+                          .alias("ds")).withColumns(calendar_columns("ds")))
+    fallback = F.aggregate(tail, F.lit(0.0), lambda a, x: a + x) / F.size(tail)
+    day = F.struct("ds", *calendar_columns())
+    # the history is the same in all rows of a series
+    return days.groupBy(*keys).agg(F.any_value(F.struct("hist")).alias("_s"),
+                                   F.array_sort(F.collect_list(day)).alias("days")).select(
+        *keys, F.col("_s.hist").alias("hist"), "days").withColumn("fallback", fallback)
+
+
+def forecast_recursive(model: DataFrame, daily: DataFrame, horizon: int, series_keys: Sequence[str] = (),
                        fallback_n: int = 7) -> DataFrame:
-    """Recursive multi-step forecast; each step scores every series in one transform.
-
-    The state is one row per series: the last 28 values (history, then
-    predictions) and the predictions so far, both bounded arrays. Each step
-    is a single projection over that state, so the plan grows linearly and a
-    reliable ``checkpoint()`` every few steps cuts it (the state is tiny).
-    A series with fewer than 28 rows has no complete feature row; it falls
-    back to the mean of its last ``fallback_n`` values, as the source
-    dashboard does when the target row is missing.
+    """Recursive multi-step forecast of every series by its own ensemble, in one pass.
+
+    A series with fewer than 28 rows has no complete feature row; until it has, its days get the
+    mean of its last ``fallback_n`` historical values, as in the source dashboard when the target
+    row is missing.
     """
     keys = list(series_keys)
-    # Fallback = mean of the last ``fallback_n`` *historical* values (never updated
-    # with predictions), fixed before the loop.
-    tail = F.slice("_hist", -fallback_n, fallback_n)
-    state = _state(daily, keys).withColumns({
-        "_preds": F.array().cast("array<struct<ds:date,yhat:double>>"),
-        "_fallback": (F.aggregate(tail, F.lit(0.0), lambda a, x: a + x)
-                      / F.greatest(F.size(tail), F.lit(1)))})
-    feature_cols = list(GBT_FEATURES)
-    for step in range(1, horizon + 1):
-        feats = _step_features(state)
-        complete = F.size("_hist") >= STATE_LEN
-        # Incomplete rows get placeholder features; their prediction is discarded.
-        filled = feats.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
-                                    for c in feature_cols}).withColumn("_complete", complete)
-        scored = model.transform(filled)
-        yhat = F.when(F.col("_complete"), F.col("yhat")).otherwise(F.col("_fallback"))
-        state = scored.select(
-            *keys, F.col("ds").alias("_last"),
-            F.slice(F.concat("_hist", F.array(yhat)), -STATE_LEN, STATE_LEN).alias("_hist"),
-            F.concat("_preds", F.array(F.struct(F.col("ds"), yhat.alias("yhat")))).alias("_preds"),
-            "_fallback")
-        if step % checkpoint_every == 0 and step < horizon:
-            state = checkpoint(state)
-    return state.select(*keys, F.inline("_preds"))
-
+    return boosting.recursive(model, forecast_state(daily, horizon, keys, fallback_n), GBT_FEATURES, keys)

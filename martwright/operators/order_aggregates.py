@@ -14,18 +14,18 @@ from pyspark.sql import functions as F
 def order_payments(payments: DataFrame) -> DataFrame:
     """Per order: total value, max instalments, distinct payment types joined by ', '.
 
-    Types are sorted so the text is deterministic. ``collect_set`` combines
-    map-side and is bounded by the handful of payment types, so even an
-    order with a huge number of payment rows stays small. No types → NULL.
+    Payments are first aggregated by (order, type), by plain hash aggregation with a map-side part,
+    so an order with any number of payment rows has a handful of rows left; the second step is by
+    order over those. Types are sorted so the text is deterministic. No types → NULL.
     """
-    types = F.array_sort(F.collect_set("payment_type"))
-    return (payments.groupBy("order_id")
-            .agg(F.sum("payment_value").alias("payment_value_total"),
-                 F.max("payment_installments").alias("payment_installments_max"),
-                 types.alias("_types"))
+    types = (payments.groupBy("order_id", "payment_type")
+             .agg(F.sum("payment_value").alias("value"), F.max("payment_installments").alias("installments")))
+    held = F.array_sort(F.collect_list("payment_type"))
+    return (types.groupBy("order_id")
+            .agg(F.sum("value").alias("payment_value_total"),
+                 F.max("installments").alias("payment_installments_max"), held.alias("_types"))
             .select("order_id", "payment_value_total", "payment_installments_max",
-                    F.when(F.size("_types") > 0, F.array_join("_types", ", "))
-                    .alias("payment_types")))
+                    F.when(F.size("_types") > 0, F.array_join("_types", ", ")).alias("payment_types")))
 
 
 def order_reviews(reviews: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@
 ``md5('<seed>:' || key)`` — exact size (Bernoulli ``sample`` is not),
 identical on every engine and re-run. One pass counts the rows of each of
 65,536 hash ranges; all rows of the ranges below the one where the count
-reaches n are taken as they are, and only the rows of that one range (a
-65,536th of the input) are ordered to fill the sample up.
+reaches n are taken as they are, and only the hashes of that one range (a
+65,536th of the input), with the number of their rows, are ordered to fill
+the sample up. A table without a key is sampled by the hash of its whole rows.
 """
 
 from __future__ import annotations
@@ -28,7 +29,12 @@ def sample_hash(key_cols: list[str], seed: int = 42) -> Column:
 
 
 def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -> DataFrame:
-    """``min(n, rows)`` rows chosen uniformly without replacement, deterministic."""
+    """``min(n, rows)`` rows chosen uniformly without replacement, deterministic.
+
+    Rows of one hash range are ordered only in the range that the n-th row falls into, and there
+    equal rows are counted, not listed: the order is over distinct hashes with their multiplicity.
+    A key that holds a third of the table is one row of that order.
+    """
     h = sample_hash(key_cols, seed)
     hashed = df.withColumn("_h", h)
     prefix = F.substring("_h", 1, _PREFIX_DIGITS)
@@ -38,8 +44,15 @@ def sample_exact_n(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -
     if not edge:
         return df
     p, missing = edge[0]["p"], n - (edge[0]["upto"] - edge[0]["rows"])
-    last = hashed.where(prefix == p).orderBy("_h").limit(missing)
-    return hashed.where(prefix < p).unionByName(last).drop("_h")
+    inside = hashed.where(prefix == p)
+    # hashes of the range with their counts, at most ``missing`` of them matter
+    counts = inside.groupBy("_h").agg(F.count("*").alias("rows")).orderBy("_h").limit(missing)
+    upto = counts.withColumn("upto", F.sum("rows").over(Window.orderBy("_h")))
+    last = upto.where(F.col("upto") >= missing).orderBy("_h").limit(1).collect()
+    cut, left = last[0]["_h"], missing - (last[0]["upto"] - last[0]["rows"])
+    whole = hashed.where((prefix < p) | ((prefix == p) & (F.col("_h") < cut))).drop("_h")
+    # rows of the hash at the edge: ``left`` of them, the same ones where the key is the whole row
+    return whole.unionByName(inside.where(F.col("_h") == cut).drop("_h").limit(left))
 
 
 def sample_children(children: dict[str, DataFrame], sampled: DataFrame,

@@ -10,10 +10,8 @@ each), not cross joins.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,22 +71,89 @@ def rfm_scale(scored: DataFrame, cols: list[str] = RFM_COLUMNS,
         .otherwise(F.lit(0.0)) for c in cols})
 
 
-def fit_kmeans(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 300,
-               tol: float = 1e-4, cols: list[str] = RFM_COLUMNS) -> PipelineModel:
-    """KMeans (k-means|| init) on the z-scaled RFM columns."""
-    assembler = VectorAssembler(inputCols=[f"{c}_z" for c in cols], outputCol="_features")
-    km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="_features",
-                predictionCol="_cluster")
-    return Pipeline(stages=[assembler, km]).fit(scaled)
+# Points are whole millionths of z-scores: their sums are exact in any order, so every engine that
+# takes the same steps gets the same centres and labels.
+UNIT = 1_000_000
+START_ROWS = 1024  # customers among which the first centres are chosen
+
+
+def _units(c: str) -> Column:
+    return F.floor(F.col(f"{c}_z") * F.lit(float(UNIT)) + F.lit(0.5)).cast("bigint").alias(c)
+
+
+def _distance(centre: Sequence[float], cols: list[str]) -> Column:
+    out = None
+    for c, x in zip(cols, centre, strict=True):
+        d = F.col(c).cast("double") - F.lit(float(x))
+        out = d * d if out is None else out + d * d
+    return out
+
+
+def _nearest(centres: list[list[float]], cols: list[str]) -> Column:
+    """Number of the nearest centre; of equally near ones the first."""
+    return F.least(*[F.struct(_distance(x, cols).alias("d"), F.lit(k).alias("k"))
+                     for k, x in enumerate(centres)])["k"]
 
 
-def assign_segments(model: PipelineModel, scaled: DataFrame,
+def start_centres(points: DataFrame, k: int, seed: int, customer: str, cols: list[str]) -> list[list[float]]:
+    """Farthest-first centres among the ``START_ROWS`` customers whose md5 is least.
+
+    The first one is the least md5 itself; each next one is the customer farthest from the nearest
+    centre so far (the least md5 of equally far ones). The sample is of a fixed, documented size;
+    all customers take part in the steps that follow.
+    """
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(customer).cast("string")))
+    sample = checkpoint(points.select(*cols, customer, h.alias("_h")).orderBy("_h", customer).limit(START_ROWS))
+    centres: list[list[float]] = []
+    for _ in range(k):
+        far = F.least(*[_distance(x, cols) for x in centres], F.lit(float("inf"))) if centres else F.lit(0.0)
+        row = sample.orderBy(far.desc(), "_h", customer).select(*cols).first()
+        if row is None:
+            return []
+        centres.append([float(row[c]) for c in cols])
+    return centres
+
+
+def fit_kmeans(scaled: DataFrame, k: int = 4, seed: int = 42, max_iter: int = 300,
+               cols: list[str] = RFM_COLUMNS, customer: str = "customer_unique_id") -> DataFrame:
+    """KMeans centres of the z-scaled RFM columns: (cluster, <column> in millionths).
+
+    Lloyd's steps until no centre moves. A step is one aggregation over all customers; k rows come
+    back. A centre that loses all its customers stays where it is.
+    """
+    points = checkpoint(scaled.select(customer, *[_units(c) for c in cols]))
+    centres = start_centres(points, k, seed, customer, cols)
+    for _ in range(max_iter if centres else 0):
+        sums = points.groupBy(_nearest(centres, cols).alias("k")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in cols]).collect()
+        moved = list(centres)
+        for r in sums:
+            moved[r["k"]] = [float(r[c]) / r["n"] for c in cols]
+        if moved == centres:
+            break
+        centres = moved
+    schema = "cluster int, " + ", ".join(f"{c} double" for c in cols)
+    return scaled.sparkSession.createDataFrame([(i, *x) for i, x in enumerate(centres)], schema)
+
+
+def predict_cluster(centres: DataFrame, scaled: DataFrame, cols: list[str] = RFM_COLUMNS) -> DataFrame:
+    """``scaled`` with ``_cluster``, the number of the nearest centre (k rows are read)."""
+    found = [[r[c] for c in cols] for r in centres.orderBy("cluster").collect()]
+    held = scaled.withColumn("_p", F.struct(*[_units(c) for c in cols]))
+    if not found:
+        return held.withColumn("_cluster", F.lit(None).cast("int")).drop("_p")
+    near = F.least(*[F.struct(_distance(x, [f"_p.{c}" for c in cols]).alias("d"), F.lit(k).alias("k"))
+                     for k, x in enumerate(found)])["k"]
+    return held.withColumn("_cluster", near).drop("_p")
+
+
+def assign_segments(model: DataFrame, scaled: DataFrame,
                     customer: str = "customer_unique_id") -> DataFrame:
     """Cluster label per customer, renumbered by mean monetary (0 = highest) so ids are stable.
 
     The renumbering table has one row per cluster (k rows), so it is broadcast.
     """
-    pred = model.transform(scaled)
+    pred = predict_cluster(model, scaled)
     order = (pred.groupBy("_cluster").agg(F.avg("monetary").alias("_m"))
              .select("_cluster", F.row_number().over(
                  Window.orderBy(F.col("_m").desc(), F.col("_cluster"))).alias("_rank")))
@@ -98,14 +163,14 @@ def assign_segments(model: PipelineModel, scaled: DataFrame,
 
 def segment_customers(items: DataFrame, k: int = 4, seed: int = 42,
                       as_of: dt.date | str | None = None):
-    """RFM → scale → KMeans → labelled customers. Returns (model, scored DataFrame).
+    """RFM → scale → KMeans → labelled customers. Returns (centres, scored DataFrame).
 
     The per-customer aggregate is checkpointed (written to the shared
-    checkpoint folder) first: the as-of subquery, KMeans' tens of passes and
+    checkpoint folder) first: the as-of subquery, KMeans' passes and
     the labelling all read it, and none of them re-runs the item joins.
     """
     r = rfm(items, as_of, materialise=checkpoint)
-    scaled = rfm_scale(r)
+    scaled = checkpoint(rfm_scale(r))
     model = fit_kmeans(scaled, k=k, seed=seed)
     return model, assign_segments(model, scaled)
 

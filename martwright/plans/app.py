@@ -1,33 +1,46 @@
 """Serving entry points: build-if-missing and the page data of the dashboard.
 
 There is no UI; each dashboard page's data is a function returning a
-DataFrame over the stored marts. Shared parents are cached (``cache()`` is
-recomputed from lineage if an executor is lost — it is not a checkpoint).
+DataFrame over the stored marts. Results that pages share are stored once per
+state of the marts (``MemoisedReads``).
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martwright.operators import insights, serving
-from martwright.plans.warehouse import MANIFEST, MART_TABLES, run_pipeline
+from martwright.operators import features, forecasting, insights, segmentation, serving
+from martwright.operators.marts import kpi_summary
+from martwright.operators.sampling import sample_exact_n
+from martwright.plans.warehouse import MART_TABLES, run_pipeline
+from martwright.session import checkpoint
+from martwright.sinks.tables import current_version, exists, list_files, list_names, remove, write_table
 
 log = logging.getLogger(__name__)
 
 
 def warehouse_exists(spark: SparkSession, root: str) -> bool:
-    """Whether a build came to its end: the manifest is written last and removed first."""
-    from martwright.sources.csv_files import _exists
-    return _exists(spark, f"{root}/{MANIFEST}/_SUCCESS")
+    """Whether a build came to its end: a version is published after its last table."""
+    return current_version(spark, root) is not None
+
+
+def mart_paths(spark: SparkSession, root: str) -> dict[str, str]:
+    """Folder of each mart in the current version."""
+    version = current_version(spark, root)
+    if version is None:
+        raise FileNotFoundError(f"no warehouse was built under {root}")
+    return {name: f"{version}/mart/{name}" for name in MART_TABLES}
 
 
 def open_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The marts of the current version; all of them belong to the same build."""
     # the month that a partitioned mart is stored by is no column of the mart
-    marts = {name: spark.read.parquet(f"{root}/mart/{name}").drop("order_purchase_month")
-             for name in MART_TABLES}
-    from martwright.operators.marts import kpi_summary
+    marts = {name: spark.read.parquet(path).drop("order_purchase_month")
+             for name, path in mart_paths(spark, root).items()}
     marts["kpi_summary"] = kpi_summary(marts["mart_sales_daily"])
     return marts
 
@@ -44,15 +57,10 @@ def ensure_built(spark: SparkSession, raw, root: str,
         return open_marts(spark, root)
     layers = run_pipeline(spark, raw() if callable(raw) else raw, root)
     if train_dir:
-        from martwright.operators import forecasting, segmentation
-        from martwright.plans.training import save_model
-        from martwright.session import checkpoint
-        from martwright.sinks.tables import write_table
         daily = layers.mart["mart_sales_daily"]
         try:
             if not daily.isEmpty():
-                save_model(forecasting.train_gbt(daily, test_days=30).model,
-                           f"{train_dir}/gbt_model")
+                write_table(spark, forecasting.train_gbt(daily, test_days=30).model, f"{train_dir}/gbt")
         except Exception as e:  # noqa: BLE001
             log.warning("tree model training skipped: %s", e)
         try:
@@ -61,17 +69,15 @@ def ensure_built(spark: SparkSession, raw, root: str,
                 # model and scaler too: new customers can be scored after a cold start
                 rfm = checkpoint(segmentation.rfm(items, materialise=checkpoint))
                 scaler = write_table(spark, segmentation.scaling_stats(rfm), f"{train_dir}/rfm_scaler")
-                scaled = segmentation.rfm_scale(rfm, stats=scaler)
-                model = segmentation.fit_kmeans(scaled)
-                save_model(model, f"{train_dir}/rfm_kmeans")
-                write_table(spark, segmentation.assign_segments(model, scaled), f"{train_dir}/rfm_scored")
+                scaled = checkpoint(segmentation.rfm_scale(rfm, stats=scaler))
+                centres = write_table(spark, segmentation.fit_kmeans(scaled), f"{train_dir}/rfm_kmeans")
+                write_table(spark, segmentation.assign_segments(centres, scaled), f"{train_dir}/rfm_scored")
         except Exception as e:  # noqa: BLE001
             log.warning("RFM training skipped: %s", e)
     return open_marts(spark, root)
 
 
 def delivered_extract(items: DataFrame) -> DataFrame:
-    from pyspark.sql import functions as F
     return (items.select("customer_unique_id", "order_id", "order_purchase_date", "item_gmv",
                          "order_status")
             .where((F.col("order_status") == "delivered")
@@ -80,14 +86,56 @@ def delivered_extract(items: DataFrame) -> DataFrame:
             .drop("order_status"))
 
 
-def memoised_reads(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The four cached dashboard loaders: KPI row, daily series, top categories, state sales."""
-    return {
-        "kpis": marts["kpi_summary"].cache(),
-        "daily": serving.daily_sorted(marts["mart_sales_daily"]).cache(),
-        "top_categories": serving.top_categories(marts["mart_order_items"]).cache(),
-        "state_sales": serving.state_sales(marts["mart_order_items"]).cache(),
+def files_digest(spark: SparkSession, paths: dict[str, str]) -> str:
+    """Digest of the names, sizes and times of all files of some tables."""
+    lines = []
+    for name, path in sorted(paths.items()):
+        lines += [f"{name}|{line}" for line in list_files(spark, path)]
+    return hashlib.sha256("\n".join(lines).encode()).hexdigest()[:32]
+
+
+class MemoisedReads:
+    """The four dashboard loaders, each stored once per state of the marts' files.
+
+    A loader's result lies in a folder named by the digest of the mart files it was computed from.
+    While they stay the same, also in other sessions, it is read from there; after a refresh the
+    digest differs and the result is computed anew. ``release`` deletes results of other digests.
+    Nothing stays in executors' memory.
+    """
+
+    LOADERS = {
+        "kpis": lambda m: m["kpi_summary"],
+        "daily": lambda m: serving.daily_sorted(m["mart_sales_daily"]),
+        "top_categories": lambda m: serving.top_categories(m["mart_order_items"]),
+        "state_sales": lambda m: serving.state_sales(m["mart_order_items"]),
     }
+    SORTED = {"daily": ["ds"], "top_categories": [F.desc("gmv"), "product_category_en"], "state_sales": [F.desc("gmv")]}
+
+    def __init__(self, spark: SparkSession, marts: dict[str, DataFrame], paths: dict[str, str], root: str):
+        """``paths`` are the folders that ``marts`` are read from, ``root`` is the results' folder."""
+        self.spark, self.marts, self.paths, self.root = spark, marts, paths, root.rstrip("/")
+        self.computed: list[str] = []
+
+    def read(self, name: str) -> DataFrame:
+        at = f"{self.root}/{files_digest(self.spark, self.paths)}/{name}"
+        if not exists(self.spark, f"{at}/_SUCCESS"):
+            write_table(self.spark, self.LOADERS[name](self.marts), at)
+            self.computed.append(name)
+        found = self.spark.read.parquet(at)
+        return found.orderBy(*self.SORTED[name]) if name in self.SORTED else found
+
+    def release(self, every: bool = False) -> list[str]:
+        """Delete the results of marts that are no longer current, or all of them."""
+        keep = "" if every else files_digest(self.spark, self.paths)
+        gone = [n for n in list_names(self.spark, self.root) if n != keep]
+        for n in gone:
+            remove(self.spark, f"{self.root}/{n}")
+        return gone
+
+
+def memoised_reads(spark: SparkSession, root: str) -> MemoisedReads:
+    """The loaders over the current version of a warehouse; results lie under its ``_memo``."""
+    return MemoisedReads(spark, open_marts(spark, root), mart_paths(spark, root), f"{root.rstrip('/')}/_memo")
 
 
 def insight_page(marts: dict[str, DataFrame]) -> DataFrame:
@@ -102,8 +150,6 @@ def pages(spark: SparkSession, marts: dict[str, DataFrame], rfm_scored: DataFram
     mean of the last 7 days); ``recursive`` is the intended model roll-forward,
     produced when a fitted tree ``model`` is given.
     """
-    from martwright.operators import features, forecasting, segmentation
-    from martwright.operators.sampling import sample_exact_n
     daily = marts["mart_sales_daily"]
     items = marts["mart_order_items"]
     out = {

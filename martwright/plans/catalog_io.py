@@ -13,8 +13,8 @@ from martwright.plans.registry import register
 from martwright.schemas import DAILY
 from martwright.session import scratch_path
 from martwright.sinks.exports import (EXPORT_TABLES, export_marts, read_csv_typed, write_csv,
-                                      write_parquet)
-from martwright.sinks.tables import write_table
+                                      write_csv_file, write_metrics_json, write_parquet)
+from martwright.sinks.tables import read_versioned, write_versioned
 
 MONEY = 2
 N_SAMPLE = 2000  # orders sampled by the sampling checks (the job default is 15,000)
@@ -89,11 +89,27 @@ def sample_semi_sellers(ctx: Context):
     return sample_by_keys(ctx.stg("sellers"), _sampled_items(ctx), "seller_id", "seller_id")
 
 
-@register("sample_geolocation", "SELECT * FROM raw_geolocation")
+# Points to sample: below the test tables' rows (the job's default is 50,000).
+N_POINTS = 500
+_POINT = "geolocation_zip_code_prefix, geolocation_city, geolocation_state, geolocation_lat, geolocation_lng"
+
+
+@register("sample_geolocation", f"""
+    SELECT {_POINT} FROM (
+      SELECT *, row_number() OVER (ORDER BY h) AS nth FROM (
+        SELECT *, md5('42:' || array_to_string(list_transform(k, lambda x: length(x) || '|' || x), '|')) AS h FROM (
+          SELECT {_POINT}, [coalesce(CAST(geolocation_zip_code_prefix AS VARCHAR), ''), coalesce(geolocation_city, ''),
+                            coalesce(geolocation_state, ''), coalesce(CAST(CAST(round(geolocation_lat * 100000) AS BIGINT) AS VARCHAR), ''),
+                            coalesce(CAST(CAST(round(geolocation_lng * 100000) AS BIGINT) AS VARCHAR), '')] AS k
+          FROM raw_geolocation) p) p) p
+    WHERE nth <= {N_POINTS}""", rounding={"geolocation_lat": 5, "geolocation_lng": 5})
 def sample_geolocation(ctx: Context):
-    """Raw geolocation points, exact-n sample keyed on all columns (n = 50,000)."""
-    return sample_exact_n(ctx.raw("geolocation"), 50000,
-                          list(ctx.raw("geolocation").columns), seed=42)
+    """Raw geolocation points (no key), exact-n sample by the hash of whole rows."""
+    points = ctx.raw("geolocation")
+    place = [F.round(F.col(c).cast("double") * 100000).cast("bigint").alias(f"_{c[-3:]}")
+             for c in ("geolocation_lat", "geolocation_lng")]
+    key = ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state", "_lat", "_lng"]
+    return sample_exact_n(points.select("*", *place), N_POINTS, key, seed=42).drop("_lat", "_lng")
 
 
 # ------------------------------------------------------ sources / sinks
@@ -111,16 +127,18 @@ def scan_csv(ctx: Context):
 
 @register("sink_csv_export", "SELECT * FROM mart_sales_daily", rounding={"y": MONEY})
 def sink_csv_export(ctx: Context):
-    """Daily mart exported as CSV and read back with its schema."""
+    """Daily mart exported as one CSV file and read back with its schema."""
     path = scratch_path(ctx.spark, "daily-csv")
-    write_csv(ctx.mart("mart_sales_daily"), path, single_file=True)
-    return read_csv_typed(ctx.spark, path, DAILY)
+    return read_csv_typed(ctx.spark, write_csv_file(ctx.mart("mart_sales_daily"), f"{path}/mart_sales_daily.csv"), DAILY)
 
 
 @register("sink_layer_table", "SELECT * FROM dim_products")
 def sink_layer_table(ctx: Context):
-    """Layer table full refresh (overwrite Parquet) and read back."""
-    return write_table(ctx.spark, ctx.mart("dim_products"), scratch_path(ctx.spark, "dim"))
+    """Layer table refreshed twice as versions, the current one read back through its pointer."""
+    root = scratch_path(ctx.spark, "dim")
+    write_versioned(ctx.spark, ctx.mart("dim_products").where("product_id IS NULL"), root)
+    write_versioned(ctx.spark, ctx.mart("dim_products"), root)
+    return read_versioned(ctx.spark, root)
 
 
 @register("sink_parquet_rfm", f"SELECT * FROM ({RFM_SQL}) r", rounding={"monetary": MONEY})
@@ -143,8 +161,8 @@ def sink_kpi_view(ctx: Context):
 @register("sink_metrics_json")
 def sink_metrics_json(ctx: Context):
     """Training metrics persisted as JSON and read back (one row)."""
-    _, out = trained(ctx)
-    return ctx.spark.read.json(f"{out}/metrics")
+    _, entry = trained(ctx)
+    return write_metrics_json(entry.tables["metrics"], scratch_path(ctx.spark, "metrics-json"))
 
 
 # -------------------------------------------------------------- pipelines

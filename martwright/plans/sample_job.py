@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martwright.operators.sampling import sample_by_keys, sample_children, sample_exact_n
 from martwright.schemas import REQUIRED_FILES
 from martwright.session import checkpoint
-from martwright.sinks.exports import write_csv
+from martwright.sinks.exports import write_csv_file
 
 # --- fixed values: default sample sizes and seed ---
 SAMPLE_ORDERS = 15000
@@ -49,6 +49,5 @@ def make_sample(spark: SparkSession, raw: dict[str, DataFrame], out_dir: str,
     written = {}
     for name, df in tables.items():
         path = f"{out_dir.rstrip('/')}/{REQUIRED_FILES[name]}"
-        write_csv(df, path)
-        written[name] = path
+        written[name] = write_csv_file(df, path)
     return written

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martwright.operators import forecasting, segmentation
+from martwright.operators import boosting, forecasting, segmentation
 from martwright.session import checkpoint
 from martwright.sinks.exports import write_metrics_json
 from martwright.sinks.tables import write_table
@@ -26,61 +25,50 @@ def empty_guard(daily: DataFrame) -> None:
         raise EmptyMartError("mart_sales_daily is empty: run the warehouse build first")
 
 
-@dataclass
-class TrainingOutput:
-    metrics: dict
-    gbt: forecasting.TrainResult
-    seasonal: forecasting.TrainResult
-    kmeans: PipelineModel
-    scored: DataFrame
-
-
-def _metrics_row(result: forecasting.TrainResult) -> dict:
-    row = result.metrics.first()
-    return {"mae": float(row["mae"]), "rmse": float(row["rmse"]), "mape": float(row["mape"])}
+def fit_all(spark: SparkSession, daily: DataFrame, rfm: DataFrame, delivered_items: DataFrame,
+            test_days: int = 60, k: int = 4,
+            settings: boosting.Settings = boosting.Settings()) -> dict[str, DataFrame]:
+    """All tables of the job: models, holdouts, scored customers and one row of metrics.
 
+    Metrics: ``seasonal`` and ``gbt`` (structs of mae, rmse, mape), ``gbt_features``, row counts.
+    ``daily`` and ``rfm`` are stored tables: several passes read them.
+    """
+    empty_guard(daily)
+    seasonal = forecasting.train_seasonal(daily, test_days)
+    gbt = forecasting.train_gbt(daily, test_days, settings=settings)
+    scaler = checkpoint(segmentation.scaling_stats(rfm))
+    scaled = checkpoint(segmentation.rfm_scale(rfm, stats=scaler))
+    centres = segmentation.fit_kmeans(scaled, k=k)
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    def counted(df: DataFrame):
+        return df.agg(F.count(F.lit(1))).scalar()
 
+    def held(result: forecasting.TrainResult):
+        return result.metrics.select(F.struct("mae", "rmse", "mape")).scalar()
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    metrics = spark.range(1).select(
+        held(seasonal).alias("seasonal"), held(gbt).alias("gbt"),
+        F.array(*[F.lit(c) for c in gbt.features]).alias("gbt_features"),
+        counted(daily).alias("rows_daily"), counted(delivered_items).alias("rows_order_items"),
+        counted(rfm).alias("rows_rfm"))
+    return {"seasonal": seasonal.model, "seasonal_holdout": seasonal.predictions, "gbt": gbt.model,
+            "gbt_holdout": gbt.predictions, "rfm": rfm, "rfm_scaler": scaler, "rfm_kmeans": centres,
+            "rfm_scored": segmentation.assign_segments(centres, scaled), "metrics": metrics}
 
 
 def train_all(spark: SparkSession, daily: DataFrame, delivered_items: DataFrame, out_dir: str,
-              test_days: int = 60, k: int = 4) -> TrainingOutput:
-    """Fit, evaluate and persist both forecasters and the RFM segmentation.
+              test_days: int = 60, k: int = 4,
+              settings: boosting.Settings = boosting.Settings()) -> dict[str, DataFrame]:
+    """Fit, evaluate and persist both forecasters and the RFM segmentation under ``out_dir``.
 
-    The RFM table is written and read back before KMeans, which makes many
-    passes over it: each pass then re-reads compact Parquet, not the item
-    joins (and a lost executor does not trigger recomputation of them).
+    The daily series (one row per day) and the RFM table feed several passes: they are stored
+    first, so none re-runs the item joins. The metrics also go to ``out_dir/metrics`` as JSON.
     """
-    # The daily series (one row per day) feeds both trainers and the counts:
-    # materialise it once so none of them re-runs the item joins behind it.
     daily = checkpoint(daily)
     empty_guard(daily)
-    seasonal = forecasting.train_seasonal(daily, test_days)
-    save_model(seasonal.model, f"{out_dir}/seasonal_model")
-    gbt = forecasting.train_gbt(daily, test_days)
-    save_model(gbt.model, f"{out_dir}/gbt_model")
-
-    rfm = write_table(spark, segmentation.rfm(delivered_items, materialise=checkpoint),
-                      f"{out_dir}/rfm")
-    scaler = write_table(spark, segmentation.scaling_stats(rfm), f"{out_dir}/rfm_scaler")
-    scaled = segmentation.rfm_scale(rfm, stats=scaler)
-    km = segmentation.fit_kmeans(scaled, k=k)
-    save_model(km, f"{out_dir}/rfm_kmeans")
-    scored = write_table(spark, segmentation.assign_segments(km, scaled), f"{out_dir}/rfm_scored")
-
-    metrics = {
-        "seasonal": _metrics_row(seasonal),
-        "gbt": _metrics_row(gbt),
-        "gbt_features": gbt.features,
-        "rows_daily": daily.count(),
-        "rows_order_items": delivered_items.count(),
-        "rows_rfm": rfm.count(),
-    }
-    write_metrics_json(spark, metrics, f"{out_dir}/metrics")
-    log.info("training complete: %s", metrics)
-    return TrainingOutput(metrics, gbt, seasonal, km, scored)
+    rfm = checkpoint(segmentation.rfm(delivered_items, materialise=checkpoint))
+    made = {name: write_table(spark, df, f"{out_dir}/{name}" if name != "metrics" else f"{out_dir}/metrics_table")
+            for name, df in fit_all(spark, daily, rfm, delivered_items, test_days, k, settings).items()}
+    write_metrics_json(made["metrics"], f"{out_dir}/metrics")
+    log.info("training complete: %s", out_dir)
+    return made

@@ -2,7 +2,7 @@
 
 ``build_layers`` wires the whole star schema as lazy DataFrames (one
 Catalyst plan per table). ``run_pipeline`` materialises the layers as Parquet
-under a warehouse root, full refresh, and reads each written table back for
+in a new version under a warehouse root, full refresh, and reads each written table back for
 the layers above it: the write is the lineage cut (an executor lost later
 re-reads Parquet instead of recomputing the raw joins), and downstream
 scans get column pruning and predicate pushdown on the stored files.
@@ -22,8 +22,8 @@ MART_TABLES = ("dim_customers", "dim_sellers", "dim_products", "order_payments",
                "order_reviews", "mart_orders", "mart_order_items", "mart_sales_daily")
 
 
-# Written when all tables are, removed before the first one is replaced.
-MANIFEST = "_built"
+# The current version, and the one before it for readers that have opened it.
+KEEP_VERSIONS = 2
 
 
 @dataclass
@@ -100,33 +100,37 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     ``persist_stg=True`` stores them too (a second full write and read of
     every raw table). ``month_buckets=N`` stores the order and item marts
     partitioned by ``order_purchase_month`` (an extra column; month filters
-    then prune directories), written by N tasks per month. ``persist_raw=True`` first stores the raw inputs as
-    Parquet under ``root/raw`` (a one-time CSV → columnar conversion, as the
+    then prune directories), written by N tasks per month. ``persist_raw=True`` first stores the raw
+    inputs as Parquet in the version's ``raw`` (a one-time CSV → columnar conversion, as the
     source system copies its CSVs into a raw schema) and builds from that copy.
     ``kpi_summary`` stays a view over the stored daily mart.
+
+    All tables go to a new version's folder, which is published, by one small file, after the last
+    of them is written: until then, and if the job dies, readers get the version before. The last
+    ``KEEP_VERSIONS`` published versions stay, older ones are deleted.
     """
-    from martwright.sinks.tables import remove, write_table
+    from martwright.sinks.tables import new_version, publish, release_versions, write_table
 
-    remove(spark, f"{root}/{MANIFEST}")
+    version = new_version(root)
     if persist_raw:
-        raw = {name: write_table(spark, df, f"{root}/raw/{name}") for name, df in raw.items()}
+        raw = {name: write_table(spark, df, f"{version}/raw/{name}") for name, df in raw.items()}
 
     def stg_keep(name: str, df: DataFrame) -> DataFrame:
         if persist_stg or name in AGGREGATED_STG:
-            return write_table(spark, df, f"{root}/stg/{name}")
+            return write_table(spark, df, f"{version}/stg/{name}")
         df.createOrReplaceTempView(f"stg_{name}")
         return df
 
     def mart_keep(name: str, df: DataFrame) -> DataFrame:
         if month_buckets and name in MONTH_PARTITIONED:
             return write_table(spark, month_partitioned(df, month_buckets),
-                               f"{root}/mart/{name}", partition_by=["order_purchase_month"])
-        return write_table(spark, df, f"{root}/mart/{name}")
+                               f"{version}/mart/{name}", partition_by=["order_purchase_month"])
+        return write_table(spark, df, f"{version}/mart/{name}")
 
     stg = {name: stg_keep(name, df) for name, df in build_stg(raw).items()}
     mart = build_marts(stg, materialise=mart_keep)
-    write_table(spark, spark.createDataFrame([(t,) for t in MART_TABLES], "mart string").coalesce(1),
-                f"{root}/{MANIFEST}")
+    publish(spark, root, version, {"marts": list(MART_TABLES)})
+    release_versions(spark, root, KEEP_VERSIONS)
     mart["kpi_summary"].createOrReplaceTempView("kpi_summary")
     for name in MART_TABLES:
         mart[name].createOrReplaceTempView(name)

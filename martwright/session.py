@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -113,3 +115,20 @@ def checkpoint(df):
     """Reliable checkpoint into the shared folder (never ``localCheckpoint``)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (once an application), for functions that run in Python."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="martwright-pkg-"), "martwright_pkg.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(str(path))  # code, not data: Spark itself brings it to the executors
+    _SHIPPED.add(sc.applicationId)

@@ -1,21 +1,22 @@
 """CSV / JSON / Parquet sinks.
 
-CSV exports are written one directory per table in parallel (one file per
-task); a single file is produced only for tables whose row count is
-bounded by calendar days (the daily mart), never for item- or order-grain
-marts, so no writer task receives a whole large table.
+An export is one CSV file per table, ``name.csv``, with a header line. Its rows are written by all
+tasks as parts without a header; the parts are then joined by the file system, in order, behind the
+header: by its own concatenation where it has one (no byte moves), else by streaming copies with a
+small buffer. So no task, and no memory, ever holds a whole table.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.sinks.tables import _at, list_names, remove
+
 EXPORT_TABLES = ("dim_customers", "dim_products", "dim_sellers", "mart_orders",
                  "mart_order_items", "mart_sales_daily")
-SINGLE_FILE_TABLES = {"mart_sales_daily"}
 
 
 def as_text_columns(df: DataFrame) -> DataFrame:
@@ -31,12 +32,63 @@ def as_text_columns(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Header + comma CSV; NULL as an empty field."""
-    out = as_text_columns(df)
-    # the rows meet after they are aggregated: coalesce would pull the aggregate into one task
-    out = out.repartition(1) if single_file else out
-    out.write.mode("overwrite").option("header", True).option("delimiter", ",").csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """Header + comma CSV parts in a folder; NULL as an empty field."""
+    as_text_columns(df).write.mode("overwrite").option("header", True).option("delimiter", ",").csv(path)
+
+
+def write_csv_file(df: DataFrame, path: str) -> str:
+    """One CSV file with a header line; its rows are written in parallel. Returns the path."""
+    spark, out = df.sparkSession, as_text_columns(df)
+    parts = f"{path}.parts-{uuid.uuid4().hex[:12]}"
+    out.write.option("header", False).option("delimiter", ",").csv(parts)
+    names = [f"{parts}/{n}" for n in list_names(spark, parts) if n.startswith("part-")]
+    joined = f"{parts}/joined"
+    fs, at = _at(spark, joined)
+    stream = fs.create(at, False)
+    try:
+        stream.write(bytearray((",".join(_quoted(c) for c in out.columns) + "\n").encode()))
+    finally:
+        stream.close()
+    if names:
+        _join(spark, joined, names)
+    remove(spark, path)
+    if not fs.rename(at, _at(spark, path)[1]):
+        raise OSError(f"can't rename {joined} to {path}")
+    remove(spark, parts)
+    return path
+
+
+def _quoted(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"' if any(c in name for c in ',"\n') else name
+
+
+def _join(spark: SparkSession, target: str, parts: list[str]) -> None:
+    """Put the parts' bytes behind the target's, in order."""
+    fs, at = _at(spark, target)
+    jvm, paths = spark.sparkContext._jvm, [_at(spark, p)[1] for p in parts]
+    array = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(paths))
+    for i, p in enumerate(paths):
+        array[i] = p
+    try:
+        fs.concat(at, array)
+        return
+    except Exception as e:  # noqa: BLE001  (the JVM's exception, in one of several wrappers)
+        if "UnsupportedOperation" not in f"{type(e).__name__} {e}":
+            raise
+    head = fs.open(at)
+    whole = f"{target}.whole"
+    stream = fs.create(_at(spark, whole)[1], False)
+    buffer = 1 << 20
+    try:
+        for source in (head, *(fs.open(p) for p in paths)):
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, stream, buffer, False)
+            source.close()
+    finally:
+        stream.close()
+    fs.delete(at, False)
+    if not fs.rename(_at(spark, whole)[1], at):
+        raise OSError(f"can't rename {whole} to {target}")
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -47,21 +99,15 @@ def read_csv_typed(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def export_marts(marts: dict[str, DataFrame], out_dir: str,
                  tables=EXPORT_TABLES) -> dict[str, str]:
-    """Write each mart to ``out_dir/<name>`` as CSV; returns name → path."""
-    written = {}
-    for name in tables:
-        p = f"{out_dir.rstrip('/')}/{name}"
-        write_csv(marts[name], p, single_file=name in SINGLE_FILE_TABLES)
-        written[name] = p
-    return written
+    """Write each mart to ``out_dir/<name>.csv``; returns name → path."""
+    return {name: write_csv_file(marts[name], f"{out_dir.rstrip('/')}/{name}.csv") for name in tables}
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_metrics_json(spark: SparkSession, metrics: dict, path: str) -> DataFrame:
-    """Persist a small metrics record as a one-row JSON dataset; returns it as a DataFrame."""
-    df = spark.read.json(spark.sparkContext.parallelize([json.dumps(metrics)], 1))
-    df.coalesce(1).write.mode("overwrite").json(path)
-    return spark.read.json(path)
+def write_metrics_json(metrics: DataFrame, path: str) -> DataFrame:
+    """Persist the one-row table of metrics as JSON; returns it read back."""
+    metrics.coalesce(1).write.mode("overwrite").json(path)
+    return metrics.sparkSession.read.schema(metrics.schema).json(path)

@@ -8,11 +8,9 @@ import __spark_entry__ as entry
 from scripts.oracle_check import compare, duck_rows, spark_rows
 
 
-@pytest.mark.parametrize("key", ["run_pipeline", "export_all", "make_sample", "ensure_built", "model_checks"])
-def test_job_matches_oracle(spark, duck, sf_small, key, monkeypatch):
-    from martwright.operators import forecasting
-    monkeypatch.setattr(forecasting.train_gbt, "__defaults__",
-                        (60, (), 5, *forecasting.train_gbt.__defaults__[3:]))  # 5 trees: jobs, not fits
+@pytest.mark.parametrize("key", ["run_pipeline", "export_all", "make_sample", "ensure_built", "model_checks",
+                                 "rfm_kmeans", "segment_profile", "rfm_scatter_sample", "save_models"])
+def test_job_matches_oracle(spark, duck, sf_small, key):
     got = spark_rows(spark, entry.queries()[key], sf_small)
     want = duck_rows(duck, entry.oracle_sql()[key])
     assert compare(got, want) is None
@@ -85,12 +83,14 @@ def test_pipeline_refresh_is_idempotent_and_ensure_built_reuses(spark, sf_small)
 def test_persist_raw_and_stg_layers(spark, sf_small):
     from martwright.plans.warehouse import run_pipeline
     from martwright.session import scratch_path
+    from martwright.sinks.tables import current_version
     from martwright.sources.driver_tables import raw_inputs
     root = scratch_path(spark, "wh-layers")
     layers = run_pipeline(spark, raw_inputs(spark, sf_small), root, persist_stg=True,
                           persist_raw=True)
-    assert spark.read.parquet(f"{root}/raw/orders").count() == 1500
-    assert spark.read.parquet(f"{root}/stg/order_items").count() == 6000
+    version = current_version(spark, root)
+    assert spark.read.parquet(f"{version}/raw/orders").count() == 1500
+    assert spark.read.parquet(f"{version}/stg/order_items").count() == 6000
     assert layers.mart["mart_order_items"].count() == 6000
 
 
@@ -115,7 +115,7 @@ def test_cli_export_and_sample(spark, sf_small):
     assert main(["build", "--driver-tables", sf_small, "--warehouse", wh]) == 0
     assert main(["export", "--warehouse", wh, "--out", exp]) == 0
     for t in EXPORT_TABLES:
-        assert spark.read.option("header", True).csv(f"{exp}/{t}").count() > 0
+        assert spark.read.option("header", True).csv(f"{exp}/{t}.csv").count() > 0
     assert main(["sample", "--driver-tables", sf_small, "--out", smp, "--orders", "300"]) == 0
     orders = spark.read.option("header", True).csv(f"{smp}/{REQUIRED_FILES['orders']}")
     items = spark.read.option("header", True).csv(f"{smp}/{REQUIRED_FILES['order_items']}")
@@ -133,7 +133,8 @@ def test_month_partitioned_marts_prune(spark, sf_small):
     layers = run_pipeline(spark, raw_inputs(spark, sf_small), root, month_buckets=4)
     items = layers.mart["mart_order_items"]
     assert items.count() == 6000
-    path = root.replace("file:", "") + "/mart/mart_order_items"
+    from martwright.sinks.tables import current_version
+    path = current_version(spark, root).replace("file:", "") + "/mart/mart_order_items"
     assert any(d.startswith("order_purchase_month=") for d in os.listdir(path))
     one = items.where(F.col("order_purchase_month") == F.lit("1997-05-01").cast("date"))
     plan = one._jdf.queryExecution().executedPlan().toString()
@@ -149,14 +150,86 @@ def test_month_partitioned_marts_prune(spark, sf_small):
     assert got == want
 
 
-def test_unfinished_build_is_not_opened(spark, sf_small):
-    from martwright.plans.app import warehouse_exists
-    from martwright.plans.warehouse import MANIFEST, run_pipeline
+def test_a_refresh_that_dies_leaves_the_old_marts(spark, sf_small, monkeypatch):
+    """Killed in the middle of the marts: readers still get the old version, whole."""
+    from martwright.operators import marts as mart_operators
+    from martwright.plans.app import open_marts, warehouse_exists
+    from martwright.plans.warehouse import run_pipeline
     from martwright.session import scratch_path
-    from martwright.sinks.tables import remove
+    from martwright.sinks.tables import current_version, list_names, versions
     from martwright.sources.driver_tables import raw_inputs
-    root = scratch_path(spark, "wh-manifest")
-    run_pipeline(spark, raw_inputs(spark, sf_small), root)
-    assert warehouse_exists(spark, root)
-    remove(spark, f"{root}/{MANIFEST}")  # as it is while a refresh runs
+    root = scratch_path(spark, "wh-died")
     assert not warehouse_exists(spark, root)
+    run_pipeline(spark, raw_inputs(spark, sf_small), root)
+    first, old = current_version(spark, root), open_marts(spark, root)
+    want = {name: df.count() for name, df in old.items()}
+
+    def dies(*_args):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(mart_operators, "mart_order_items", dies)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, raw_inputs(spark, sf_small), root)
+    assert current_version(spark, root) == first and len(versions(spark, root)) == 1
+    assert {name: df.count() for name, df in open_marts(spark, root).items()} == want
+    # the next refresh succeeds; whoever opened the old marts can go on reading them
+    run_pipeline(spark, raw_inputs(spark, sf_small), root)
+    assert current_version(spark, root) != first
+    assert {name: df.count() for name, df in old.items()} == want
+    # a third one releases the first version, and the folder that the dead build left
+    run_pipeline(spark, raw_inputs(spark, sf_small), root)
+    kept = [n for n in list_names(spark, root) if n.startswith("v-")]
+    assert kept == versions(spark, root) and len(kept) == 2 and first.rsplit("/", 1)[1] not in kept
+
+
+def test_exports_are_single_files_with_a_header(spark, sf_small):
+    import os
+    from martwright.plans.context import Context
+    from martwright.session import scratch_path
+    from martwright.sinks.exports import export_marts, write_csv_file
+    from martwright.sinks.tables import list_names
+    out = scratch_path(spark, "one-csv")
+    df = Context(spark, sf_small).mart("dim_products").repartition(5)
+    written = export_marts({"dim_products": df}, out, ["dim_products"])
+    path = written["dim_products"].replace("file:", "")
+    assert os.path.isfile(path) and list_names(spark, out) == ["dim_products.csv"]
+    with open(path) as f:
+        lines = f.read().splitlines()
+    assert lines[0] == ",".join(df.columns)
+    assert len(lines) == 1 + df.count() and lines.count(lines[0]) == 1
+    back = spark.read.option("header", True).csv(written["dim_products"])
+    assert sorted(r.product_id for r in back.collect()) == sorted(r.product_id for r in df.collect())
+    # replaced as a whole; an empty table is its header; odd names are quoted
+    odd = spark.createDataFrame([(1, 'a "b", c')], "`x,y` int, z string")
+    assert spark.read.option("header", True).option("escape", '"').csv(write_csv_file(odd, path)).columns == ["x,y", "z"]
+    write_csv_file(df.where("false"), path)
+    with open(path) as f:
+        assert f.read() == ",".join(df.columns) + "\n"
+
+
+def test_memoised_reads_follow_a_refresh(spark, sf_small):
+    from martwright.plans.app import memoised_reads
+    from martwright.plans.warehouse import run_pipeline
+    from martwright.session import scratch_path
+    from martwright.sinks.tables import list_names
+    from martwright.sources.driver_tables import raw_inputs
+    root = scratch_path(spark, "wh-memo")
+    raw = raw_inputs(spark, sf_small)
+    run_pipeline(spark, raw, root)
+    loaders = memoised_reads(spark, root)
+    total = loaders.read("kpis").first().total_items
+    assert [r.gmv for r in loaders.read("state_sales").collect()] == sorted(
+        (r.gmv for r in loaders.read("state_sales").collect()), reverse=True)
+    assert loaders.computed == ["kpis", "state_sales"]
+    again = memoised_reads(spark, root)  # as another session would
+    assert again.read("kpis").first().total_items == total and again.computed == []
+    raw["order_items"] = raw["order_items"].where("order_item_id <> '1'")
+    run_pipeline(spark, raw, root)
+    fresh = memoised_reads(spark, root)
+    assert fresh.read("kpis").first().total_items < total and fresh.computed == ["kpis"]
+    assert len(list_names(spark, f"{root}/_memo")) == 2
+    assert len(fresh.release()) == 1
+    assert fresh.read("kpis").first().total_items < total and fresh.computed == ["kpis"]
+    assert len(fresh.release(every=True)) == 1 and list_names(spark, f"{root}/_memo") == []
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == 0  # nothing is held in memory

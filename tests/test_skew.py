@@ -70,3 +70,29 @@ def test_hot_day_daily_mart_is_exact(spark, skew_conf):
     tot = daily.agg(F.sum("orders"), F.sum("items")).first()
     base = marts.delivered_filter(facts).agg(F.count_distinct("order_id"), F.count("*")).first()
     assert tuple(tot) == tuple(base)
+
+
+def test_sample_of_a_table_without_a_key_whose_rows_repeat(spark):
+    """A third of all rows are equal: they are counted, not ordered, and the sample is exact."""
+    from martwright.operators.sampling import sample_exact_n, sample_hash
+    df = (spark.range(2000).select((F.col("id") % 700).alias("a"), F.lit("x").alias("b"))
+          .unionByName(spark.range(1000).select(F.lit(-1).cast("long").alias("a"), F.lit("hot").alias("b"))))
+    order = sorted((r.h, r.a, r.b) for r in df.select(sample_hash(["a", "b"]).alias("h"), "a", "b").collect())
+    for n in (1, 10, 500, 1500, 2999, 3000, 5000):
+        got = sorted((r.h, r.a, r.b) for r in
+                     sample_exact_n(df, n, ["a", "b"]).select(sample_hash(["a", "b"]).alias("h"), "a", "b").collect())
+        assert got == order[:n]
+
+
+def test_order_payments_plan_has_no_object_aggregate_over_payments(spark, sf_small):
+    """Payments are aggregated by (order, type) in hash maps; only those few rows are listed."""
+    from martwright.operators.order_aggregates import order_payments
+    rows = [("hot", i % 3, ["a", "b", None][i % 3], 1, 2.0) for i in range(3000)] + [("o", 1, None, 1, 5.0)]
+    pay = spark.createDataFrame(rows, "order_id string, payment_sequential int, payment_type string, "
+                                      "payment_installments int, payment_value double")
+    out = order_payments(pay)
+    got = {r.order_id: (r.payment_value_total, r.payment_installments_max, r.payment_types) for r in out.collect()}
+    assert got == {"hot": (6000.0, 1, "a, b"), "o": (5.0, 1, None)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    lists = plan.index("collect_list")
+    assert "keys=[order_id" in plan[lists - 200:] and "payment_type" in plan[plan.rindex("HashAggregate"):]
