@@ -1,5 +1,6 @@
 """Column expressions (all built-in Spark functions, codegen-friendly)."""
 
+from martwright.functions.coercion import to_numeric
 from martwright.functions.dates import (
     calendar_columns, day_boundaries_between, purchase_date, weekday_name,
 )
@@ -8,5 +9,5 @@ from martwright.functions.metrics import abs_error, pct_error, squared_error
 
 __all__ = [
     "calendar_columns", "day_boundaries_between", "purchase_date", "weekday_name",
-    "is_late", "abs_error", "pct_error", "squared_error",
+    "to_numeric", "is_late", "abs_error", "pct_error", "squared_error",
 ]

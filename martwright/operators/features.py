@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.functions import calendar_columns
+from martwright.functions import calendar_columns, to_numeric
 
 DEFAULT_LAGS = (1, 7, 14, 28)
 DEFAULT_ROLLS = (7, 14)
@@ -113,9 +113,9 @@ def future_calendar(daily: DataFrame, horizon: int, series_keys: Sequence[str] =
 
 def append_future_rows(daily: DataFrame, horizon: int, series_keys: Sequence[str] = (),
                        ds: str = "ds", y: str = "y") -> DataFrame:
-    """History (ds, y) followed by ``horizon`` future days whose y is NULL."""
+    """History (ds, y) followed by ``horizon`` future days whose y is NULL; y that is no number is too."""
     keys = list(series_keys)
-    hist = daily.select(*keys, ds, F.col(y).cast("double").alias(y))
+    hist = daily.select(*keys, ds, to_numeric(y).alias(y))
     fut = future_calendar(daily, horizon, keys, ds).withColumn(y, F.lit(None).cast("double"))
     return hist.unionByName(fut)
 

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.functions import abs_error, calendar_columns, pct_error, squared_error
+from martwright.functions import abs_error, calendar_columns, pct_error, squared_error, to_numeric
 from martwright.operators import boosting, seasonal
 from martwright.operators.features import model_frame, tail_rows, time_split
 from martwright.schemas import GBT_FEATURES
@@ -83,7 +83,7 @@ def forecast_state(daily: DataFrame, horizon: int, series_keys: Sequence[str] =
                    fallback_n: int = 7) -> DataFrame:
     """One row per series: last values, fallback mean and the horizon's days with their calendar."""
     keys = list(series_keys)
-    recent = tail_rows(daily.select(*keys, "ds", F.col("y").cast("double").alias("y")), STATE_LEN, keys)
+    recent = tail_rows(daily.select(*keys, "ds", to_numeric("y").alias("y")), STATE_LEN, keys)
     series = recent.groupBy(*keys).agg(
         F.max("ds").alias("_last"),
         F.transform(F.array_sort(F.collect_list(F.struct("ds", "y"))), lambda s: s["y"]).alias("hist"))

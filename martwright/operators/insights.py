@@ -30,9 +30,10 @@ def weekday_mean(daily: DataFrame) -> DataFrame:
 
 
 def best_weekday(daily: DataFrame) -> DataFrame:
-    """Weekday with the highest mean y (ties → alphabetically first name)."""
-    return (weekday_mean(daily)
-            .orderBy(F.col("mean_y").desc(), F.col("weekday").asc()).limit(1))
+    """Weekday with the highest mean y (ties → the first of the week, from Monday)."""
+    return (daily.groupBy(F.weekday("ds").alias("_dow"), weekday_name("ds").alias("weekday"))
+            .agg(F.avg("y").alias("mean_y"))
+            .orderBy(F.col("mean_y").desc(), F.col("_dow").asc()).limit(1).drop("_dow"))
 
 
 def insight_total_gmv(kpi: DataFrame) -> DataFrame:

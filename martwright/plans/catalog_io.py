@@ -218,6 +218,20 @@ def run_pipeline_q(ctx: Context):
     return _digests(tables)
 
 
+@register("scan_csv_all", " UNION ALL ".join(
+    _digest_sql(t, t, x) for t, x in _ROW_TEXT.items() if t.startswith("stg_")))
+def scan_csv_all(ctx: Context):
+    """All nine raw inputs written as CSV files, read back after the manifest check, and staged."""
+    from martwright.operators.staging import stage_all
+    from martwright.schemas import REQUIRED_FILES
+    from martwright.sources.csv_files import read_raw_dir
+    from martwright.sources.driver_tables import raw_inputs
+    out = scratch_path(ctx.spark, "raw-csv-all")
+    for name, df in raw_inputs(ctx.spark, ctx.sf_dir).items():
+        write_csv_file(df, f"{out}/{REQUIRED_FILES[name]}")
+    return _digests({f"stg_{n}": df for n, df in stage_all(read_raw_dir(ctx.spark, out)).items()})
+
+
 @register("export_all", " UNION ALL ".join(_digest_sql(t, t, _ROW_TEXT[t]) for t in EXPORT_TABLES))
 def export_all(ctx: Context):
     """Six marts exported as CSV; rows and digest of each export read back."""

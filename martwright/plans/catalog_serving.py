@@ -300,8 +300,8 @@ def weekday_mean(ctx: Context):
 
 
 @register("best_weekday",
-          """SELECT dayname(ds) AS weekday, avg(y) AS mean_y FROM mart_sales_daily GROUP BY 1
-             ORDER BY mean_y DESC, weekday ASC LIMIT 1""",
+          """SELECT dayname(ds) AS weekday, avg(y) AS mean_y FROM mart_sales_daily GROUP BY 1, isodow(ds)
+             ORDER BY mean_y DESC, isodow(ds) LIMIT 1""",
           rounding={"mean_y": MEAN})
 def best_weekday(ctx: Context):
     """Weekday with the highest mean y."""

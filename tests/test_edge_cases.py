@@ -334,3 +334,21 @@ def test_staged_tables_match_their_contract(spark, sf_small, name):
     got = entry.queries()[f"stg_{name}"](spark, sf_small).schema
     assert [(f.name, f.dataType) for f in got.fields] == \
         [(f.name, f.dataType) for f in STAGED[name].fields]
+
+
+def test_to_numeric_turns_bad_text_into_null(spark):
+    from martwright.functions import to_numeric
+    rows = [("1.5", 1.5), (" 2 ", 2.0), ("1e3", 1000.0), ("-0", 0.0), ("", None), ("abc", None), ("1,5", None),
+            ("nan", None), ("NaN", None), ("Infinity", None), (None, None), ("12 BRL", None)]
+    df = spark.createDataFrame(rows, "t string, want double").withColumn("got", to_numeric("t"))
+    assert [(r.t, r.got) for r in df.collect()] == rows
+    assert spark.range(1).select(to_numeric(F.col("id"))).first()[0] == 0.0
+
+
+def test_best_weekday_tie_is_the_first_of_the_week(spark):
+    import datetime as dt
+
+    from martwright.operators.insights import best_weekday
+    # Tuesday and Friday are equal; Friday comes first in the alphabet, Tuesday in the week
+    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=i), 9.0 if i % 7 in (1, 4) else 1.0) for i in range(14)]
+    assert best_weekday(spark.createDataFrame(rows, "ds date, y double")).first().weekday == "Tuesday"
