@@ -178,6 +178,17 @@ def _fields(df: DataFrame, names: Sequence[str]) -> list[T.StructField]:
     return [df.schema[c] for c in names]
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Rows dealt by series over several tasks a core.
+
+    A fixed number of partitions: series are small in bytes but dear in time, so they must not be
+    put together by size.
+    """
+    spark = df.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return df.repartition(n, _SERIES)
+
+
 def fit_series(train: DataFrame, features: Sequence[str], keys: Sequence[str] = (), y: str = "y",
                settings: Settings = Settings()) -> DataFrame:
     """One ensemble per series: (keys..., base, root, feature, threshold, child, value)."""
@@ -196,6 +207,7 @@ def fit_series(train: DataFrame, features: Sequence[str], keys: Sequence[str] =
         return pd.DataFrame(out)
 
     rows = train.select(*keys, "ds", y, *features, series_name(keys).alias(_SERIES))
+    rows = _spread(rows) if keys else rows
     return rows.groupBy(_SERIES).applyInPandas(task, schema)
 
 
@@ -215,9 +227,10 @@ def _with_models(rows: DataFrame, models: DataFrame, keys: list[str], task, sche
             return pd.DataFrame({f.name: [] for f in schema.fields})
         return task(left, _ensemble(right))
 
-    name = series_name(keys).alias(_SERIES)
-    return (rows.select("*", name).groupBy(_SERIES)
-            .cogroup(models.select("*", name).groupBy(_SERIES)).applyInPandas(both, schema))
+    left, right = (df.withColumn(_SERIES, series_name(keys)) for df in (rows, models))
+    if keys:
+        left, right = _spread(left), _spread(right)
+    return left.groupBy(_SERIES).cogroup(right.groupBy(_SERIES)).applyInPandas(both, schema)
 
 
 def score(models: DataFrame, rows: DataFrame, features: Sequence[str], keys: Sequence[str] = (),
