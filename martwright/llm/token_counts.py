@@ -3,20 +3,23 @@
 Texts are cut into pre-tokens: a word with the spaces before it. The cuts are such that no
 piece of the vocabulary spans them, so that merges can't either. Distinct new pre-tokens of
 a batch are held as one ragged numpy array of symbols; in each step every pre-token applies
-its own lowest-rank pair, all of them at once, until none has a pair left. The symbols that
-survive are counted, and a worker keeps the counts of the words it has met (bounded).
+its own lowest-rank pair, all of them at once, until none has a pair left (a pre-token of
+``LONG`` characters and more has its pairs in a heap instead, as its steps would each walk all of
+it). The symbols that survive are counted, and a worker keeps the counts of the words it has met (bounded).
 
 The vocabulary is that of a sentencepiece BPE model without normalization, with the space as
 U+2581, a space put before the text, and bytes for unknown characters.
 
 Nulls and edge cases: a null or empty text has 0 bytes and 0 tokens; white space counts like
-any other text; a text of one enormous word is one pre-token, in memory for itself; rows with
+any other text; a text of one enormous word is one pre-token, in memory for itself, and takes n log n steps; rows with
 null or repeated ids are counted each for itself; an empty table gives an empty result;
 other columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +33,7 @@ LIMIT = 4096
 SPACE = "▁"
 _MARK = SPACE.encode()
 NEVER = np.int64(1) << 40
+LONG = 512  # characters from which a pre-token is merged by a heap of its pairs
 
 
 class MergeTable:
@@ -86,7 +90,9 @@ class MergeTable:
             for a, b in zip(p, p[1:], strict=False):
                 if ord(b) < 128 and a.isascii() and a.isalnum():
                     self.tail[ord(b)] = False
-        assert "\n" not in chars and " " not in chars
+        if "\n" in chars or " " in chars:
+            raise ValueError(f"{path}: pieces with new lines or spaces are not supported")
+        self.at = {k: i for i, k in enumerate(self.keys.tolist())}
 
     def _pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The number of each pair in the table, or of the entry that never merges."""
@@ -95,8 +101,52 @@ class MergeTable:
         at[at == len(self.keys)] = 0
         return np.where(self.keys[at] == key, at, len(self.keys))
 
+    def count_long(self, text: str) -> int:
+        """Symbols left of one long pre-token, in n log n steps: its pairs wait in a heap by rank and place."""
+        code = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        first = self.char[np.minimum(code, len(self.char) - 1)]
+        bytes_ = 1 + (code > 0x7F).astype(np.int64) + (code > 0x7FF) + (code > 0xFFFF)
+        single = np.where(first >= 0, self.weight[first], bytes_).tolist()
+        pair = self._pair(first[:-1], first[1:])
+        some = np.flatnonzero(pair < len(self.keys))
+        symbol, size = first.tolist(), self.size
+        heap = list(zip(self.ranks[pair[some]].tolist(), some.tolist(), self.keys[pair[some]].tolist(), strict=True))
+        heapq.heapify(heap)
+        ranks, merged, at = self.ranks.tolist(), self.merged.tolist(), self.at
+        n = len(symbol)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        alive = [True] * n
+        while heap:
+            _, i, key = heapq.heappop(heap)
+            j = after[i]
+            # the pair may be gone: one of its symbols was merged since
+            if not alive[i] or j >= n or symbol[i] * size + symbol[j] != key or symbol[i] < 0 or symbol[j] < 0:
+                continue
+            symbol[i] = merged[at[key]]
+            alive[j] = False
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and symbol[a] >= 0 and symbol[b] >= 0:
+                    key = symbol[a] * size + symbol[b]
+                    found = at.get(key)
+                    if found is not None:
+                        heapq.heappush(heap, (ranks[found], a, key))
+        weight = self.weight.tolist()
+        # a symbol that was never merged weighs what its character does
+        return sum((weight[x] if x >= 0 else single[i]) for i, x in enumerate(symbol) if alive[i])
+
     def count(self, texts: list[str]) -> np.ndarray:
         """Symbols left of each pre-token (spaces as U+2581)."""
+        long = [i for i, t in enumerate(texts) if len(t) >= LONG]
+        out = self._count(["" if len(t) >= LONG else t for t in texts])
+        for i in long:
+            out[i] = self.count_long(texts[i])
+        return out
+
+    def _count(self, texts: list[str]) -> np.ndarray:
+        """All pre-tokens at once, a step for the lowest rank of each."""
         code = np.frombuffer("".join(texts).encode("utf-32-le"), "<u4").astype(np.int64)
         owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
         symbol = self.char[np.minimum(code, len(self.char) - 1)]

@@ -30,11 +30,15 @@ SCHEMA = "doc_id bigint, file int, at bigint, ids array<int>"
 
 
 def encode_documents(docs: DataFrame, tokenizer_path: str, files: int | None = None) -> DataFrame:
-    """(doc_id, file, at, ids): ranges of doc_id by file, ``at`` counts the rows of a file."""
+    """(doc_id, file, at, ids): ranges of doc_id by file, ``at`` counts the rows of a file.
+
+    Rows that are equal in id and text are dealt over ranges by a random number: many of them are
+    not one file, and their order among themselves does not matter.
+    """
     n = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-            .withColumn("tie", F.xxhash64("text"))
-            .repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+            .withColumns({"tie": F.xxhash64("text"), "deal": F.rand(11)})
+            .repartitionByRange(n, "doc_id", "tie", "deal").sortWithinPartitions("doc_id", "tie")
             .select("doc_id", "text", F.spark_partition_id().alias("file")))
 
     def task(batches):

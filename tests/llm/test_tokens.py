@@ -130,3 +130,43 @@ def test_several_rounds_keep_every_piece(spark, edge):
     for r in rows:
         fills[r.sequence_id] = fills.get(r.sequence_id, 0) + r.length
     assert max(fills.values()) <= 256 and len(fills) <= 1.02 * sum(fills.values()) / 256 + 2
+
+
+def random_strings(n, seed=4):
+    rng = np.random.default_rng(seed)
+    kinds = [[chr(c) for c in range(32, 127)], list("日本語テキスト漢字かな "), list("ภาษาไทย "), list("éàçüß ñ"),
+             ["a\u0301", "e\u0300 ", "n"], ["<s>", "</s>", "<unk>", "<0x41>", " "], ["▁", " ", "▁▁", "a"], list("etaoin shrdlu")]
+    for _ in range(n):
+        kind = kinds[rng.integers(len(kinds))]
+        yield "".join(rng.choice(kind, rng.integers(0, 60)).tolist())
+
+
+def test_counts_of_random_strings_equal_the_library():
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    texts = list(random_strings(6000))
+    raw = [t.encode() for t in texts]
+    got = token_counts.counter(PIECE).count(np.frombuffer(b"".join(raw), np.uint8),
+                                            np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
+    assert got.tolist() == [len(x) for x in model.encode(texts, num_threads=1)]
+
+
+def test_enormous_words_take_no_quadratic_time():
+    import time
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECE)
+    merges = token_counts.MergeTable(PIECE)
+    rng = np.random.default_rng(5)
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "xy", "日本語テキ"):
+        for n in (600, 3000):  # the heap and the arrays agree, and the library does
+            word = token_counts.SPACE + "".join(rng.choice(list(letters), n).tolist())
+            assert merges.count_long(word) == merges._count([word])[0] == len(model.encode(word[1:]))
+    word = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 1_000_000).tolist())
+    began = time.time()
+    assert merges.count([token_counts.SPACE + word])[0] == len(model.encode(word))
+    assert time.time() - began < 60
+
+
+def test_equal_rows_are_dealt_over_files(spark):
+    rows = [(5, "the same text in all of these rows")] * 1000 + [(i, f"text {i}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    got = token_orc.encode_documents(docs, WORD, 8).groupBy("file").count().collect()
+    assert sum(r["count"] for r in got) == 3000 and max(r["count"] for r in got) < 700
