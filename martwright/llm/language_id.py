@@ -125,7 +125,10 @@ def _window(text: str) -> np.ndarray:
 
 def fit(docs: DataFrame, training: Column, text: str = "text", lang: str = "lang",
         fit_docs: int = FIT_DOCS) -> Network | None:
-    """Train on a sample of the rows where ``training`` holds; None if there are none."""
+    """Train on a sample of the rows where ``training`` holds; None if there are none.
+
+    The sample has about ``fit_docs`` distinct (id, text) rows of each language, by a hash.
+    """
     rows = docs.where(training & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # a row for each language
     if not counts:
@@ -133,11 +136,15 @@ def fit(docs: DataFrame, training: Column, text: str = "text", lang: str = "lang
     most = 1 << 30
     limit = F.create_map(*[F.lit(x) for k, n in counts.items()
                            for x in (k, min(most, most * fit_docs // n))])
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(most)) < limit[F.col(lang)])
+    # by id and text, so that the rows of an id are chosen one by one
+    hashed = rows.withColumn("__hash", F.xxhash64("doc_id", F.col(text), F.lit(17)))
+    chosen = hashed.where(F.pmod("__hash", F.lit(most)) < limit[F.col(lang)])
     span = F.greatest(F.length(text) - F.lit(WINDOW), F.lit(0)) + 1
-    cuts = chosen.select(lang, F.explode(F.array(*[
-        F.substring(F.col(text), (1 + F.pmod(F.xxhash64("doc_id", F.lit(i)), span)).cast("int"),
-                    F.lit(WINDOW)) for i in range(FIT_WINDOWS)])).alias("cut")).collect()
+    # equal rows have equal windows: they are one row of the sample
+    cuts = chosen.select(lang, "__hash", F.array(*[
+        F.substring(F.col(text), (1 + F.pmod(F.xxhash64("__hash", F.lit(i)), span)).cast("int"),
+                    F.lit(WINDOW)) for i in range(FIT_WINDOWS)]).alias("__cuts")).distinct().select(
+        lang, F.explode("__cuts").alias("cut")).collect()
     languages = sorted(counts)
     pairs = sorted((r["cut"], languages.index(r[lang])) for r in cuts)
     # every third window is a short one, so that short texts are known as well

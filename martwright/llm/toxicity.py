@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import crc_mod, map_arrow, text_slices
+from martwright.llm.common import crc_mod, map_arrow, stored, text_hash, text_slices
 from martwright.llm.words import words
 
 BITS = 18
@@ -131,7 +131,11 @@ def _with_terms(rows: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machine | None:
-    """Train on a sample of labelled rows outside the held-out fold; None if there are none."""
+    """Train on a sample of labelled rows outside the held-out fold; None if there are none.
+
+    About ``fit_rows`` ids of each label are chosen by a hash, then as many of their distinct
+    (id, text) rows at most, by another: an id that repeats over many rows brings no more.
+    """
     known = (labels.where((crc_mod(F.col("doc_id"), 5) != 0) & F.col("toxic").isin(0, 1))
              .select(F.col("doc_id").cast("long").alias("doc_id"),
                      F.col("toxic").cast("int").alias("label")).distinct())
@@ -144,6 +148,15 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machine
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(most)) < limit[F.col("label")])
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(chosen), "doc_id")  # about 2 * fit_rows ids
+    # distinct rows of the chosen ids: hash aggregation on the keys alone, then one text of each
+    keyed = rows.withColumn("hash", text_hash(F.col("text")))
+    each = stored(keyed.select("doc_id", "label", "hash").distinct(), "toxicity-rows")
+    have = {r[0]: r[1] for r in each.groupBy("label").count().collect()}
+    part = F.create_map(*[F.lit(x) for k, n in have.items() for x in (k, min(most, most * fit_rows // n))]) if have else None
+    if part is not None:
+        each = each.where(F.pmod(F.xxhash64("doc_id", "hash", F.lit(6)), F.lit(most)) < part[F.col("label")])
+    rows = (keyed.join(F.broadcast(each), ["doc_id", "label", "hash"])  # about 2 * fit_rows rows at most
+            .groupBy("doc_id", "label", "hash").agg(F.first("text").alias("text")))
     got = _with_terms(rows).toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
     label = got.column("label").to_numpy().astype(float)
     if len(set(label.tolist())) < 2:

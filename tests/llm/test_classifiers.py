@@ -129,3 +129,43 @@ def test_toxicity_of_edge_rows(spark, edge, empty):
     assert all(r.predicted == int(r.score >= 0.5) for r in got)
     assert {r.score for r in toxicity.run(edge, labels.where("false")).collect()} == {0.0}
     assert toxicity.run(empty, labels).count() == 0
+
+
+def test_forward_is_a_plain_convolution():
+    rng = np.random.default_rng(6)
+    d, f, classes = language_id.DIM, language_id.FILTERS, 3
+    net = language_id.Network(
+        [str(i) for i in range(classes)], rng.normal(size=(256, d)),
+        [rng.normal(size=(w * d, f)) for w in language_id.WIDTHS],
+        rng.normal(size=(f * len(language_id.WIDTHS), classes)), rng.normal(size=classes))
+    windows = rng.integers(0, 256, (5, 40)).astype(np.uint8)
+    got = language_id.forward(net, windows)
+    for row, logs in zip(windows, got, strict=True):
+        x = net.embed[row]
+        top = []
+        for w, k in zip(language_id.WIDTHS, net.convs, strict=True):
+            places = [x[i:i + w].reshape(-1) @ k for i in range(len(row) - w + 1)]
+            top.append(np.maximum(np.max(places, axis=0), 0))
+        z = np.concatenate(top) @ net.dense + net.bias
+        assert logs == pytest.approx(z - np.log(np.exp(z - z.max()).sum()) - z.max(), rel=1e-4, abs=1e-4)
+
+
+def test_an_id_with_many_rows_brings_a_bounded_sample(spark, monkeypatch):
+    """A labelled id that holds most of the rows, equal ones and others, stays within the bound."""
+    seen = []
+    rows = [(0, f"text number {i} of the hot id with words w{i}") for i in range(1500)] + [(0, "the same row")] * 1500
+    rows += [(i, f"some other text w{i}") for i in range(1, 400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("lang", F.lit("en"))
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(400)], "doc_id bigint, toxic int")
+    # the hot id must lie in the training folds
+    at = next(i for i in range(1000, 2000) if fold(i, 5) != 0 and fold(i, 4) != 2)
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") == 0, at).otherwise(F.col("doc_id")))
+    labels = labels.unionByName(spark.createDataFrame([(at, 1)], "doc_id bigint, toxic int"))
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda flat, offsets, *a: seen.append(len(offsets) - 1) or train(flat, offsets, *a))
+    toxicity.fit(docs, labels, fit_rows=200)
+    assert seen and seen[0] < 2 * 200 * 1.4
+    windows = []
+    monkeypatch.setattr(language_id, "train", lambda w, *a: windows.append(len(w)))
+    language_id.fit(docs, language_id.training_fold(F.col("doc_id")), fit_docs=100)
+    assert windows and windows[0] <= 100 * language_id.FIT_WINDOWS * 1.6
