@@ -305,19 +305,26 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, D
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(doc_id, class_id, kept, text_hash): the class is named by its smallest doc_id.
 
-    Kept is one (doc_id, text) of each class: of its smallest doc_id, or without an id if none
-    of its rows has one, the text with the least hash. Rows equal in both are all marked.
+    Kept is one row of each class: of its smallest doc_id, or without an id if none of its rows
+    has one, the text with the least hash, and the first one of rows that are equal in both. A
+    text without words is a class of its own.
     """
     rows, contents, found = links(docs, similarity)
     grouped = (contents.select("id", "c1", "c2", "least").join(components(found), "id", "left")
                .withColumn("component", F.coalesce("component", "id")))
     named = grouped.groupBy("component").agg(F.min("least").alias("least"))
-    by_content = grouped.drop("least").join(named, "component").select("c1", "c2", "least")
-    worded = rows.where("total > 0").select("doc_id", "text_hash", "c1", "c2").join(by_content, ["c1", "c2"])
+    by_content = grouped.drop("least").join(named, "component").select("c1", "c2", "component", "least")
+    best = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    worded = stored(
+        rows.where("total > 0").select("doc_id", "text_hash", "c1", "c2").join(by_content, ["c1", "c2"])
+        .select("doc_id", F.col("least.doc_id").alias("class_id"), "component", "text_hash", best.alias("best"))
+        .withColumn("row", F.monotonically_increasing_id()), "class-rows")
+    # the least row number of each class, combined before the shuffle however many rows are equal
+    first = worded.where("best").groupBy("component").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("kept"))
     alone = rows.where("total = 0").select("doc_id", F.col("doc_id").alias("class_id"),
                                            F.lit(True).alias("kept"), "text_hash")
-    kept = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
-    return (worded.select("doc_id", F.col("least.doc_id").alias("class_id"), kept.alias("kept"), "text_hash")
+    return (worded.join(first, "row", "left")
+            .select("doc_id", "class_id", F.coalesce("kept", F.lit(False)).alias("kept"), "text_hash")
             .unionByName(alone))
 
 

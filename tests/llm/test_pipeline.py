@@ -26,7 +26,7 @@ def test_queries_match_sql(spark, name):
 
 
 def test_registered_names():
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in llm.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in llm.queries()}
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
@@ -75,3 +75,9 @@ def test_edge_rows_pass_every_stage(spark, edge, empty, tmp_path):
         nothing = stage(spark, nothing, str(tmp_path))
     assert nothing.count() == 0
     assert os.path.isdir(tmp_path)
+
+
+def test_names_with_dots_pass(spark):
+    docs = spark.createDataFrame([(1, "some words of a text to keep", 2, 3)], "doc_id bigint, text string, `a.b` int, `c``d` int")
+    assert corpus_pipeline._whole(docs).select("__doc.*").collect() == docs.collect()
+    assert corpus_pipeline.unique(spark, docs, SF).columns == docs.columns
