@@ -10,7 +10,8 @@ STAGES are applied in turn; each works on the rows that the one before kept and
 5. packing: pieces of the rest, packed into sequences (the result).
 
 Null or repeated ids are rows like others (of rows with equal id and text the third stage
-keeps one); an empty table passes through every stage.
+keeps one); texts are taken whole, however long; extra columns pass as they are, whatever
+their names; an empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def _whole(docs: DataFrame) -> DataFrame:
     """Each row as one column, so that no column's name can clash; with its id and text."""
-    return docs.select(F.struct(*docs.columns).alias("__doc"), "doc_id", "text")
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    return docs.select(F.struct(*quoted).alias("__doc"), "doc_id", "text")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
