@@ -7,8 +7,9 @@ of another one, or of an equal one with a smaller id, is dropped by anti-joins;
 ones are rendered as ChatML in parts of ``PART_TURNS`` turns, of which a very long
 conversation has several (its text is theirs in turn).
 
-Turns are numbered in two steps, within ranges of turns and over the ranges' counts, so that
-one enormous conversation is not sorted in one task.
+Rows are sorted by ranges of conversation, turn, role and text, and numbered by stretches of
+sorted rows with the counts of the stretches before, so that one enormous conversation is in no
+single task or window, whatever its turn numbers are.
 
 Nulls and edge cases: a null role or text differs from an empty one in the hash and renders
 as empty; null turns come first; equal turn numbers are ordered by role and text; repeated
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from martwright.llm.common import stored
 
 PART_TURNS = 512
+STRETCH_BITS = 9  # sorted rows of a stretch: 2 ** 9
 _KEY = ["conv", "has_id"]
 
 
@@ -31,28 +33,33 @@ def numbered(conversations: DataFrame) -> DataFrame:
     """(conv, has_id, role, text, pos, h1, h2): turns numbered from 1, with their prefix hashes."""
     rows = conversations.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv"),
-        F.col("conv_id").isNotNull().alias("has_id"), "turn", "role", "text",
-        F.coalesce(F.floor(F.col("turn") / PART_TURNS), F.lit(-1 << 62)).alias("stretch"))
-    within = Window.partitionBy(*_KEY, "stretch").orderBy(
-        F.col("turn").asc_nulls_first(), F.col("role").asc_nulls_first(), F.col("text").asc_nulls_first())
+        F.col("conv_id").isNotNull().alias("has_id"), "turn", "role", "text")
+    place = [F.col(c).asc_nulls_first() for c in (*_KEY, "turn", "role")]
+    # rows of one beginning of a text stay in one range, where whole texts order them
+    begin = F.substring("text", 1, 64).asc_nulls_first()
+    lines = (rows.repartitionByRange(*place, begin)
+             .sortWithinPartitions(*place, F.col("text").asc_nulls_first())
+             .withColumn("nth", F.monotonically_increasing_id()))
+    # numbers are consecutive within a range, so also within a stretch of one
+    lines = stored(lines, "sorted-turns").withColumn("stretch", F.shiftright("nth", STRETCH_BITS))
 
     def before(of: Column, name: str) -> Column:
         """Sum over the stretches before."""
         w = Window.partitionBy(*_KEY).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
         return F.coalesce(F.sum(of).over(w), F.lit(0)).alias(name)
 
-    counts = (rows.groupBy(*_KEY, "stretch").agg(F.count("*").alias("n"))
-              .select(*_KEY, "stretch", before(F.col("n"), "base")))
-    placed = (rows.withColumn("nth", F.row_number().over(within))
-              .join(counts, [*_KEY, "stretch"])
-              .withColumn("pos", F.col("base") + F.col("nth")).drop("base", "nth", "turn"))
+    counts = (lines.groupBy(*_KEY, "stretch").agg(F.count("*").alias("n"), F.min("nth").alias("first"))
+              .select(*_KEY, "stretch", "first", before(F.col("n"), "base")))
+    placed = (lines.join(counts, [*_KEY, "stretch"])
+              .withColumn("pos", F.col("base") + F.col("nth") - F.col("first") + 1)
+              .drop("base", "nth", "first", "turn"))
 
     def hashed(seed: int) -> Column:
         return F.xxhash64(F.lit(seed), "pos", F.col("role").isNull(), "role", F.col("text").isNull(), "text")
 
     # decimal sums can't overflow; the hash is what is left modulo 2 ** 64
     whole = "decimal(38,0)"
-    placed = stored(placed.withColumns({"t1": hashed(1).cast(whole), "t2": hashed(2).cast(whole)}), "turns")
+    placed = placed.withColumns({"t1": hashed(1).cast(whole), "t2": hashed(2).cast(whole)})
     upto = Window.partitionBy(*_KEY, "stretch").orderBy("pos")
     sums = (placed.groupBy(*_KEY, "stretch").agg(F.sum("t1").alias("s1"), F.sum("t2").alias("s2"))
             .select(*_KEY, "stretch", before(F.col("s1"), "b1"), before(F.col("s2"), "b2")))

@@ -160,3 +160,19 @@ def test_chats_collapse_and_render(spark):
     assert chat_format.run(df.where("false")).count() == 0
     plan = chat_format.run(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_a_conversation_with_a_third_of_all_rows_is_numbered_in_stretches(spark):
+    """Null ids are one conversation; many of its rows share a turn, and its turns are few."""
+    rows = [(None, i % 3, "user" if i % 2 else None, f"text {i % 900}") for i in range(3000)]
+    rows += [(i, t, "user", f"t {i % 50} {t}") for i in range(2000) for t in range(3)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(6)
+    turns = chat_format.numbered(df)
+    got = turns.where("not has_id").orderBy("pos").collect()
+    assert [r.pos for r in got] == list(range(1, 3001))
+    want = sorted(((t, r is not None, r or "", x) for c, t, r, x in rows if c is None))
+    assert [(r.role or "", r.text) for r in got] == [(r, x) for _, _, r, x in want]
+    parts = chat_format.run(df).where("conv_id IS NULL").orderBy("part").collect()
+    assert [p.part for p in parts] == list(range(6)) and {p.n_turns for p in parts} == {3000}
+    plan = turns._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "stretch" in plan[plan.index("Window"):][:600]
