@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martwright.llm.common import long_list, map_arrow, text_slices
+from martwright.llm.common import long_list, map_arrow, stored, text_slices
 from martwright.llm.words import grams, words
 
 GRAM = 3
@@ -101,7 +101,9 @@ def scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
     islands = (diagonals.join(F.broadcast(heads), "t")
                .withColumn("new", F.when(F.col("d") - F.lag("d").over(along) <= SHIFT_MOST, 0).otherwise(1))
                .withColumn("island", F.sum("new").over(along)))
+    islands = stored(islands.drop("new"), "license-islands")
     whole = F.col("base") & (F.size("js") == F.col("n_grams"))
+    limit = F.col("n_template") * STRETCH_MOST
     spans = (islands.groupBy("row", "doc_id", "n_words", "t", "island", "label", "base", "n_grams",
                              "n_template")
              .agg(F.size(F.array_distinct(F.flatten(F.collect_list("js")))).alias("covered"),
@@ -109,10 +111,22 @@ def scan(spark: SparkSession, docs: DataFrame) -> DataFrame:
                   F.sum(whole.cast("long")).alias("places"),
                   F.min(F.when(whole, F.col("d"))).alias("first"),
                   F.max(F.when(whole, F.col("d"))).alias("last"))
-             .withColumn("cover", F.when(
-                 ~F.col("base") & (F.col("t") != _MARK)
-                 & (F.col("length") <= STRETCH_MOST * F.col("n_template")),
-                 F.col("covered") / F.col("n_grams")).otherwise(F.lit(0.0))))
+             .withColumn("notice", ~F.col("base") & (F.col("t") != _MARK)))
+    # an island longer than a notice may be: its best stretch of that length counts
+    key = ["row", "t", "island"]
+    long = spans.where(F.col("notice") & (F.col("length") > limit)
+                       & (F.col("covered") >= COVER_LEAST * F.col("n_grams"))).select(*key)
+    # as far ahead as the longest notice allows; each island's own limit is in ``near``
+    most = int(STRETCH_MOST * heads.agg(F.max("n_template")).first()[0])
+    ahead = Window.partitionBy(*key).orderBy(F.col("lo").cast("long")).rangeBetween(0, most)
+    near = F.filter("near", lambda x: x["hi"] + GRAM - F.col("lo") <= limit)
+    best = (islands.join(long, key, "left_semi")
+            .withColumn("near", F.collect_list(F.struct("hi", "js")).over(ahead))
+            .groupBy(*key).agg(F.max(F.size(F.array_distinct(F.flatten(F.transform(near, lambda x: x["js"])))))
+                               .alias("stretch")))
+    spans = spans.join(best, key, "left").withColumn("cover", F.when(
+        F.col("notice"), F.when(F.col("length") <= limit, F.col("covered")).otherwise(F.coalesce("stretch", F.lit(0)))
+        / F.col("n_grams")).otherwise(F.lit(0.0)))
     based = F.when(F.col("places") > 0, F.col("label"))
     noticed = F.when(F.col("cover") >= COVER_LEAST, F.col("label"))
 

@@ -176,3 +176,15 @@ def test_a_conversation_with_a_third_of_all_rows_is_numbered_in_stretches(spark)
     assert [p.part for p in parts] == list(range(6)) and {p.n_turns for p in parts} == {3000}
     plan = turns._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "stretch" in plan[plan.index("Window"):][:600]
+
+
+def test_a_notice_with_its_own_words_repeated_behind_it_is_found(spark):
+    """Neighbouring diagonals chain into one long island: its best stretch is the notice."""
+    notice = list(license_scan.NOTICES)[0]
+    tail = " ".join(notice.split()[-4:])
+    docs = spark.createDataFrame([
+        (0, notice), (1, f"{notice} {(tail + ' ') * 60}"), (2, f"{(tail + ' ') * 60} {notice}"),
+        (3, (tail + " ") * 200), (4, f"{(tail + ' ') * 60} {notice} {(tail + ' ') * 60}")], "doc_id bigint, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan.run(spark, docs).collect()}
+    assert [got[i] for i in (0, 1, 2, 4)] == [("mit", 1.0)] * 4
+    assert got[3][0] == "" and got[3][1] < license_scan.COVER_LEAST
