@@ -5,8 +5,11 @@ a sequence of its own. The other pieces are dealt at random over shards of bound
 In each shard they are first placed by best fit in order of falling length; then a local
 search works on all underfull bins: it moves a piece, or exchanges one for one or two for
 one, as long as that raises the sum of squared fills, which drains the emptiest bins until
-some hold nothing. Bins that stay underfull send their pieces on to a next round over
-fewer shards, so that what is left over in many shards meets again.
+some hold nothing. Full bins are closed; the others send their pieces on to a next round over
+fewer shards, so that what is left over in many shards meets again. The rounds end when one
+shard holds the rest, or when a round leaves more than half of its pieces in underfull bins
+(a new deal of them would do no better); so the pieces at least halve from round to round.
+Of equal lengths the smaller doc_id, piece and row goes first.
 
 Nulls and edge cases: a null or empty text is a document of the end id alone; repeated
 rows and ids are packed each for itself (``row`` tells them apart); an empty table gives an
@@ -28,7 +31,7 @@ from martwright.llm.token_ids import tokenizer
 
 CAPACITY = 4096
 SHARD_PIECES = 8192
-ROUNDS = 2
+ROUND_IDS = 64  # sequence ids of a round; as pieces halve, rounds are fewer than the bits of their number
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -219,28 +222,25 @@ def _pack_round(items: DataFrame, shards: int, round_: int, capacity: int) -> Da
             .applyInArrow(task, f"{PIECES}, row bigint, shard bigint, bin bigint, offset bigint, fill bigint"))
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES,
-         rounds: int = ROUNDS) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """A sequence and an offset for each piece."""
     ship(items.sparkSession)
     items = stored(items.withColumn("row", F.monotonically_increasing_id()), "pieces")
     out = items.where(F.col("length") == capacity).withColumns({
-        "sequence_id": F.col("row") * (rounds + 1), "offset": F.lit(0).cast("long")})
-    left = items.where(F.col("length") < capacity)
-    for r in range(1, rounds + 1):
-        n = left.count()
-        if not n:
-            break
-        packed = stored(_pack_round(left, -(-n // shard_pieces), r, capacity), f"packed-{r}")
-        # full bins, up to the last few tokens, are closed; the last round closes all
-        last = r == rounds or n <= shard_pieces
-        closed = F.lit(True) if last else F.col("fill") >= capacity - capacity // 512
-        out = out.unionByName(packed.where(closed).select(
-            *items.columns, ((F.col("shard") * (1 << 32) + F.col("bin")) * (rounds + 1) + r)
-            .alias("sequence_id"), "offset"))
-        if last:
-            break
-        left = packed.where(~closed).select(*items.columns)
+        "sequence_id": F.col("row") * ROUND_IDS, "offset": F.lit(0).cast("long")})
+    left, round_ = items.where(F.col("length") < capacity), 0
+    n = left.count()
+    while n:
+        round_ += 1
+        packed = stored(_pack_round(left, -(-n // shard_pieces), round_, capacity), f"packed-{round_}")
+        left = packed.where(F.col("fill") < capacity).select(*items.columns)
+        rest = left.count() if n > shard_pieces else 0
+        if 2 * rest > n:
+            rest = 0
+        closed = F.col("fill") == capacity if rest else F.lit(True)
+        sequence = (F.col("shard") * (1 << 32) + F.col("bin")) * ROUND_IDS + round_
+        out = out.unionByName(packed.where(closed).select(*items.columns, sequence.alias("sequence_id"), "offset"))
+        n = rest
     return out
 
 

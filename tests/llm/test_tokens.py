@@ -115,8 +115,10 @@ def test_pack_of_edge_rows(spark, edge, empty):
     n = check_packed(rows, 4096, [t for _, t in EDGE])
     total = sum(r.length for r in rows)
     assert n == -(-total // 4096)
-    want = {(i, zlib.crc32(ids_of(t)[:4096].tobytes())) for i, t in EDGE}
-    assert {(r.doc_id, r.ids_crc32) for r in rows if r.piece == 0} == want
+    want = [(i, a // 4096, a, len(v[a:a + 4096]), zlib.crc32(v[a:a + 4096].tobytes()))
+            for i, v in ((i, ids_of(t)) for i, t in EDGE) for a in range(0, len(v), 4096)]
+    got = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
     assert all(r.start == 4096 * r.piece for r in rows)
     assert packing.run(spark, empty, WORD).count() == 0
 
@@ -132,6 +134,17 @@ def test_several_rounds_keep_every_piece(spark, edge):
     assert max(fills.values()) <= 256 and len(fills) <= 1.02 * sum(fills.values()) / 256 + 2
 
 
+def test_bins_that_lack_a_token_go_on_to_the_next_round(spark):
+    # 500 pieces of 250 tokens and 120 of 6, in shards of 40: some shard lacks the short ones
+    items = spark.range(620).selectExpr("id AS doc_id", "0 AS piece", "0L AS start",
+                                        "if(id < 500, 250L, 6L) AS length", "0L AS ids_crc32")
+    rows = packing.pack(items, 256, shard_pieces=40).collect()
+    assert len(rows) == 620 and len({r.sequence_id for r in rows}) == 500
+    # nothing fits anything: the rounds end, each piece alone
+    alone = packing.pack(items.where("length = 250"), 256, shard_pieces=40).collect()
+    assert len({r.sequence_id for r in alone}) == len(alone) == 500
+
+
 def random_strings(n, seed=4):
     rng = np.random.default_rng(seed)
     kinds = [[chr(c) for c in range(32, 127)], list("日本語テキスト漢字かな "), list("ภาษาไทย "), list("éàçüß ñ"),
