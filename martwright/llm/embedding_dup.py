@@ -5,11 +5,16 @@ Identical vectors are one point from the start, with a count. Points go to the c
 nearest centroid; a point that lies within half the largest distance of a link from the
 border to another cell is a guest there as well. Of two linked points in different cells
 one is such a guest at least, so comparing each cell's own points with all its points finds
-every link. Cells are cut into blocks, and products are taken block by block; each pair of
-blocks gives counts of links and, for each point, one link into its local component.
+every link. A cell of more than ``CELL_LARGE`` points (guests included) is split by centroids of its
+own in the same way, level after level, so that cells stay small however many vectors there
+are; a pair counts in the one cell that each level names. A cell stays whole where splitting
+would not halve its products: a cluster that is tighter than a link must be compared in full.
+Cells are cut into blocks of ``BLOCK_BYTES``, and products are taken block by block; each pair
+of blocks gives counts of links and, for each point, one link into its local component.
 
-Centroids are fitted in numpy on a bounded sample (``FIT_VECTORS``, chosen by a hash of the
-vector); every vector is indexed.
+Centroids are fitted in numpy on a bounded sample (``FIT_VECTORS`` a cell, chosen by a hash of
+the vector), those of the first level on the driver, all others in tasks; every vector is
+indexed.
 
 Nulls and edge cases: vectors that are null, empty, zero, or hold null or non-finite parts,
 and vectors with a null label, link with nothing: component_id is their own id and they are
@@ -30,8 +35,11 @@ from martwright.llm.components import components
 COSINE = 0.98
 FIT_VECTORS = 8192
 CELL_POINTS = 2048
-CELLS_MOST = 256
-BLOCK = 1024
+CELL_LARGE = 4 * CELL_POINTS
+CELLS_MOST = 256        # of one level
+COPIES_MOST = 4         # times a level's points that its cells may hold
+BLOCK_BYTES = 2 << 20
+CHUNK = 1 << 21         # products held at once
 STEPS = 12
 
 
@@ -89,90 +97,188 @@ def _stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         f = g
 
 
-def fit(points: DataFrame, n: int, largest: int) -> dict[int, np.ndarray]:
-    """Centroids for each vector length."""
+def split_by(x: np.ndarray, k: int, cosine: float = COSINE) -> np.ndarray | None:
+    """Centroids of at most k cells, or None where they would not halve the products."""
+    k = min(k, CELLS_MOST, len(x))
+    if k < 2:
+        return None
+    c = kmeans(x, k)
+    home, guest = cells_of(x, c, cosine)
+    size = (np.bincount(home, minlength=k) + guest.sum(axis=0)) / len(x)
+    return c if 2 * (size ** 2).sum() <= 1 and size.sum() <= COPIES_MOST else None
+
+
+def fit(points: DataFrame, n: int, largest: int, cosine: float = COSINE) -> dict[int, np.ndarray]:
+    """Centroids of the first level for each vector length."""
     most = 1 << 30
     chosen = (points.where(F.pmod(F.col("k1"), F.lit(most)) < min(most, most * FIT_VECTORS // max(n, 1)))
               .select("k1", "embedding").toArrow().sort_by("k1"))
     rows: dict[int, list] = {}
     for v in chosen.column("embedding").to_pylist():
         rows.setdefault(len(v), []).append(v)
-    k = max(1, min(CELLS_MOST, -(-largest // CELL_POINTS)))
-    return {d: kmeans(unit(np.array(v)), min(k, len(v))) for d, v in rows.items()}
-
-
-def _to_cells(points: DataFrame, centroids: dict[int, np.ndarray], cosine: float) -> DataFrame:
-    """(id, label, n, embedding, cell, home, guests): a row for each cell that a point is in."""
-
+    found = {d: split_by(unit(np.array(v)), -(-largest // CELL_POINTS), cosine) for d, v in rows.items()}
+    return {d: c for d, c in found.items() if c is not None}
+
+
+def _matrix(rows) -> np.ndarray:
+    """Unit vectors of rows of one length."""
+    lists = rows.column("embedding")
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    return unit(np.asarray(lists.flatten()).reshape(len(lists), -1))
+
+
+def _place(rows, centroids: np.ndarray | None, cosine: float):
+    """The rows, one for each cell that a point is in, with cell, home and guests."""
+    x = _matrix(rows)
+    home, guest = cells_of(x, np.eye(1, x.shape[1]) if centroids is None else centroids, cosine)
+    g, c = np.nonzero(guest)
+    guests = pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(g, np.arange(len(x) + 1)).astype(np.int32)), pa.array(c.astype(np.int32)))
+    inside = guest.copy()
+    inside[np.arange(len(x)), home] = True
+    at, cell = np.nonzero(inside)
+    take = pa.array(at)
+    out = rows.take(take)
+    for name, value in (("cell", pa.array(cell.astype(np.int32))), ("home", pa.array(home[at].astype(np.int32))),
+                        ("guests", guests.take(take))):
+        out = out.append_column(name, value)
+    return out
+
+
+_PLACED = "cell int, home int, guests array<int>"
+_ROWS = ("id bigint, label string, n bigint, embedding array<double>, dim int, path array<int>, "
+         "levels array<struct<home: int, guests: array<int>>>")
+_CELL = ["label", "dim", "path"]
+
+
+def _first_level(points: DataFrame, centroids: dict[int, np.ndarray], cosine: float) -> DataFrame:
     def task(batches):
         for batch in batches:
-            lists = batch.column("embedding")
-            size = lists.value_lengths().to_numpy()
+            size = batch.column("dim").to_numpy()
             for d in np.unique(size):
-                pick = np.flatnonzero(size == d)
-                part = batch.take(pa.array(pick))
-                x = unit(np.asarray(part.column("embedding").flatten()).reshape(-1, d))
-                c = centroids.get(int(d))
-                if c is None:  # no vector of this length in the sample
-                    c = np.eye(1, d)
-                home, guest = cells_of(x, c, cosine)
-                inside = guest.copy()
-                inside[np.arange(len(x)), home] = True
-                at, cell = np.nonzero(inside)
-                part = part.take(pa.array(at))
-                guests = [np.flatnonzero(g).astype(np.int32) for g in guest]
-                yield pa.record_batch([
-                    part.column("id"), part.column("label"), part.column("n"),
-                    part.column("embedding"), pa.array(cell.astype(np.int32)),
-                    pa.array(home[at].astype(np.int32)),
-                    pa.array([guests[i] for i in at], pa.list_(pa.int32()))],
-                    names=["id", "label", "n", "embedding", "cell", "home", "guests"])
-
-    return map_arrow(points.select("id", "label", "n", "embedding"), task,
-                     "id bigint, label string, n bigint, embedding array<double>, cell int, home int, "
-                     "guests array<int>")
+                part = batch.take(pa.array(np.flatnonzero(size == d)))
+                yield _place(part, centroids.get(int(d)), cosine)
+
+    rows = points.select("id", "label", "n", "embedding", F.size("embedding").alias("dim"),
+                         F.expr("cast(array() as array<int>)").alias("path"),
+                         F.expr("cast(array() as array<struct<home: int, guests: array<int>>>)").alias("levels"))
+    return map_arrow(rows, task, f"{_ROWS}, {_PLACED}")
+
+
+def _next_level(rows: DataFrame, cosine: float) -> DataFrame:
+    """Rows of large cells (with their number of points, m), placed in cells of the cell; those
+    of cells that stay whole have a null cell. A cell's points are placed in parts of
+    ``CELL_POINTS``; the centroids go to each part."""
+    most = 1 << 30
+    share = F.lit(float(most * FIT_VECTORS)) / F.col("m")
+    points, large = CELL_POINTS, CELLS_MOST
+    parts = F.ceil(F.col("m") / points).cast("int")
+
+    def learn(key, group):
+        group = group.sort_by("id")
+        m = group.column("m")[0].as_py()
+        c = split_by(_matrix(group), min(-(-m // points), large), cosine)
+        own = group.slice(0, 0 if c is None else 1).select(["label", "dim", "path", "m"])
+        return own.append_column("centroids", pa.array([] if c is None else [c.tolist()],
+                                                       pa.list_(pa.list_(pa.float64()))))
+
+    def place(key, group, centroids):
+        if len(centroids) and len(group):
+            c = np.array(centroids.column("centroids")[0].as_py())
+            return _place(group.drop_columns("part"), c, cosine)
+        group = group.drop_columns("part")
+        for name, kind in (("cell", pa.int32()), ("home", pa.int32()), ("guests", pa.list_(pa.int32()))):
+            group = group.append_column(name, pa.nulls(len(group), kind))
+        return group
+
+    centroids = (rows.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(most)) < share).groupBy(*_CELL)
+                 .applyInArrow(learn, "label string, dim int, path array<int>, m bigint, "
+                                      "centroids array<array<double>>"))
+    centroids = centroids.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("m")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(5)), parts).cast("int"))
+    return (dealt.drop("m").groupBy(*_CELL, "part").cogroup(centroids.groupBy(*_CELL, "part"))
+            .applyInArrow(place, f"{_ROWS}, {_PLACED}"))
+
+
+def _deeper(placed: DataFrame) -> DataFrame:
+    return placed.withColumns({
+        "path": F.concat("path", F.array("cell")),
+        "levels": F.concat("levels", F.array(F.struct("home", "guests")))}).drop("cell", "home", "guests")
+
+
+def cells(points: DataFrame, centroids: dict[int, np.ndarray], cosine: float = COSINE) -> DataFrame:
+    """Points in their cells, own and guests, with the number m of points of the cell."""
+    def sized(rows):
+        return rows.join(rows.groupBy(*_CELL).agg(F.count("*").alias("m")), _CELL)
+
+    rows = stored(sized(_deeper(_first_level(points, centroids, cosine))), "cells")
+    done, level = rows.where(F.col("m") <= CELL_LARGE), 1
+    while True:
+        large = rows.where(F.col("m") > CELL_LARGE)
+        if large.isEmpty():
+            return done
+        level += 1
+        placed = stored(_next_level(large, cosine), f"placed-{level}")
+        done = done.unionByName(sized(placed.where(F.col("cell").isNull()).drop("cell", "home", "guests")))
+        rows = stored(sized(_deeper(placed.where(F.col("cell").isNotNull()))), f"cells-{level}")
+        done = done.unionByName(rows.where(F.col("m") <= CELL_LARGE))
+
+
+def _counts_here(cell: int, home_a, home_b, guests_a, guests_b) -> np.ndarray:
+    """Which pairs count in this cell: of two cells p < q, a pair counts in p if its point of q
+    is a guest there, else in q; a pair of guests counts elsewhere."""
+    own_a, own_b = home_a == cell, home_b == cell
+    ok = own_a[:, None] & own_b[None, :]
+    if own_a.any() and not own_b.all():
+        ok[np.ix_(own_a, ~own_b)] = (cell < home_b[~own_b])[None, :] | ~guests_a[own_a][:, home_b[~own_b]]
+    if own_b.any() and not own_a.all():
+        ok[np.ix_(~own_a, own_b)] = ((cell < home_a[~own_a])[None, :] | ~guests_b[own_b][:, home_a[~own_a]]).T
+    return ok
 
 
 def _compare(group: pa.Table, i: int, j: int, cosine: float) -> pa.Table:
     """Counts and spanning links of one pair of blocks."""
-    cell = group.column("cell")[0].as_py()
-    ids, n = group.column("id").to_numpy(), group.column("n").to_numpy()
-    home, sub = group.column("home").to_numpy(), group.column("sub").to_numpy()
-    x = unit(np.asarray(group.column("embedding").combine_chunks().flatten()).reshape(len(ids), -1))
-    top = int(max(home.max(), cell)) + 1
-    guests = np.zeros((len(ids), top), bool)
-    lists = group.column("guests").combine_chunks()
-    flat = np.asarray(lists.flatten())
-    row = np.repeat(np.arange(len(ids)), lists.value_lengths().to_numpy())
-    guests[row[flat < top], flat[flat < top]] = True
+    path = group.column("path")[0].as_py()
+    ids, n, sub = (group.column(c).to_numpy() for c in ("id", "n", "sub"))
+    x = _matrix(group)
+    # each row has one entry a level
+    entries = group.column("levels").combine_chunks().flatten()
+    homes = entries.field("home").to_numpy().reshape(len(ids), len(path))
+    lists = entries.field("guests")
+    entry = np.repeat(np.arange(len(entries)), lists.value_lengths().to_numpy())
+    member = np.asarray(lists.flatten())
+    guests = np.zeros((len(entries), int(max(homes.max(), *path)) + 1), bool)
+    fits = member < guests.shape[1]
+    guests[entry[fits], member[fits]] = True
+    guests = guests.reshape(len(ids), len(path), -1)
     a, b = np.flatnonzero(sub == i), np.flatnonzero(sub == j)
     a, b = a[np.argsort(ids[a])], b[np.argsort(ids[b])]
-    # a pair of cells p < q counts in p if its point of q is a guest there, else in q
-    own_a, own_b = home[a] == cell, home[b] == cell
-    ok = own_a[:, None] & own_b[None, :]
-    for own, other, flip in ((a[own_a], b[~own_b], False), (b[own_b], a[~own_a], True)):
-        if len(own) and len(other):
-            m = (cell < home[other])[None, :] | ~guests[own][:, home[other]]
-            if flip:
-                ok[np.ix_(~own_a, own_b)] = m.T
-            else:
-                ok[np.ix_(own_a, ~own_b)] = m
-    if i == j:
-        ok &= np.tri(len(a), k=-1, dtype=bool).T
-    p, q = local_links(x[a], x[b], ok, cosine)
-    p, q = a[p], b[q]
-    count = np.bincount(p, n[q], len(ids)) + np.bincount(q, n[p], len(ids))
-    if not len(p):
-        return pa.table({"id": pa.array([], pa.int64()), "links": pa.array([], pa.int64()),
-                         "to": pa.array([], pa.int64())})
-    star, least = _stars(ids[p], ids[q])
+    count = np.zeros(len(ids))
+    star, least = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    step = max(1, CHUNK // max(len(b), 1))
+    for r in range(0, len(a), step):
+        some = a[r:r + step]
+        ok = np.ones((len(some), len(b)), bool)
+        for level, cell in enumerate(path):
+            ok &= _counts_here(cell, homes[some, level], homes[b, level], guests[some, level], guests[b, level])
+        if i == j:
+            ok &= np.arange(r, r + len(some))[:, None] < np.arange(len(b))[None, :]
+        p, q = local_links(x[some], x[b], ok, cosine)
+        if len(p):
+            p, q = some[p], b[q]
+            count += np.bincount(p, n[q], len(ids)) + np.bincount(q, n[p], len(ids))
+            for out, new in zip((star, least), _stars(ids[p], ids[q]), strict=True):
+                out.append(new)
+    star, least = _stars(np.concatenate(star), np.concatenate(least))
     order = np.argsort(ids)
     at = order[np.searchsorted(ids[order], star)]
     return pa.table({"id": star, "links": count[at].astype(np.int64), "to": least})
 
 
-def links(vectors: DataFrame, cosine: float = COSINE) -> tuple[DataFrame, DataFrame]:
-    """(rows with the id of their point, points' links): points are distinct vectors of a label."""
+def links(vectors: DataFrame, cosine: float = COSINE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows with the id of their point, points' links, rows without a point): points are
+    distinct vectors of a label."""
     parts = F.col("embedding").cast("array<double>")
     fine = (F.col("label").isNotNull() & F.col("embedding").isNotNull()
             & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x)
@@ -185,16 +291,12 @@ def links(vectors: DataFrame, cosine: float = COSINE) -> tuple[DataFrame, DataFr
     points = stored(rows.where("fine").groupBy("label", "k1", "k2")
                     .agg(F.first("embedding").alias("embedding"), F.count("*").alias("n"))
                     .withColumn("id", F.monotonically_increasing_id()), "points")
-    sizes = [r[0] for r in points.groupBy("label").count().agg(F.max("count"), F.sum("count")).collect()[0:1]]
-    total = points.count()
-    centroids = fit(points, total, sizes[0] or 0) if total else {}
-    placed = stored(_to_cells(points, centroids, cosine), "cells")
-    dim = F.size("embedding").alias("dim")
-    blocks = (placed.groupBy("label", dim, "cell").agg(F.count("*").alias("m"))
-              .withColumn("subs", F.ceil(F.col("m") / BLOCK).cast("int")).drop("m"))
-    placed = placed.withColumn("dim", F.size("embedding")).join(blocks, ["label", "dim", "cell"])
+    total, largest = (points.groupBy("label").agg(F.count("*").alias("m"))
+                      .agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0))).first())
+    placed = cells(points, fit(points, total, largest, cosine) if total else {}, cosine)
+    subs = F.ceil(F.col("m") * F.col("dim") * 8 / BLOCK_BYTES).cast("int")
     sub = F.pmod(F.xxhash64("id"), F.col("subs")).cast("int")
-    paired = (placed.withColumn("sub", sub)
+    paired = (placed.withColumn("subs", subs).withColumn("sub", sub)
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
               .withColumns({"i": F.least("sub", "other"), "j": F.greatest("sub", "other")}))
     ship(vectors.sparkSession)
@@ -202,29 +304,25 @@ def links(vectors: DataFrame, cosine: float = COSINE) -> tuple[DataFrame, DataFr
     def task(key, group):
         return _compare(group, key[3].as_py(), key[4].as_py(), cosine)
 
-    found = stored(paired.groupBy("label", "dim", "cell", "i", "j")
+    found = stored(paired.groupBy(*_CELL, "i", "j")
                    .applyInArrow(task, "id bigint, links bigint, to bigint"), "vector-links")
     ids = points.select("label", "k1", "k2", "id", "n")
-    known = rows.drop("embedding").join(ids, ["label", "k1", "k2"], "left")
-    return known, found
+    known = rows.where("fine").drop("embedding").join(ids, ["label", "k1", "k2"])
+    return known, found, rows.where(~F.col("fine")).select("vec_id")
 
 
 def run(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
-    known, found = links(vectors, cosine)
+    known, found, none = links(vectors, cosine)
     counts = found.groupBy("id").agg(F.sum("links").alias("links"))
     member = components(found.select(F.col("id").alias("a"), F.col("to").alias("b")))
-    known = stored(known.withColumn("id", F.when(F.col("fine"), F.col("id")))
-                   .join(counts, "id", "left").join(member, "id", "left")
+    known = stored(known.join(counts, "id", "left").join(member, "id", "left")
                    .withColumn("component", F.coalesce("component", "id"))
-                   .select("vec_id", "id", "n", "links", "component"), "vectors")
-    least = (known.where(F.col("component").isNotNull()).groupBy("component")
-             .agg(F.min("vec_id").alias("component_id")))
-    out = known.join(least, "component", "left")
-    component = F.coalesce("component_id", "vec_id")
-    return out.select("vec_id",
-                      (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("n") - 1, F.lit(0))).alias("n_links"),
-                      component.alias("component_id"),
-                      F.col("vec_id").eqNullSafe(component).alias("kept"))
+                   .select("vec_id", "n", "links", "component"), "vectors")
+    least = known.groupBy("component").agg(F.min("vec_id").alias("component_id"))
+    linked = known.join(least, "component").select(
+        "vec_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
+    alone = none.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 SQL = """

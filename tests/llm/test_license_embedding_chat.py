@@ -101,13 +101,28 @@ def test_vector_links_are_those_of_all_pairs(spark, monkeypatch):
     rows = vectors()
     schema = "vec_id bigint, embedding array<float>, label int"
     df = spark.createDataFrame(rows, schema).withColumns({"id": chat_format.F.lit(1), "n": chat_format.F.lit(2)})
-    # small cells and blocks, so that there are many of both
-    monkeypatch.setattr(embedding_dup, "CELL_POINTS", 60)
+    # small cells and blocks, so that there are many of both, and a second level
+    for name, value in (("CELL_POINTS", 40), ("CELL_LARGE", 60), ("CELLS_MOST", 3), ("COPIES_MOST", 50),
+                        ("BLOCK_BYTES", 2048), ("CHUNK", 100)):
+        monkeypatch.setattr(embedding_dup, name, value)
+    placed, cells = [], embedding_dup.cells
+    monkeypatch.setattr(embedding_dup, "cells", lambda *a: placed.append(cells(*a)) or placed[-1])
     got = sorted(((r.vec_id, r.n_links, r.component_id) for r in embedding_dup.run(df).collect()), key=repr)
     assert got == brute_vectors(rows)
+    paths = [tuple(r.path) for r in placed[0].select("path").distinct().collect()]
+    assert len({p[0] for p in paths}) > 1 and any(len(p) > 1 and p[-1] > 0 for p in paths)
     assert embedding_dup.run(df.where("false")).count() == 0
 
 
+def test_a_tight_cluster_is_not_split_and_spread_points_are():
+    rng = np.random.default_rng(5)
+    tight = embedding_dup.unit(np.ones((500, 8)) + rng.normal(size=(500, 8)) * 0.01)
+    assert embedding_dup.split_by(tight, 8) is None
+    centres = embedding_dup.unit(rng.normal(size=(8, 32)))
+    spread = embedding_dup.unit(np.repeat(centres, 60, axis=0) + rng.normal(size=(480, 32)) * 0.01)
+    assert len(embedding_dup.split_by(spread, 8)) == 8
+
+
 def test_guests_meet_every_linked_point_of_other_cells():
     rng = np.random.default_rng(4)
     x = embedding_dup.unit(rng.normal(size=(300, 8)))
