@@ -45,6 +45,72 @@ def test_notices_with_words_put_in_and_left_out(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def brute_notices(text):
+    """(labels, score) from every match of three words with a template, diagonal by diagonal."""
+    w, labels, score = words(text), set(), 0.0
+    grams = [tuple(w[p:p + 3]) for p in range(len(w) - 2)]
+    for phrase, label in license_scan.NOTICES.items():
+        t = words(phrase)
+        n, limit, least = len(t) - 2, 1.5 * len(t), 1.0 if len(t) <= 20 else 0.6
+        diagonals = {}
+        for j in range(n):
+            for p, g in enumerate(grams):
+                if g == tuple(t[j:j + 3]):
+                    diagonals.setdefault(p - j, []).append((p, j))
+        islands, last = [], None
+        for d in sorted(diagonals):
+            if last is None or d - last > 6:
+                islands.append([])
+            islands[-1].append(diagonals[d])
+            last = d
+        for island in islands:
+            spans = [(min(p for p, _ in v), max(p for p, _ in v) + 3, {j for _, j in v}) for v in island]
+            cover = len(set().union(*(js for _, _, js in spans))) / n
+            if max(b for _, b, _ in spans) - min(a for a, _, _ in spans) > limit:
+                best = max(len(set().union(*(js for lo, b, js in spans if lo >= a and b - a <= limit)))
+                           for a, _, _ in spans)
+                cover = best / n if cover >= least else 0.0
+            score = max(score, cover)
+            if cover >= least:
+                labels.add(label)
+    _, n_base, _, _, base = brute_base(text)
+    labels |= set(base.split(",")) - {""}
+    return ",".join(sorted(labels)), max(score, 1.0 if n_base else 0.0)
+
+
+def test_labels_and_score_are_those_of_all_diagonals(spark):
+    rng = np.random.default_rng(6)
+    notices = [words(t) for t in license_scan.NOTICES]
+    texts = [" ".join(n) for n in notices]
+    for _ in range(250):
+        w = []
+        for _ in range(rng.integers(1, 4)):
+            n = list(notices[rng.integers(len(notices))])
+            a, b = sorted(rng.integers(0, len(n) + 1, 2)) if rng.random() < 0.4 else (0, len(n))
+            n = n[a:b]
+            for _ in range(rng.integers(0, 8)):
+                k = int(rng.integers(0, len(n) + 1))
+                n[k:k + rng.integers(0, 5)] = ["put"] * rng.integers(0, 9)
+            w += n * int(rng.integers(1, 3)) + ["word"] * int(rng.integers(0, 12))
+        texts.append(" ".join(w))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in license_scan.run(spark, docs).collect()}
+    want = {i: brute_notices(t) for i, t in enumerate(texts)}
+    assert got == {i: (x, round(s, 9)) for i, (x, s) in want.items()}
+
+
+def test_names_that_differ_by_a_word_get_their_own_labels(spark):
+    texts = {"licensed under the GNU General Public License, version 2 or later": "gpl-2",
+             "licensed under the GNU General Public License": "",
+             "under the GNU Lesser General Public License, version 3": "lgpl",
+             "licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+             "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "cc-by-nc",
+             "a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License": "cc-by-nc-sa"}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r.labels for r in license_scan.run(spark, docs).collect()}
+    assert [got[i] for i in range(len(texts))] == list(texts.values())
+
+
 def brute_vectors(rows, cosine=0.98):
     unit = []
     for _, e, label in rows:
