@@ -234,9 +234,12 @@ def _pairs_apart(apart: DataFrame, against: DataFrame, similarity: float) -> Dat
                    .where("lo <> hi").select("q", "e", "n"), "outside")
     # Elements in order of rarity. The first one that a pair shares has, on either side, as many
     # from it on as the pair needs; joining only such elements keeps that one of every pair.
+    # With a partner of at least ``similarity`` times its own size, and no more inside than its
+    # own, a member needs at least similarity * total - inside: what has fewer is not joined.
     mine = Window.partitionBy("q", "id")
     left = F.count("*").over(mine) - F.row_number().over(mine.orderBy("n", "e")) + 1
     beyond = stored(beyond.join(often, ["q", "e"]).withColumn("left", left)
+                    .where(F.col("left") >= similarity * F.col("total") - F.col("inside") - 1e-9)
                     .select("q", "e", "id", "f", "total", "inside", "left"), "beyond")
     beyond = (side(beyond, "1", "q", "e", F.col("left").alias("left1"))
               .join(side(beyond, "2", "q", "e", F.col("left").alias("left2")), ["q", "e"])
