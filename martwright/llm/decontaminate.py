@@ -5,9 +5,11 @@ the sequence of its shingles of ``SHINGLE`` words. For a window to occur in a do
 its shingles must, so one of them is a sufficient prefix, and the rarest one in the
 documents is the cheapest. The join goes as follows.
 
-1. Documents are scanned once for shingles that some window has. A bit map of fixed size,
-   made of the windows' shingles, is all that each task holds of the benchmark; runs of
-   consecutive hits come out, cut into overlapping pieces no longer than ``PIECE``.
+1. Documents are scanned once for shingles that some window has. A bit map made of the
+   windows' shingles is all that each task holds of the benchmark: at least 16 bits for each
+   shingle, so that one word in 16 at most is taken for a hit by chance, up to 16 MB for a
+   benchmark of 8 million shingles; a larger one lets more words through, which the join then
+   drops. Runs of consecutive hits come out, cut into overlapping pieces no longer than ``PIECE``.
 2. The shingles of the runs are counted over all documents; each window's rarest one is
    joined with the runs. Offsets give the place where the window would start (length and
    positional bounds), and the run's shingles there are compared with all of the window's.
@@ -34,7 +36,7 @@ from martwright.llm.words import grams, words
 WINDOW = 13
 SHINGLE = 4
 PIECE = 64
-MAP_BITS = 23  # one megabyte of bits
+MAP_LEAST, MAP_MOST = 23, 27  # logarithms of a map's bits: from one megabyte to sixteen
 
 
 def _windows(benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
@@ -65,28 +67,44 @@ def _windows(benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE)
     return map_arrow(ids, task, "item_id string, k int, shingles array<bigint>")
 
 
+def _map_bits(shingles: int) -> int:
+    """The logarithm of the bits of a map of so many shingles."""
+    return min(max((16 * max(shingles, 1) - 1).bit_length(), MAP_LEAST), MAP_MOST)
+
+
 def _bit_map(windows: DataFrame) -> dict[int, np.ndarray]:
-    """For each k, the bits set by the windows' shingles; its size does not depend on them."""
-    bit = F.shiftrightunsigned(F.col("s"), 64 - MAP_BITS)
-    rows = (windows.select("k", F.explode("shingles").alias("s")).select("k", bit.alias("bit"))
+    """For each k, the bits (packed in bytes, least first) set by the windows' shingles."""
+    each = windows.select("k", F.explode("shingles").alias("s")).distinct()
+    sizes = {k: _map_bits(n) for k, n in sorted(each.groupBy("k").count().collect())}  # at most SHINGLE rows
+    if not sizes:
+        return {}
+    unused = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, 64 - n)])
+    rows = (each.withColumn("bit", F.call_function("shiftrightunsigned", "s", unused[F.col("k")]))
             .groupBy("k", F.shiftright("bit", 6).alias("at"))
-            .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect())
-    maps: dict[int, np.ndarray] = {}
-    for r in rows:
-        maps.setdefault(r["k"], np.zeros(1 << (MAP_BITS - 6), np.int64))[r["at"]] = r["bits"]
-    return {k: np.unpackbits(m.astype("<i8").view(np.uint8), bitorder="little").astype(bool)
-            for k, m in sorted(maps.items())}
+            .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow())
+    k, at, bits = (rows.column(c).to_numpy() for c in ("k", "at", "bits"))
+    maps = {}
+    for size, n in sizes.items():
+        words_ = np.zeros(1 << (n - 6), "<i8")
+        words_[at[k == size]] = bits[k == size]
+        maps[size] = words_.view(np.uint8)
+    return maps
+
+
+def _in_map(m: np.ndarray, g: np.ndarray) -> np.ndarray:
+    """Which shingles have their bit set."""
+    at = (g >> np.uint64(64 - (len(m).bit_length() + 2))).astype(np.int64)
+    return (m[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
 
 
 def _scan(docs: DataFrame, maps: dict[int, np.ndarray], window: int, shingle: int) -> DataFrame:
     """A row (null k) for each document and one for each piece of a run of hits."""
     ship(docs.sparkSession)
-    packed = {k: np.packbits(m, bitorder="little") for k, m in maps.items()}
-    shared = docs.sparkSession.sparkContext.broadcast(packed)  # at most SHINGLE MB
+    shared = docs.sparkSession.sparkContext.broadcast(maps)  # at most SHINGLE maps of 2^MAP_MOST bits
     stride = PIECE - (window - shingle)
 
     def task(batches):
-        bits = {k: np.unpackbits(m, bitorder="little").view(bool) for k, m in shared.value.items()}
+        bits = shared.value
         for batch in batches:
             for row, end, data, offsets in text_slices(batch):
                 spans, h = words(data, offsets)
@@ -100,7 +118,7 @@ def _scan(docs: DataFrame, maps: dict[int, np.ndarray], window: int, shingle: in
                     names=["doc_id", "row", "text_hash", "n_words", "k", "first", "shingles"])
                 for k, m in bits.items():
                     g, pos, cuts = grams(h, spans.rows, k)
-                    hit = np.flatnonzero(m[(g >> np.uint64(64 - MAP_BITS)).astype(np.int64)])
+                    hit = np.flatnonzero(_in_map(m, g))
                     if not len(hit):
                         continue
                     new = np.ones(len(hit), bool)

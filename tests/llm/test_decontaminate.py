@@ -74,3 +74,21 @@ def test_edge_rows(spark, edge, empty):
     assert decontaminate.run(spark, empty, b).count() == 0
     none = decontaminate.run(spark, edge, b.where("false")).collect()
     assert len(none) == len(EDGE) and not any(r.contaminated or r.n_hit or r.n_items for r in none)
+
+
+def test_map_grows_with_the_benchmark_and_a_full_one_loses_nothing(spark, monkeypatch):
+    assert [decontaminate._map_bits(n) for n in (0, 1 << 19, (1 << 19) + 1, 8_000_000, 10 ** 12)] == [23, 23, 24, 27, 27]
+    docs, items = cases(7)
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    windows = decontaminate._windows(b)
+    shingles = np.array([r.s for r in windows.where("k = 4").selectExpr("explode(shingles) s").distinct().collect()])
+    for least, most in ((23, 27), (8, 8)):
+        monkeypatch.setattr(decontaminate, "MAP_LEAST", least)
+        monkeypatch.setattr(decontaminate, "MAP_MOST", most)
+        m = decontaminate._bit_map(windows)[4]
+        assert len(m) == 1 << (least - 3) and decontaminate._in_map(m, shingles.view(np.uint64)).all()
+        bits = np.unique(shingles.view(np.uint64) >> np.uint64(64 - least))
+        assert np.array_equal(np.flatnonzero(np.unpackbits(m, bitorder="little")), bits)
+        got = sorted((tuple(r) for r in decontaminate.run(spark, d, b).collect()), key=repr)
+        assert got == brute(docs, items)
