@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -14,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.session import scratch_path
+from martwright.sinks.tables import remove
 
 # Texts reach Python in Arrow batches; both bounds keep a worker's memory flat
 # however long single texts are.
@@ -59,7 +62,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append((out, path))
+    return out
+
+
+_SCOPE: ContextVar[list[tuple[DataFrame, str]] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
+    """Deletes the tables that are ``stored`` inside when their last reader is done: at the end.
+
+    Tables put on the list are still read by what the block returns: they stay, or go with the
+    block around this one. What reads the others has to be stored inside as well.
+    """
+    mine: list[tuple[DataFrame, str]] = []
+    keep: list[DataFrame] = []
+    outer = _SCOPE.get()
+    token = _SCOPE.set(mine)
+    try:
+        yield keep
+    except BaseException:
+        keep.clear()
+        raise
+    finally:
+        _SCOPE.reset(token)
+        for df, path in mine:
+            if not any(df is k for k in keep):
+                remove(spark, path)
+            elif outer is not None:
+                outer.append((df, path))
 
 
 def crc_mod(doc_id: Column, n: int) -> Column:

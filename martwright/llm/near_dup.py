@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.llm.common import long_list, map_arrow, stored, text_hash, text_slices
+from martwright.llm.common import long_list, map_arrow, scratch, stored, text_hash, text_slices
 from martwright.llm.components import components
 from martwright.llm.words import grams, mix, words
 
@@ -279,28 +279,36 @@ def links(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, D
              .select(F.col("id").alias("x"), F.col("pivot").alias("y")).distinct())
     checked = stored(verify(pairs, sets), "checked")
     found = checked.where(F.col("sim") >= similarity).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    apart = stored(_apart(members, components(found)), "apart")
+    with scratch(docs.sparkSession) as keep:
+        apart = stored(_apart(members, components(found)), "apart")
+        keep.append(apart)
     if not apart.isEmpty():
         # a second pivot: the member whose elements are the commonest among what is apart, such
         # as the text that the others were copied from
-        each = stored(apart.select("id").distinct().join(sets, "id").select("id", F.explode("s").alias("e")),
-                      "elements")
-        often = stored(each.groupBy("e").agg(F.count("*").alias("n")).where("n > 1"), "often")
-        central = each.join(often, "e").groupBy("id").agg(F.sum("n").alias("sum"))
-        ranked = (apart.join(central, "id", "left")
-                  .withColumn("central", F.coalesce(F.col("sum") / F.col("total"), F.lit(0.0))))
-        second = stored(ranked.groupBy("b").agg(F.max(F.struct(
-            "central", F.xxhash64("id").alias("h"), F.col("id").alias("q"), F.col("f").alias("qf"),
-            F.col("total").alias("qt"))).alias("p")).select("b", "p.q", "p.qf", "p.qt"), "second")
+        with scratch(docs.sparkSession) as keep:
+            each = stored(apart.select("id").distinct().join(sets, "id")
+                          .select("id", F.explode("s").alias("e")), "elements")
+            often = stored(each.groupBy("e").agg(F.count("*").alias("n")).where("n > 1"), "often")
+            central = each.join(often, "e").groupBy("id").agg(F.sum("n").alias("sum"))
+            ranked = (apart.join(central, "id", "left")
+                      .withColumn("central", F.coalesce(F.col("sum") / F.col("total"), F.lit(0.0))))
+            second = stored(ranked.groupBy("b").agg(F.max(F.struct(
+                "central", F.xxhash64("id").alias("h"), F.col("id").alias("q"), F.col("f").alias("qf"),
+                F.col("total").alias("qt"))).alias("p")).select("b", "p.q", "p.qf", "p.qt"), "second")
+            keep.append(second)
         pairs = (apart.join(second, "b").where("f <> qf").where(sizes_allow(F.col("total"), F.col("qt")))
                  .select(F.col("id").alias("x"), F.col("q").alias("y")).distinct()
                  .join(checked.select("x", "y"), ["x", "y"], "left_anti"))
         more = stored(verify(pairs, sets).where(F.col("sim") >= similarity), "checked-2")
         found = found.unionByName(more.select(F.col("x").alias("a"), F.col("y").alias("b")))
-        apart = stored(_apart(apart.drop("f"), components(found)).join(second.select("b", "q"), "b"), "apart-2")
-        against = stored(_against_pivot(apart, sets), "against")
-        pairs = stored(_pairs_apart(apart, against, similarity), "pairs-3")
-        last = stored(verify(pairs, sets).where(F.col("sim") >= similarity), "checked-3")
+        with scratch(docs.sparkSession) as keep:
+            apart = stored(_apart(apart.drop("f"), components(found)).join(second.select("b", "q"), "b"), "apart-2")
+            keep.append(apart)
+        with scratch(docs.sparkSession) as keep:
+            against = stored(_against_pivot(apart, sets), "against")
+            pairs = stored(_pairs_apart(apart, against, similarity), "pairs-3")
+            last = stored(verify(pairs, sets).where(F.col("sim") >= similarity), "checked-3")
+            keep.append(last)
         found = found.unionByName(last.select(F.col("x").alias("a"), F.col("y").alias("b")))
     return rows, contents, found
 
@@ -312,16 +320,18 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     has one, the text with the least hash, and the first one of rows that are equal in both. A
     text without words is a class of its own.
     """
-    rows, contents, found = links(docs, similarity)
-    grouped = (contents.select("id", "c1", "c2", "least").join(components(found), "id", "left")
-               .withColumn("component", F.coalesce("component", "id")))
-    named = grouped.groupBy("component").agg(F.min("least").alias("least"))
-    by_content = grouped.drop("least").join(named, "component").select("c1", "c2", "component", "least")
-    best = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
-    worded = stored(
-        rows.where("total > 0").select("doc_id", "text_hash", "c1", "c2").join(by_content, ["c1", "c2"])
-        .select("doc_id", F.col("least.doc_id").alias("class_id"), "component", "text_hash", best.alias("best"))
-        .withColumn("row", F.monotonically_increasing_id()), "class-rows")
+    with scratch(docs.sparkSession) as keep:
+        rows, contents, found = links(docs, similarity)
+        grouped = (contents.select("id", "c1", "c2", "least").join(components(found), "id", "left")
+                   .withColumn("component", F.coalesce("component", "id")))
+        named = grouped.groupBy("component").agg(F.min("least").alias("least"))
+        by_content = grouped.drop("least").join(named, "component").select("c1", "c2", "component", "least")
+        best = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+        worded = stored(
+            rows.where("total > 0").select("doc_id", "text_hash", "c1", "c2").join(by_content, ["c1", "c2"])
+            .select("doc_id", F.col("least.doc_id").alias("class_id"), "component", "text_hash", best.alias("best"))
+            .withColumn("row", F.monotonically_increasing_id()), "class-rows")
+        keep += [rows, worded]
     # the least row number of each class, combined before the shuffle however many rows are equal
     first = worded.where("best").groupBy("component").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("kept"))
     alone = rows.where("total = 0").select("doc_id", F.col("doc_id").alias("class_id"),

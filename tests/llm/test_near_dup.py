@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from martwright.llm import near_dup
+from martwright.llm.common import scratch, stored
 from martwright.llm.components import components
+from martwright.session import ensure_checkpoint_dir
 from tests.llm.conftest import words
 
 
@@ -146,3 +149,31 @@ def test_components_of_a_shuffled_path_and_a_star(spark):
     found = {r.id: r.component for r in got.collect()}
     assert found == {i: 0 for i in range(300)} | {1000 + k: 1000 for k in range(200)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_only_tables_that_the_result_reads_are_left(spark):
+    docs = spark.createDataFrame(corpus(), "doc_id bigint, text string").repartition(4)
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    out = near_dup.classes(docs)
+    left = sorted(p.name.split("-")[2] for p in set(folder.iterdir()) - before)
+    assert left == ["class", "signatures"]
+    assert sorted(((r.doc_id, r.class_id) for r in out.collect()), key=repr) == brute_classes(corpus())
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    with scratch(spark) as outer:
+        with scratch(spark) as inner:
+            stored(spark.range(3), "a")
+            b, c = stored(spark.range(4), "b"), stored(spark.range(5), "c")
+            inner += [b, c]
+        outer.append(c)
+        assert b.count() == 4 and len(set(folder.iterdir()) - before) == 2
+    assert c.count() == 5 and len(set(folder.iterdir()) - before) == 1
+    now = set(folder.iterdir())
+    with pytest.raises(ValueError), scratch(spark) as keep:
+        keep.append(stored(spark.range(3), "d"))
+        raise ValueError
+    assert set(folder.iterdir()) == now
