@@ -15,6 +15,7 @@ each for itself; an empty table gives an empty result; other columns are ignored
 
 from __future__ import annotations
 
+from itertools import count, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +29,7 @@ WINDOW = 192
 FIT_DOCS = 500
 FIT_WINDOWS = 3
 DIM, FILTERS, WIDTHS = 8, 16, (2, 3, 4)
-EPOCHS, BATCH, RATE = 8, 64, 4e-3
+STEPS, BATCH, RATE = 188, 64, 4e-3  # steps for each language, however large the sample
 UNKNOWN = "und"
 
 
@@ -70,8 +71,11 @@ def forward(net: Network, windows: np.ndarray) -> np.ndarray:
 
 
 def train(windows: np.ndarray, target: np.ndarray, languages: list[str], seed: int = 7,
-          epochs: int = EPOCHS) -> Network:
-    """Adam on the cross-entropy; byte 0 stands for no byte and keeps a zero embedding."""
+          steps: int = STEPS) -> Network:
+    """Adam on the cross-entropy; byte 0 stands for no byte and keeps a zero embedding.
+
+    ``steps`` batches for each language are taken from one shuffling of the windows after another.
+    """
     rng = np.random.default_rng(seed)
     f4 = np.float32
     pars = [rng.normal(0, 0.5, (256, DIM)).astype(f4)]
@@ -80,41 +84,38 @@ def train(windows: np.ndarray, target: np.ndarray, languages: list[str], seed: i
              np.zeros(len(languages), f4)]
     pars[0][0] = 0
     first, second = [np.zeros_like(p) for p in pars], [np.zeros_like(p) for p in pars]
-    step = 0
-    for _ in range(epochs):
-        order = rng.permutation(len(windows))
-        for a in range(0, len(order), BATCH):
-            pick = order[a:a + BATCH]
-            b, y = windows[pick], target[pick]
-            embed, convs, dense, bias = pars[0], pars[1:-2], pars[-2], pars[-1]
-            x = embed[b]
-            cols = [_columns(x, w) for w in WIDTHS]
-            outs = [c @ k for c, k in zip(cols, convs, strict=True)]
-            best = [o.argmax(axis=1) for o in outs]
-            top = np.concatenate([o.max(axis=1) for o in outs], axis=1)
-            pooled = np.maximum(top, 0)
-            g = np.exp(log_softmax(pooled @ dense + bias))
-            g[np.arange(len(b)), y] -= 1
-            g /= len(b)
-            d_pool = (g @ dense.T) * (top > 0)
-            d_embed = np.zeros_like(embed)
-            d_convs = []
-            rows = np.arange(len(b))[:, None]
-            for i, w in enumerate(WIDTHS):
-                d = d_pool[:, i * FILTERS:(i + 1) * FILTERS]
-                at = cols[i][rows, best[i]]  # window, filter, w * DIM
-                d_convs.append(np.einsum("nfk,nf->kf", at, d))
-                back = np.einsum("kf,nf->nfk", convs[i], d).reshape(-1, DIM)
-                where = b[rows[:, :, None], best[i][:, :, None] + np.arange(w)].reshape(-1)
-                for c in range(DIM):
-                    d_embed[:, c] += np.bincount(where, back[:, c], 256)
-            d_embed[0] = 0
-            step += 1
-            for p, d, m, v in zip(pars, [d_embed, *d_convs, pooled.T @ g, g.sum(axis=0)],
-                                  first, second, strict=True):
-                m += 0.1 * (d - m)
-                v += 0.001 * (d * d - v)
-                p -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+    shuffled = (part for _ in count() for order in [rng.permutation(len(windows))]
+                for part in np.split(order, range(BATCH, len(order), BATCH)))
+    for step, pick in enumerate(islice(shuffled, steps * len(languages)), 1):
+        b, y = windows[pick], target[pick]
+        embed, convs, dense, bias = pars[0], pars[1:-2], pars[-2], pars[-1]
+        x = embed[b]
+        cols = [_columns(x, w) for w in WIDTHS]
+        outs = [c @ k for c, k in zip(cols, convs, strict=True)]
+        best = [o.argmax(axis=1) for o in outs]
+        top = np.concatenate([o.max(axis=1) for o in outs], axis=1)
+        pooled = np.maximum(top, 0)
+        g = np.exp(log_softmax(pooled @ dense + bias))
+        g[np.arange(len(b)), y] -= 1
+        g /= len(b)
+        d_pool = (g @ dense.T) * (top > 0)
+        d_embed = np.zeros_like(embed)
+        d_convs = []
+        rows = np.arange(len(b))[:, None]
+        for i, w in enumerate(WIDTHS):
+            d = d_pool[:, i * FILTERS:(i + 1) * FILTERS]
+            at = cols[i][rows, best[i]]  # window, filter, w * DIM
+            d_convs.append(np.einsum("nfk,nf->kf", at, d))
+            back = np.einsum("kf,nf->nfk", convs[i], d).reshape(-1, DIM)
+            where = b[rows[:, :, None], best[i][:, :, None] + np.arange(w)].reshape(-1)
+            for c in range(DIM):
+                d_embed[:, c] += np.bincount(where, back[:, c], 256)
+        d_embed[0] = 0
+        for p, d, m, v in zip(pars, [d_embed, *d_convs, pooled.T @ g, g.sum(axis=0)],
+                              first, second, strict=True):
+            m += 0.1 * (d - m)
+            v += 0.001 * (d * d - v)
+            p -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     return Network(languages, pars[0], list(pars[1:-2]), pars[-2], pars[-1])
 
 
@@ -130,14 +131,16 @@ def fit(docs: DataFrame, training: Column, text: str = "text", lang: str = "lang
     The sample has about ``fit_docs`` distinct (id, text) rows of each language, by a hash.
     """
     rows = docs.where(training & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}  # a row for each language
+    # by id and text, so that the rows of an id are chosen one by one
+    hashed = rows.withColumn("__hash", F.xxhash64("doc_id", F.col(text), F.lit(17)))
+    # of distinct rows, so that a row of many copies doesn't crowd out all others
+    counts = {r[0]: r[1] for r in hashed.groupBy(lang).agg(
+        F.greatest(F.approx_count_distinct("__hash"), F.lit(1))).collect()}  # a row for each language
     if not counts:
         return None
     most = 1 << 30
     limit = F.create_map(*[F.lit(x) for k, n in counts.items()
                            for x in (k, min(most, most * fit_docs // n))])
-    # by id and text, so that the rows of an id are chosen one by one
-    hashed = rows.withColumn("__hash", F.xxhash64("doc_id", F.col(text), F.lit(17)))
     chosen = hashed.where(F.pmod("__hash", F.lit(most)) < limit[F.col(lang)])
     span = F.greatest(F.length(text) - F.lit(WINDOW), F.lit(0)) + 1
     # equal rows have equal windows: they are one row of the sample
@@ -166,20 +169,29 @@ def _text_windows(low: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return flat.reshape(-1, WINDOW), doc, np.clip(n[doc] - nth * WINDOW, 1, WINDOW)
 
 
-def predict_texts(net: Network, texts: list[bytes], chunk: int = 24) -> tuple[np.ndarray, np.ndarray]:
-    """(language number, probability) of lower-cased texts."""
+def predict_texts(net: Network, texts: list[bytes],
+                  chunk: int = 24) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(language number, probability, the best probability of a window) of lower-cased texts."""
     windows, doc, weight = _text_windows(texts)
     total = np.zeros((len(texts), len(net.languages)))
+    clear = np.full(len(texts), -np.inf)
     for a in range(0, len(windows), chunk):
-        logs = forward(net, windows[a:a + chunk]) * weight[a:a + chunk, None]
+        logs = forward(net, windows[a:a + chunk])
+        np.maximum.at(clear, doc[a:a + chunk], logs.max(axis=1))
+        logs = logs * weight[a:a + chunk, None]
         for c in range(logs.shape[1]):
             total[:, c] += np.bincount(doc[a:a + chunk], logs[:, c], len(texts))
     p = np.exp(log_softmax(total / np.bincount(doc, weight, len(texts))[:, None]))
-    return p.argmax(axis=1), p.max(axis=1)
+    return p.argmax(axis=1), p.max(axis=1), np.exp(clear)
 
 
 def predict(docs: DataFrame, net: Network | None, keep: list[str]) -> DataFrame:
-    """The columns of ``keep``, lang_pred and score for each row."""
+    """The columns of ``keep``, lang_pred, score, window_score and n_bytes for each row.
+
+    ``window_score`` is the highest probability that a window of the text gives a language: in
+    a text of several languages it is high where ``score`` is not. ``n_bytes`` is the length
+    of the lower-cased text, 0 without a letter.
+    """
     # names of other columns can't clash: what the task needs is renamed
     rows = docs.select(*[F.col(c) for c in keep],
                        F.col("text").alias("__text"),
@@ -193,6 +205,7 @@ def predict(docs: DataFrame, net: Network | None, keep: list[str]) -> DataFrame:
                 letters = np.asarray(part.column("__letters").to_numpy(zero_copy_only=False), bool)
                 if net is None:
                     names, score = [UNKNOWN] * (end - row), np.zeros(end - row)
+                    clear, size = score, np.zeros(end - row, np.int64)
                 else:
                     raw = data.tobytes()
                     low = [raw[a:b].lower() if m else b"" for a, b, m in
@@ -200,15 +213,17 @@ def predict(docs: DataFrame, net: Network | None, keep: list[str]) -> DataFrame:
                     # only texts beyond ASCII need more than the bytes' own lower case
                     low = [x if x.isascii() else x.decode("utf-8", "replace").lower().encode()
                            for x in low]
-                    best, p = predict_texts(net, low)
+                    best, p, clear = predict_texts(net, low)
+                    clear, size = np.where(letters, clear, 0.0), np.array([len(x) for x in low])
                     names = [net.languages[i] if m else UNKNOWN
                              for i, m in zip(best.tolist(), letters, strict=True)]
                     score = np.where(letters, p, 0.0)
                 yield pa.record_batch([*part.columns[:len(keep)], pa.array(names, pa.string()),
-                                       pa.array(score, pa.float64())],
-                                      names=[*keep, "lang_pred", "score"])
+                                       pa.array(score, pa.float64()), pa.array(clear, pa.float64()),
+                                       pa.array(size, pa.int64())],
+                                      names=[*keep, "lang_pred", "score", "window_score", "n_bytes"])
 
-    return map_arrow(rows, task, f"{schema}, lang_pred string, score double")
+    return map_arrow(rows, task, f"{schema}, lang_pred string, score double, window_score double, n_bytes bigint")
 
 
 def training_fold(doc_id: Column) -> Column:

@@ -42,6 +42,17 @@ def test_language_of_edge_rows(spark, edge, empty):
     assert {r.lang_pred for r in language_id.run(unknown).collect()} == {"und"}
 
 
+def test_language_of_one_row_with_many_copies(spark):
+    """The sample is a share of the distinct rows: copies neither fill nor empty it."""
+    docs = spark.createDataFrame([(1, "der kleine Hund läuft", "de")] * 3000 + [(4, "le petit chien court", "fr")] * 3000,
+                                 "doc_id bigint, text string, lang string").withColumn("source", F.lit("s"))
+    net = language_id.fit(docs, F.lit(True), fit_docs=5)
+    assert net.languages == ["de", "fr"]
+    rows = language_id.predict(docs.distinct(), net, ["doc_id"]).collect()
+    assert sorted((r.doc_id, r.lang_pred, r.n_bytes) for r in rows) == [(1, "de", 22), (4, "fr", 20)]
+    assert all(r.score > 0.9 and r.window_score >= r.score - 1e-6 for r in rows)
+
+
 def test_windows_cover_whole_texts():
     texts = [b"", b"x", bytes(range(1, 200)) * 5]
     windows, doc, weight = language_id._text_windows(texts)

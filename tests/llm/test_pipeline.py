@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import shutil
+from pathlib import Path
 
 import corpus_pipeline
 import duckdb
@@ -9,6 +10,7 @@ import pytest
 
 import __spark_entry__ as entry
 from martwright.llm import queries as llm
+from martwright.session import ensure_checkpoint_dir
 from scripts.oracle_check import compare, duck_rows, spark_rows
 from tests.llm.test_decontaminate import brute as brute_hits
 from tests.llm.test_near_dup import brute_classes, near_copies
@@ -81,3 +83,26 @@ def test_names_with_dots_pass(spark):
     docs = spark.createDataFrame([(1, "some words of a text to keep", 2, 3)], "doc_id bigint, text string, `a.b` int, `c``d` int")
     assert corpus_pipeline._whole(docs).select("__doc.*").collect() == docs.collect()
     assert corpus_pipeline.unique(spark, docs, SF).columns == docs.columns
+
+
+def test_language_stage_keeps_short_texts_and_mixtures(spark):
+    """Evenly mixed texts and short ones have a low score, but are in known languages."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    long = docs.where("length(text) between 600 and 4000").orderBy("doc_id")
+    texts = [[r.text[:576] for r in long.where(f"lang = '{x}'").select("text").limit(4).collect()] for x in ("de", "en", "es", "fr")]
+    mixed = [(10_000 + i, " ".join(t), None, "mixed", 2300) for i, t in enumerate(zip(*texts, strict=False))]
+    mixed += [(20_000, "A.", None, "short", 2), (20_001, "Re.", None, "short", 3), (20_002, "123 !!", None, "none", 6)]
+    every = docs.unionByName(spark.createDataFrame(mixed, docs.schema))
+    left = {r.doc_id for r in corpus_pipeline.language(spark, every, SF).select("doc_id").collect()}
+    clean = {r.doc_id for r in docs.where(r"text rlike '\\p{L}'").select("doc_id").collect()}
+    assert len(mixed) > 4 and {m[0] for m in mixed} - {20_002} <= left and 20_002 not in left
+    assert clean <= left
+
+
+def test_run_leaves_the_last_stages_tables_only(spark):
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    rows = corpus_pipeline.run(spark, SF).count()
+    left = {p.name.split("llm-")[1].rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert rows and {x for x in left if x.startswith("stage-")} == {f"stage-{n}" for n, _ in corpus_pipeline.STAGES[:-1]}
+    assert all(x.startswith(("stage-", "packed-")) or x == "pieces" for x in left)
