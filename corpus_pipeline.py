@@ -2,7 +2,9 @@
 
 STAGES are applied in turn; each works on the rows that the one before kept and wrote.
 
-1. language: drops texts without a letter and texts of which no language has a majority.
+1. language: drops texts without a letter, and texts of a whole window and more (192 bytes) without
+   one window in which a language has a majority; shorter ones hold too little to be rejected by,
+   and a text of several languages is none without a language.
 2. toxicity: drops texts with a score of 0.5 or more.
 3. near duplicates: keeps one row of each class, of the smallest doc_id (without ids, or with
    several texts under that id: the one with the least hash).
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.llm import decontaminate, language_id, near_dup, packing, toxicity
-from martwright.llm.common import stored, table, text_hash
+from martwright.llm.common import scratch, stored, table, text_hash
 from martwright.llm.queries import WORD_BPE
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -40,7 +42,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     lettered = _whole(docs).where(F.col("text").rlike(r"\p{L}"))
     rows = language_id.predict(lettered, net, ["__doc"])
     # with nothing to learn from, only texts without a letter can be told
-    return (rows if net is None else rows.where("score >= 0.5")).select("__doc.*")
+    known = (F.col("window_score") >= 0.5) | (F.col("n_bytes") < language_id.WINDOW)
+    return (rows if net is None else rows.where(known)).select("__doc.*")
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,5 +88,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark) as keep:  # a stage's own tables go once its rows are written
+            docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+            keep.append(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
