@@ -254,7 +254,7 @@ def ordered(rows: DataFrame) -> DataFrame:
 
 def faults(lines: DataFrame) -> DataFrame:
     """(conv_id, pos, turn, initial, fault, copies): the first fault of each row's first copy."""
-    end = F.expr(f"rtrim('{BLANKS.encode('unicode_escape').decode()}', text)")
+    end = F.rtrim(F.col("text"), F.lit(BLANKS))
     plain = (F.when(end == "", BLANK).when(F.right(end, F.lit(1)).isin(".", "!", "?"), OK).otherwise(CUT))
     rows = lines.select("conv_id", "pos", "turn", F.substring("role", 1, 1).alias("initial"),
                         plain.alias("plain"), "copies", "key")
@@ -416,8 +416,10 @@ def audited(found: DataFrame) -> tuple[DataFrame, DataFrame]:
                          & (F.col("before") == F.col("s")) & (F.col("after") == F.col("t")))
     parts = chosen.select("conv_id", "segment", "before", F.concat("audit", F.when(F.col("final"), ending)
                                                                   .otherwise(F.lit(""))).alias("audit"))
-    gaps = F.coalesce(F.least(F.col("most").cast("decimal(38,0)") - F.col("least") + 1 - F.col("turns"),
-                              F.lit(LARGEST).cast("decimal(38,0)")).cast("long"), F.lit(0))
+    # F.least skips nulls: without a turn there is no gap
+    gaps = F.when(F.col("least").isNull(), 0).otherwise(
+        F.least(F.col("most").cast("decimal(38,0)") - F.col("least") + 1 - F.col("turns"),
+                F.lit(LARGEST).cast("decimal(38,0)")).cast("long"))
     counts = ["blank", "duplicate", "truncated", "illegal", "cost"]
     whole = closed.select("conv_id", gaps.alias("gaps"), *counts)
     return (whole.unionByName(sums.select("conv_id", "gaps", *counts)),

@@ -162,6 +162,20 @@ def test_turn_repair_against_plain_form(spark, monkeypatch, bits):
     assert turn_repair.run(df.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("bits", [2, 13])
+def test_turn_repair_of_odd_ends_and_of_conversations_without_turns(spark, monkeypatch, bits):
+    """Only blanks are trimmed from the end of a text, and no turn at all is no gap."""
+    monkeypatch.setattr(turn_repair, "SEGMENT_BITS", bits)
+    rng = random.Random(bits)
+    ends = ["x", "0", "b", "c", "0xbc", "Done.c", "Is it 100", "Yes.x0", "Stop.\x0b", "Stop!\x0c", "\x0b\x0c", "\t\r\n ",
+            "Yes.\r\n", "\x85", "So.\xa0", "\\", "u", "Hi.\\n"]
+    table = [(conv, turn, rng.choice(["user", "assistant", "system"]), rng.choice(ends))
+             for conv in range(40) for turn in range(rng.randint(1, 9))]
+    table += [(conv, None, "user", "Null turn.") for conv in range(40, 60)]
+    df = spark.createDataFrame([(*r, 1, 2, 3, 4) for r in table], SCHEMA)
+    assert digest(turn_repair.run(df).collect()) == plain_rows(table)
+
+
 # ---------------------------------------------------------- hard negatives
 
 
