@@ -352,3 +352,15 @@ def test_best_weekday_tie_is_the_first_of_the_week(spark):
     # Tuesday and Friday are equal; Friday comes first in the alphabet, Tuesday in the week
     rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=i), 9.0 if i % 7 in (1, 4) else 1.0) for i in range(14)]
     assert best_weekday(spark.createDataFrame(rows, "ds date, y double")).first().weekday == "Tuesday"
+
+
+@pytest.mark.parametrize("rows", [700, 50_300])
+def test_geolocation_sample_takes_all_points_up_to_the_jobs_size(spark, tmp_path, rows):
+    from pyspark.sql import functions as F
+    from martwright.plans.registry import queries
+    spark.range(rows).select((F.col("id") % 5).cast("int").alias("c_nationkey"),
+                             (F.col("id") % 900 / 8).alias("c_acctbal")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(4).selectExpr("CAST(id AS INT) n_nationkey", "'N' || id AS n_name", "CAST(id % 2 AS INT) n_regionkey"
+                              ).write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql("SELECT 0 AS r_regionkey, 'R' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    assert queries()["sample_geolocation"](spark, str(tmp_path)).count() == min(rows, 50_000)
