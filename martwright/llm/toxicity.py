@@ -5,7 +5,7 @@ of a bias, a weight for each term and, for each pair of terms, the product of th
 factor vectors: a pair can count for more than its two words, which additive weights can't
 express. Pairs are summed in linear time by the usual square-of-sum identity.
 
-The machine is trained in numpy on a bounded sample of labelled rows: about ``FIT_ROWS``
+The machine is trained in numpy, in one task, on a bounded sample of labelled rows: about ``FIT_ROWS``
 of either label, chosen by a hash of their id and weighted halfway between the classes'
 true shares and equal ones. Terms of fewer than ``LEAST`` rows of the sample carry no weight.
 
@@ -157,16 +157,33 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machine
         each = each.where(F.pmod(F.xxhash64("doc_id", "hash", F.lit(6)), F.lit(most)) < part[F.col("label")])
     rows = (keyed.join(F.broadcast(each), ["doc_id", "label", "hash"])  # about 2 * fit_rows rows at most
             .groupBy("doc_id", "label", "hash").agg(F.first("text").alias("text")))
-    got = _with_terms(rows).toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
-    label = got.column("label").to_numpy().astype(float)
-    if len(set(label.tolist())) < 2:
-        return None
-    lists = got.column("terms").combine_chunks()
-    flat = np.asarray(lists.flatten()).astype(np.int64)
-    offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
     share = (0.5 + counts[1] / (counts[0] + counts[1])) / 2
-    weight = np.where(label == 1, share / label.mean(), (1 - share) / (1 - label.mean()))
-    return train(flat, offsets, label, weight)
+    return _trained(_with_terms(rows), share)
+
+
+_MACHINE = pa.schema([("bias", pa.float64()), ("weights", pa.binary()), ("factors", pa.binary())])
+
+
+def _trained(rows: DataFrame, share: float) -> Machine | None:
+    """The machine of the (bounded) sample, trained in a task: the driver gets its weights alone."""
+
+    def task(got: pa.Table) -> pa.Table:
+        got = got.sort_by([("doc_id", "ascending"), ("label", "ascending")])
+        label = got.column("label").to_numpy().astype(float)
+        if len(set(label.tolist())) < 2:
+            return _MACHINE.empty_table()
+        lists = got.column("terms").combine_chunks()
+        flat = np.asarray(lists.flatten()).astype(np.int64)
+        offsets = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+        m = train(flat, offsets, label, np.where(label == 1, share / label.mean(), (1 - share) / (1 - label.mean())))
+        return pa.table([[m.bias], [m.weights.tobytes()], [m.factors.tobytes()]], schema=_MACHINE)
+
+    found = rows.groupBy(F.lit(0).alias("all")).applyInArrow(
+        task, "bias double, weights binary, factors binary").collect()
+    if not found:
+        return None
+    weights, factors = (np.frombuffer(bytes(x), np.float32) for x in (found[0]["weights"], found[0]["factors"]))
+    return Machine(found[0]["bias"], weights, factors.reshape(-1, FACTORS))
 
 
 def score(docs: DataFrame, m: Machine | None, keep: list[str]) -> DataFrame:

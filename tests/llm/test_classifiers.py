@@ -180,3 +180,19 @@ def test_an_id_with_many_rows_brings_a_bounded_sample(spark, monkeypatch):
     monkeypatch.setattr(language_id, "train", lambda w, *a: windows.append(len(w)))
     language_id.fit(docs, language_id.training_fold(F.col("doc_id")), fit_docs=100)
     assert windows and windows[0] <= 100 * language_id.FIT_WINDOWS * 1.6
+
+
+def test_toxicity_is_trained_away_from_the_driver(spark, monkeypatch):
+    """The driver gets the weights, never the sample's terms; they are those of the plain training."""
+    rows = [(i, f"word{i % 7} you {'idiot' if i % 3 == 0 else 'friend'} and text {i % 11}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i, _ in rows], "doc_id bigint, quality int, toxic int")
+    monkeypatch.setattr(type(docs), "toArrow", lambda self: pytest.fail("rows reach the driver"))
+    m = toxicity.fit(docs, labels)
+    known = [(i, t.encode()) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    flat, cuts = toxicity.terms(np.frombuffer(b"".join(t for _, t in known), np.uint8),
+                                np.cumsum([0] + [len(t) for _, t in known]))
+    y = np.array([float(i % 3 == 0) for i, _ in known])
+    share = (0.5 + y.mean()) / 2
+    want = toxicity.train(flat, cuts, y, np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean())))
+    assert abs(m.bias - want.bias) < 1e-9 and np.array_equal(m.weights, want.weights) and np.array_equal(m.factors, want.factors)
