@@ -364,3 +364,33 @@ def test_geolocation_sample_takes_all_points_up_to_the_jobs_size(spark, tmp_path
                               ).write.parquet(f"{tmp_path}/nation.parquet")
     spark.sql("SELECT 0 AS r_regionkey, 'R' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
     assert queries()["sample_geolocation"](spark, str(tmp_path)).count() == min(rows, 50_000)
+
+
+@pytest.mark.parametrize("eol", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("block", [64, 700, 1 << 20])
+def test_reviews_are_read_by_blocks_as_by_one_task(spark, tmp_path, monkeypatch, eol, block):
+    """Quoted line breaks, quotes and commas, stray quotes, empty lines, records over many blocks."""
+    import random
+
+    from martwright.schemas import RAW_COLUMNS
+    from martwright.sources.csv_files import scan_csv
+    rng = random.Random(block)
+    texts = ["", "plain", '"a, b"', f'"two{eol}lines"', f'"{eol}{eol}"', '"say ""so"" now"', f'"""{eol}"""', '5" pipe', 'a"b"c',
+             f'"ends""{eol}""begins, ""{eol}"', f'"{f"long,{eol}" * 60}"', '"a"b', '""', '" "', f'"caf\u00e9 {eol}\u65e5"', '"x"']
+    lines = ["review_id,order_id,review_score,title,message,review_creation_date,review_answer_timestamp"]
+    for i in range(400):
+        lines.append(f"r{i},o{i},{i % 5},{rng.choice(texts)},{rng.choice(texts)},2018-01-18,{rng.choice(texts)}")
+        if i % 50 == 7:
+            lines.append("")
+    (tmp_path / "f.csv").write_bytes((eol.join(lines) + eol).encode())
+    want = (spark.read.option("header", True).option("escape", '"').option("multiLine", True).option("mode", "FAILFAST")
+            .csv(f"{tmp_path}/f.csv").select(*RAW_COLUMNS["reviews"]).collect())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        df = scan_csv(spark, f"{tmp_path}/f.csv", "reviews")
+        assert df.rdd.getNumPartitions() > 1 or block > 700 or eol == "\r"
+        got = df.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 400 and sorted(map(repr, got)) == sorted(map(repr, want))
