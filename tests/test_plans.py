@@ -85,6 +85,59 @@ def test_order_joins_reuse_aggregate_partitioning(spark, sf_small, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_exports_shuffle_payments_once(spark, sf_small, monkeypatch):
+    """Orders, payments (not twice), reviews by order id; then orders and customers by customer id."""
+    from martwright.operators import joins
+    from martwright.plans import catalog_io
+    monkeypatch.setattr(joins, "DEFAULT_BROADCAST_LIMIT", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        seen = {}
+        # the marts as the query hands them to the export
+        monkeypatch.setattr(catalog_io, "export_marts", lambda marts, out: seen.update(marts) or {})
+        monkeypatch.setattr(catalog_io, "_digests", lambda tables: None)
+        catalog_io.export_all(Context(spark, sf_small))
+        plan = plan_of(seen["mart_orders"])
+        assert plan.count("Exchange hashpartitioning") == 5
+        # the stored dimensions are not computed again
+        assert "customer.parquet" not in plan and "nation.parquet" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_payments_by_one_shuffle_are_those_by_two(spark):
+    from martwright.operators.order_aggregates import order_payments
+    rows = [("hot", ["b", "a", None, ""][i % 4], i % 7, 0.25 * i) for i in range(500)] + [
+        ("o", None, None, None), (None, "a", 2, 1.0), (None, "c", 3, 2.0), ("p", "b", None, 1.5), ("p", "b", 4, None)]
+    pay = spark.createDataFrame(rows, "order_id string, payment_type string, payment_installments int, "
+                                      "payment_value double").repartition(5)
+    one = order_payments(pay, one_shuffle=True)
+    assert plan_of(one).count("Exchange hashpartitioning") == 1
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, order_payments(pay).collect()))
+
+
+def test_a_large_stored_dimension_joins_the_narrow_items(spark, sf_small, monkeypatch):
+    """Known too large for a broadcast: the items go to its key before they get the orders' columns."""
+    from martwright.operators import joins
+    monkeypatch.setattr(joins, "DEFAULT_BROADCAST_LIMIT", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ctx = Context(spark, sf_small)
+        products = ctx.mart("dim_products")
+        products = products.unionByName(products.where("product_id IN ('1', '2')"))  # a key may repeat
+        sellers = ctx.mart("dim_sellers").where("seller_id <> '3'")
+        args = (ctx.stg("order_items"), ctx.stg("orders").where("order_id NOT LIKE '%7'"), ctx.mart("dim_customers"),
+                ctx.mart("order_payments"), ctx.mart("order_reviews"), products, sellers)
+        last, first = marts.mart_order_items(*args), marts.mart_order_items(*args, dims_stored=True)
+        # the plan's first join is by order id, no longer by seller id
+        top = [re.search(r"SortMergeJoin \[(\w+)#", plan_of(df)).group(1) for df in (last, first)]
+        assert top == ["seller_id", "order_id"]
+        assert last.columns == first.columns
+        assert last.exceptAll(first).isEmpty() and first.exceptAll(last).isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_filters_reach_the_scan(spark, sf_small):
     ctx = Context(spark, sf_small)
     q = ctx.table("customer").where(F.col("c_nationkey") < 20).select("c_custkey")
