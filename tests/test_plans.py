@@ -162,3 +162,69 @@ def test_items_are_read_once(spark, sf_small, key):
     """What is left to run after the stored intermediate reads no raw table again."""
     plan = plan_of(entry.queries()[key](spark, sf_small))
     assert "lineitem.parquet" not in plan
+
+
+def _odd_raw(spark, n_types: int = 3):
+    """Raw tables whose keys repeat, are null or have no order."""
+    def table(rows, columns):
+        return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns.split()))
+    t = "2024-01-0{} 10:00:00".format
+    items = [(o, "1", p, s, t(1), "10.5", "1.5") for o, p, s in [
+        ("a", "p1", "s1"), ("a", "p2", "s2"), ("b", "p1", None), ("c", None, "s1"), ("alone", "p1", "s1"),
+        ("paid", "p1", "s1"), ("rated", "p9", "s9"), ("none", "p1", "s1"), (None, "p1", "s1"), ("a", "p1", "s1")]]
+    pays = [("a", "1", ["x", "y, ", "", None][i % 4], str(i), "2.5") for i in range(9)] + [
+        ("b", "1", None, "3", None), ("alone", "1", "x", "2", "7"), ("paid", "1", "", "4", "8"), (None, "1", "x", "9", "9")]
+    pays += [("c", "1", f"t{i:02d}", "1", "1") for i in range(n_types)]
+    return {
+        "orders": table([(o, c, "delivered", t(d), t(d), t(d), t(5), t(4)) for o, c, d in [
+            ("a", "c1", 1), ("a", "c2", 2), ("b", None, 3), ("c", "c1", 1), ("d", "c3", 2), (None, "c1", 3)]],
+            "order_id customer_id order_status order_purchase_timestamp order_approved_at "
+            "order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date"),
+        "order_items": table(items, "order_id order_item_id product_id seller_id shipping_limit_date price freight_value"),
+        "payments": table(pays, "order_id payment_sequential payment_type payment_installments payment_value"),
+        "reviews": table([(str(i), o, s, t(1), t(2)) for i, (o, s) in enumerate([
+            ("a", "1"), ("a", "4"), ("b", None), ("alone", "2"), ("rated", "5"), (None, "3")])],
+            "review_id order_id review_score review_creation_date review_answer_timestamp"),
+        "customers": table([("c1", "u1", "1", "x", "X"), ("c1", "u2", "2", "y", "Y"), ("c2", "u1", None, "x", "X"),
+                            (None, "u3", "1", "z", "Z")], "customer_id customer_unique_id customer_zip_code_prefix "
+                                                          "customer_city customer_state"),
+        "products": table([("p1", "k1", *["1"] * 7), ("p2", None, *["2.0"] * 7)],
+                          "product_id product_category_name product_name_lenght product_description_lenght "
+                          "product_photos_qty product_weight_g product_length_cm product_height_cm product_width_cm"),
+        "sellers": table([("s1", "1", "x", "X"), ("s2", None, "y", "Y")],
+                         "seller_id seller_zip_code_prefix seller_city seller_state"),
+        "geolocation": table([("1", "1.5", "2.5", "x", "X")], "geolocation_zip_code_prefix geolocation_lat "
+                                                              "geolocation_lng geolocation_city geolocation_state"),
+        "category_translation": table([("k1", "e1")], "product_category_name product_category_name_english"),
+    }
+
+
+@pytest.mark.parametrize("n_types", [3, 70])
+def test_the_stored_build_joins_the_order_mart_and_lists_no_types(spark, monkeypatch, n_types):
+    """Items join the orders' columns once; payments are shuffled once. Rows are those of the lazy build."""
+    from martwright.plans.warehouse import MART_TABLES, build_layers, run_pipeline
+    from martwright.session import scratch_path
+    from martwright.sinks import tables
+    write, plans = tables.write_table, {}
+
+    def noted(session, df, path, **kw):
+        plans[path.rsplit("/", 1)[1]] = plan_of(df)
+        return write(session, df, path, **kw)
+
+    raw = _odd_raw(spark, n_types)
+    monkeypatch.setattr(tables, "write_table", noted)
+    stored, lazy = run_pipeline(spark, raw, scratch_path(spark, "wh-odd")).mart, build_layers(raw).mart
+    for name in MART_TABLES:
+        assert stored[name].columns == lazy[name].columns
+        assert stored[name].exceptAll(lazy[name]).isEmpty() and lazy[name].exceptAll(stored[name]).isEmpty(), name
+    by_id = {r.order_id: (r.payment_value_total, r.review_score_avg, r.order_status) for r in stored["mart_order_items"]
+             .where("order_id IN ('alone', 'paid', 'rated', 'none')").collect()}
+    assert by_id == {"alone": (7.0, 2.0, None), "paid": (8.0, None, None), "rated": (None, 5.0, None),
+                     "none": (None, None, None)}
+    # one join of the items by order id, the two that look for ids without an order, and theirs
+    items = re.findall(r"Join \[order_id#\d+\], \[order_id#\d+\], (\w+)", plans["mart_order_items"])
+    assert sorted(items) == ["FullOuter", "LeftAnti", "LeftAnti", "LeftOuter"]
+    assert "customer_zip" not in plans["mart_order_items"] and "order_status" in plans["mart_order_items"]
+    # more types than bits: lists, as before
+    assert ("collect" in plans["order_payments"]) == (n_types > 62)
+    assert plans["order_payments"].count("Exchange hashpartitioning") == (2 if n_types > 62 else 1)
