@@ -233,3 +233,86 @@ def test_memoised_reads_follow_a_refresh(spark, sf_small):
     assert fresh.read("kpis").first().total_items < total and fresh.computed == ["kpis"]
     assert len(fresh.release(every=True)) == 1 and list_names(spark, f"{root}/_memo") == []
     assert len(spark.sparkContext._jsc.getPersistentRDDs()) == 0  # nothing is held in memory
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_exports_leave_the_disk_to_the_exports(spark, sf_small, monkeypatch):
+    """No shuffle file waits for a collection while the files are written; nothing else is left behind."""
+    import time
+    from martwright.plans import catalog_io
+    from martwright.plans.context import Context
+    from martwright.session import SHUFFLE_CLEANUP, ensure_checkpoint_dir
+    from martwright.sinks.tables import list_names
+    real, seen = catalog_io.export_marts, {}
+
+    def export(marts, out):
+        until = time.time() + 10  # files go soon after their query, not before its end
+        while _shuffle_files(spark) - shuffles and time.time() < until:
+            time.sleep(0.1)
+        seen["shuffles"] = _shuffle_files(spark) - shuffles
+        return real(marts, out)
+
+    monkeypatch.setattr(catalog_io, "export_marts", export)
+    ctx = Context(spark, sf_small)
+    names, shuffles = set(list_names(spark, ensure_checkpoint_dir(spark))), _shuffle_files(spark)
+    rows = {r.t: r["rows"] for r in catalog_io.export_all(ctx).collect()}
+    assert set(rows) == set(catalog_io.EXPORT_TABLES) and min(rows.values()) > 0
+    assert seen["shuffles"] == set()
+    new = set(list_names(spark, ensure_checkpoint_dir(spark))) - names
+    assert [n.rsplit("-", 1)[0] for n in new] == ["martwright-exports"]
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+
+
+def test_joined_parts_are_deleted_one_by_one(spark):
+    """A part is gone before the next one is read, so the rows are never on the disk twice."""
+    import os
+    import threading
+    from martwright.session import scratch_path
+    from martwright.sinks.exports import _join
+    top = scratch_path(spark, "parts").replace("file:", "")
+    os.makedirs(top)
+    texts = {f"part-{i}": f"{i}\n" * 1000 for i in range(4)}
+    for name, text in {"joined": "header\n", **texts}.items():
+        with open(f"{top}/{name}", "w") as f:
+            f.write(text)
+    # the last part is a pipe: the join waits for it, while the test looks at the disk
+    os.mkfifo(f"{top}/part-4")
+    held = []
+
+    def feed():
+        with open(f"{top}/part-4", "w") as f:
+            held.extend(n for n in sorted(os.listdir(top)) if n in texts)
+            f.write("last\n")
+
+    feeder = threading.Thread(target=feed, daemon=True)
+    feeder.start()
+    _join(spark, f"{top}/joined", [f"{top}/{n}" for n in (*texts, "part-4")])
+    feeder.join(10)
+    assert held == []
+    with open(f"{top}/joined") as f:
+        assert f.read() == "header\n" + "".join(texts.values()) + "last\n"
+    assert [n for n in os.listdir(top) if not n.endswith(".crc")] == ["joined"]
+
+
+def test_a_stored_item_mart_gets_its_derived_columns_again(spark):
+    from datetime import datetime
+    from martwright.operators.marts import ITEM_COLUMNS, ITEM_DERIVED, item_derived
+    from martwright.session import scratch_path
+    from martwright.sinks.tables import list_names, write_table
+    base = {c: "string" for c in ITEM_COLUMNS if c not in ITEM_DERIVED} | {
+        "order_item_id": "int", "order_purchase_ts": "timestamp_ntz", "price": "double", "freight_value": "double",
+        "payment_value_total": "double", "review_score_avg": "double"}
+    odd = [(None, None), (0.1, 0.2), (float("nan"), 1.0), (-0.0, 0.0), (1e308, 1e308), (5.0, None)]
+    times = [None, datetime(2018, 1, 1, 23, 59, 59, 999999), datetime(1969, 12, 31, 23), datetime(2020, 2, 29)]
+    rows = [tuple({"price": p, "freight_value": f, "order_purchase_ts": t, "order_item_id": i}.get(c, f" {c}," if base[c] == "string" else None)
+                  for c in base) for i, (p, f) in enumerate(odd) for t in times]
+    whole = item_derived(spark.createDataFrame(rows * 2, ", ".join(f"{c} {t}" for c, t in base.items())))
+    path = scratch_path(spark, "items")
+    back = item_derived(write_table(spark, whole.drop(*ITEM_DERIVED), path, plain=["price"], codec="zstd"))
+    assert back.columns == whole.columns == ITEM_COLUMNS and back.dtypes == whole.dtypes
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, whole.collect()))
+    assert all(n.endswith(".zstd.parquet") for n in list_names(spark, path) if n.startswith("part-"))
